@@ -1,9 +1,9 @@
 """Summaries per precinct, per month and category, and per hexagonal cell.
 
-All of them are sums, so each can be taken from the records or from
-:func:`rollup`, a table with one row per combination of all their keys. Spark
-combines on the map side: what is shuffled is groups per task, not records, and
-a key that holds a third of the records costs no more than any other.
+All of them are sums, so Spark combines them on the map side: what is shuffled
+is groups per task, not records, and a key that holds a third of the records
+costs no more than any other. Each can be taken from the records, or from the
+small table of :func:`grouped`, which one scan of the records makes for all.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -14,15 +14,16 @@ from incidentlens.functions.position import BASE_LAT, BASE_LON, mean_degrees, mi
 PRECINCT_KEYS = ("ARREST_PRECINCT", "ARREST_BORO")
 MONTH_KEYS = ("ARREST_BORO", "ARREST_YEAR", "ARREST_MONTH", "LAW_CAT_CD")
 CELL_KEY = "hex_cell"
-ROLLUP_KEYS = (*PRECINCT_KEYS, "ARREST_YEAR", "ARREST_MONTH", "LAW_CAT_CD", CELL_KEY)
+_ALL_KEYS = (*PRECINCT_KEYS, "ARREST_YEAR", "ARREST_MONTH", "LAW_CAT_CD", CELL_KEY)
+_SUMS = ("records", "located", "lat_offset", "lon_offset")
 
 
 def _measures(records: DataFrame) -> DataFrame:
-    """Give every record the additive measures a rollup row has."""
+    """Give every record the additive measures that a row of :func:`grouped` has."""
     lat, lon = F.col("Latitude"), F.col("Longitude")
     located = lat.isNotNull() & lon.isNotNull()
     return records.select(
-        *[name for name in ROLLUP_KEYS if name in records.columns],
+        *[name for name in _ALL_KEYS if name in records.columns],
         "Latitude",
         "Longitude",
         F.lit(1).cast("bigint").alias("records"),
@@ -32,18 +33,31 @@ def _measures(records: DataFrame) -> DataFrame:
     )
 
 
-def rollup(celled: DataFrame) -> DataFrame:
-    """Records with a cell, summed over all keys of the summaries.
+def grouped(celled: DataFrame) -> DataFrame:
+    """Records with a cell, summed at the three levels that the summaries need.
 
-    Its size is bounded by the areas, months and categories that occur. One scan
-    of the records makes it; every summary then comes from it.
+    Grouping sets make it in one scan. Its size is the sum of the precincts,
+    months and cells that occur, each with their categories, whereas grouping by
+    all keys at once would shuffle their product from every task.
     """
-    sums = ("records", "located", "lat_offset", "lon_offset")
+    level = (
+        F.when(F.grouping(CELL_KEY) == 0, "cell")
+        .when(F.grouping("ARREST_MONTH") == 0, "month")
+        .otherwise("precinct")
+    )
     return (
-        _measures(celled).groupBy(*ROLLUP_KEYS).agg(*[F.sum(name).alias(name) for name in sums])
+        _measures(celled)
+        .groupingSets(
+            [[*PRECINCT_KEYS, "LAW_CAT_CD"], [*MONTH_KEYS], [CELL_KEY]], *_ALL_KEYS
+        )
+        .agg(level.alias("level"), *[F.sum(name).alias(name) for name in _SUMS])
     )
 
 
+def _at(level: str, groups: DataFrame) -> DataFrame:
+    return groups.where(F.col("level") == level)
+
+
 def _centroid(lat_name: str, lon_name: str, exact: bool) -> list[Column]:
     if not exact:
         return [F.avg("Latitude").alias(lat_name), F.avg("Longitude").alias(lon_name)]
@@ -78,8 +92,8 @@ def _precincts(measured: DataFrame, exact: bool) -> DataFrame:
     )
 
 
-def precincts_from_rollup(rolled: DataFrame) -> DataFrame:
-    return _precincts(rolled, exact=True)
+def precincts_from(groups: DataFrame) -> DataFrame:
+    return _precincts(_at("precinct", groups), exact=True)
 
 
 def precinct_summary(records: DataFrame, exact: bool = True) -> DataFrame:
@@ -93,8 +107,8 @@ def precinct_summary(records: DataFrame, exact: bool = True) -> DataFrame:
     return _precincts(_measures(records), exact)
 
 
-def trend_from_rollup(rolled: DataFrame, year: int | None = None) -> DataFrame:
-    dated = rolled.where("ARREST_YEAR IS NOT NULL AND ARREST_MONTH IS NOT NULL")
+def _trend(measured: DataFrame, year: int | None) -> DataFrame:
+    dated = measured.where("ARREST_YEAR IS NOT NULL AND ARREST_MONTH IS NOT NULL")
     if year is not None:
         dated = dated.where(F.col("ARREST_YEAR") == year)
     return (
@@ -104,9 +118,13 @@ def trend_from_rollup(rolled: DataFrame, year: int | None = None) -> DataFrame:
     )
 
 
+def trend_from(groups: DataFrame, year: int | None = None) -> DataFrame:
+    return _trend(_at("month", groups), year)
+
+
 def monthly_trend(records: DataFrame, year: int | None = None) -> DataFrame:
     """Records per borough, year, month and category, in that order; undated ones left out."""
-    return trend_from_rollup(_measures(records), year)
+    return _trend(_measures(records), year)
 
 
 def _cells(measured: DataFrame, exact: bool) -> DataFrame:
@@ -117,8 +135,8 @@ def _cells(measured: DataFrame, exact: bool) -> DataFrame:
     )
 
 
-def cells_from_rollup(rolled: DataFrame) -> DataFrame:
-    return _cells(rolled, exact=True)
+def cells_from(groups: DataFrame) -> DataFrame:
+    return _cells(_at("cell", groups), exact=True)
 
 
 def hex_density(celled: DataFrame, exact: bool = True) -> DataFrame:
@@ -129,6 +147,27 @@ def hex_density(celled: DataFrame, exact: bool = True) -> DataFrame:
     return _cells(_measures(celled), exact)
 
 
+def totals_from(groups: DataFrame) -> DataFrame:
+    """Records, precincts with data, and populated cells, as one row."""
+    precinct = F.when(F.col("level") == "precinct", F.struct(*PRECINCT_KEYS))
+    cell = F.when(F.col("level") == "cell", F.col(CELL_KEY))
+    return groups.agg(
+        F.coalesce(F.sum(F.when(F.col("level") == "cell", F.col("records"))), F.lit(0)).alias(
+            "records_in_region"
+        ),
+        F.count_distinct(precinct).alias("precincts_with_data"),
+        F.count_distinct(cell).alias("populated_cells"),
+    )
+
+
+def run_summary(celled: DataFrame) -> DataFrame:
+    """Records in the region, precincts with data, and populated cells.
+
+    The distinct counts run over the small grouped table, not over the records.
+    """
+    return totals_from(grouped(celled))
+
+
 def top_k(summary: DataFrame, k: int) -> DataFrame:
     """The ``k`` precincts with most records; equal ones by precinct, then borough."""
     return summary.orderBy(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentlens.functions.spatial import Ring, within
-from incidentlens.operators.aggregates import rollup
 from incidentlens.schema import EXTENT_RING, QUALITY_COLUMNS
 
 
@@ -43,20 +42,3 @@ def spatial_outliers(records: DataFrame, ring: Ring = EXTENT_RING) -> DataFrame:
         F.count(F.lit(1)).alias("records_read"),
         F.count_if(outside).alias("outliers"),
     )
-
-
-def run_summary(celled: DataFrame) -> DataFrame:
-    """Records in the region, precincts with data, and populated cells.
-
-    The distinct counts run over the rollup, whose size does not depend on the
-    number of records.
-    """
-    return summary_from_rollup(rollup(celled))
-
-
-def summary_from_rollup(rolled: DataFrame) -> DataFrame:
-    return rolled.agg(
-        F.coalesce(F.sum("records"), F.lit(0)).alias("records_in_region"),
-        F.count_distinct(F.struct("ARREST_PRECINCT", "ARREST_BORO")).alias("precincts_with_data"),
-        F.count_distinct("hex_cell").alias("populated_cells"),
-    )

@@ -5,16 +5,19 @@ again at the step that failed. Every dataset is replaced as a whole: running a
 step twice gives the same result as running it once.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentlens.functions.spatial import CITY_GRID, HexGrid, Ring
 from incidentlens.operators.aggregates import (
-    cells_from_rollup,
-    precincts_from_rollup,
-    rollup,
+    cells_from,
+    grouped,
+    precincts_from,
     top_k,
-    trend_from_rollup,
+    totals_from,
+    trend_from,
 )
 from incidentlens.operators.features import (
     borough_month_lines,
@@ -22,7 +25,7 @@ from incidentlens.operators.features import (
     heat_points,
     label_layer,
 )
-from incidentlens.operators.quality import quality_report, store_report, summary_from_rollup
+from incidentlens.operators.quality import quality_report, store_report
 from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
 from incidentlens.schema import EXTENT_RING, TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
@@ -37,6 +40,12 @@ from incidentlens.sources.store import (
 RAW, STORED, AGGREGATED, FEATURES = "raw", "processed", "aggregated", "features"
 
 
+def _write_all(tables: dict[str, DataFrame]) -> None:
+    """Replace several small tables at once; each is a short job of its own."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(pool.map(write_table, tables.values(), tables.keys()))
+
+
 def ingest(spark: SparkSession, csv_path: str | list[str], raw_path: str) -> DataFrame:
     """CSV to typed, flagged Parquet with all records; returns the quality report.
 
@@ -62,21 +71,25 @@ def process(
 ) -> DataFrame:
     """Stored records to the summary tables; returns the run summary.
 
-    The records are scanned once, into the rollup. All summaries, and the number
-    of records outside the region, come from that small table.
+    The records are scanned once, into a small table of groups. All summaries,
+    and the number of records outside the region, come from that table.
     """
     stored = read_partitioned(spark, stored_path)
-    write_table(rollup(add_hex_cell(in_region(stored, ring), grid)), f"{out_dir}/rollup.parquet")
-    rolled = spark.read.parquet(f"{out_dir}/rollup.parquet")
-
-    write_table(precincts_from_rollup(rolled), f"{out_dir}/precinct_summary.parquet")
-    write_table(trend_from_rollup(rolled), f"{out_dir}/monthly_trend.parquet")
-    write_table(cells_from_rollup(rolled), f"{out_dir}/hex_density.parquet")
-    precincts = spark.read.parquet(f"{out_dir}/precinct_summary.parquet")
-    write_table(top_k(precincts, TOP_PRECINCTS), f"{out_dir}/top10_precincts.parquet")
+    write_table(grouped(add_hex_cell(in_region(stored, ring), grid)), f"{out_dir}/groups.parquet")
+    groups = spark.read.parquet(f"{out_dir}/groups.parquet")
+
+    precincts = precincts_from(groups)
+    _write_all(
+        {
+            f"{out_dir}/precinct_summary.parquet": precincts,
+            f"{out_dir}/monthly_trend.parquet": trend_from(groups),
+            f"{out_dir}/hex_density.parquet": cells_from(groups),
+            f"{out_dir}/top10_precincts.parquet": top_k(precincts, TOP_PRECINCTS),
+        }
+    )
 
     records_read = stored.agg(F.count(F.lit(1))).scalar()
-    return summary_from_rollup(rolled).select(
+    return totals_from(groups).select(
         records_read.alias("records_read"),
         (records_read - F.col("records_in_region")).alias("outliers"),
         "*",
@@ -90,10 +103,14 @@ def expose(spark: SparkSession, aggregated_dir: str, out_dir: str) -> DataFrame:
     cells = spark.read.parquet(f"{aggregated_dir}/hex_density.parquet")
     trend = spark.read.parquet(f"{aggregated_dir}/monthly_trend.parquet")
 
-    write_table(circle_layer(precincts), f"{out_dir}/circles.parquet")
-    write_table(heat_points(cells), f"{out_dir}/heat.parquet")
-    write_table(label_layer(top), f"{out_dir}/labels.parquet")
-    write_table(borough_month_lines(trend), f"{out_dir}/borough_month_lines.parquet")
+    _write_all(
+        {
+            f"{out_dir}/circles.parquet": circle_layer(precincts),
+            f"{out_dir}/heat.parquet": heat_points(cells),
+            f"{out_dir}/labels.parquet": label_layer(top),
+            f"{out_dir}/borough_month_lines.parquet": borough_month_lines(trend),
+        }
+    )
     return spark.read.parquet(f"{out_dir}/borough_month_lines.parquet")
 
 

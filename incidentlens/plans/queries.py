@@ -1,9 +1,10 @@
 """One query per operator, over the records derived from the given tables.
 
-Queries on records compose lazily: nothing is written, and Catalyst sees the
-whole plan from the source tables on. Queries about files (CSV scan, stored
-Parquet, pruned lookups) read datasets that the first two steps of the job have
-written from the same records.
+Each query reads what the step it belongs to reads in the batch job: text
+records for typing, flagged Parquet for the validity reports, and the stored
+dataset for everything after. Those datasets are written once per session, so
+filters and column selections reach real Parquet columns, and the join that
+derives the records does not run again for every query.
 """
 
 from collections.abc import Callable
@@ -16,6 +17,7 @@ from incidentlens.operators.aggregates import (
     hex_density,
     monthly_trend,
     precinct_summary,
+    run_summary,
     top_k,
 )
 from incidentlens.operators.features import (
@@ -28,7 +30,6 @@ from incidentlens.operators.features import (
 from incidentlens.operators.lookups import borough_scan, category_by_month, precinct_lookup
 from incidentlens.operators.quality import (
     quality_report,
-    run_summary,
     spatial_outliers,
     store_report,
 )
@@ -43,6 +44,7 @@ from incidentlens.sources.store import (
     read_flagged,
     read_partitioned,
     storage_report,
+    write_table,
 )
 
 # Parameters of the example queries.
@@ -55,125 +57,131 @@ PRECINCT, BOROUGH, CATEGORY = 8, "M", "F"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed(raw_records(spark, sf_dir))
+_written: dict[tuple, str] = {}
 
 
-def flagged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flag_coords(typed_records(spark, sf_dir))
+def _dataset(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]
+) -> str:
+    """Path of a derived dataset, written on first use.
 
+    It belongs to the session and to the content of the source tables, which is
+    recognised by the paths, sizes and times of their files without opening them.
+    """
+    sources = [f"{sf_dir}/{table}.parquet" for table in SOURCE_TABLES]
+    files = spark.read.format("binaryFile").load(sources)
+    fingerprint = files.agg(
+        F.bit_xor(F.xxhash64("path", "length", "modificationTime")), F.count(F.lit(1))
+    ).first()
+    key = (spark.sparkContext.applicationId, name, *fingerprint)
+    if key not in _written:
+        path = scratch_path(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
 
-def valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_valid(flagged_records(spark, sf_dir))
 
+def delivery_path(spark: SparkSession, sf_dir: str) -> str:
+    """The records as a delivery of CSV files."""
 
-def region_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_region(valid_records(spark, sf_dir))
+    def write(path: str) -> None:
+        raw_records(spark, sf_dir).write.option("header", True).csv(path)
 
+    return _dataset(spark, sf_dir, "delivery", write)
 
-def celled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_hex_cell(region_records(spark, sf_dir))
 
+def flagged_path(spark: SparkSession, sf_dir: str) -> str:
+    """All records, typed and flagged, as Parquet."""
 
-def _precincts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return precinct_summary(region_records(spark, sf_dir))
+    def write(path: str) -> None:
+        write_table(flag_coords(typed_records(spark, sf_dir)), path)
 
+    return _dataset(spark, sf_dir, job.RAW, write)
 
-def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_trend(region_records(spark, sf_dir))
 
+def stored_path(spark: SparkSession, sf_dir: str) -> str:
+    """The valid records as Parquet by borough."""
 
-_written: dict[tuple, str] = {}
+    def write(path: str) -> None:
+        job.store(spark, flagged_path(spark, sf_dir), path)
 
+    return _dataset(spark, sf_dir, job.STORED, write)
 
-def written_datasets(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with the CSV delivery and the raw and stored Parquet made from it.
 
-    Written once per session and content of the source tables, recognised by the
-    paths, sizes and times of their files, which takes no look inside them.
-    """
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in SOURCE_TABLES])
-    fingerprint = files.agg(
-        F.bit_xor(F.xxhash64("path", "length", "modificationTime")), F.count(F.lit(1))
-    ).first()
-    key = (spark.sparkContext.applicationId, sf_dir, *fingerprint)
-    if key not in _written:
-        folder = scratch_path(spark, "datasets")
-        delivery = f"{folder}/delivery"
-        raw_records(spark, sf_dir).write.option("header", True).csv(delivery)
-        job.ingest(spark, delivery, f"{folder}/{job.RAW}")
-        job.store(spark, f"{folder}/{job.RAW}", f"{folder}/{job.STORED}")
-        _written[key] = folder
-    return _written[key]
+def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return typed(raw_records(spark, sf_dir))
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_partitioned(spark, f"{written_datasets(spark, sf_dir)}/{job.STORED}")
+def flagged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_flagged(spark, flagged_path(spark, sf_dir))
 
 
-def _coord_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flagged_records(spark, sf_dir).select(
-        "ARREST_KEY", "Latitude", "Longitude", "coord_valid"
-    )
+def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_partitioned(spark, stored_path(spark, sf_dir))
 
 
-def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_csv(spark, f"{written_datasets(spark, sf_dir)}/delivery")
+def region_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return in_region(stored_records(spark, sf_dir))
 
 
-def _raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_flagged(spark, f"{written_datasets(spark, sf_dir)}/{job.RAW}")
+def celled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return add_hex_cell(region_records(spark, sf_dir))
 
 
-def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir).groupBy("ARREST_BORO").agg(F.count(F.lit(1)).alias("records"))
+def _precincts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return precinct_summary(region_records(spark, sf_dir))
+
 
+def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_trend(region_records(spark, sf_dir))
 
-def _storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = written_datasets(spark, sf_dir)
-    return storage_report(spark, f"{folder}/{job.RAW}", f"{folder}/{job.STORED}")
+
+def _coord_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flag_coords(typed_records(spark, sf_dir)).select(
+        "ARREST_KEY", "Latitude", "Longitude", "coord_valid"
+    )
 
 
-def _partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partition_list(spark, f"{written_datasets(spark, sf_dir)}/{job.STORED}")
+def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stored_records(spark, sf_dir)
+    return stored.groupBy("ARREST_BORO").agg(F.count(F.lit(1)).alias("records"))
 
 
 def _positions(records: DataFrame, *more: str) -> DataFrame:
     return records.select("ARREST_KEY", "Latitude", "Longitude", *more)
 
 
-def _precinct_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return precinct_lookup(_stored(spark, sf_dir), PRECINCT).select(
-        "ARREST_KEY", "ARREST_DATE", "LAW_CAT_CD", "ARREST_BORO", "ARREST_PRECINCT"
-    )
-
-
-def _borough_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return borough_scan(_stored(spark, sf_dir), BOROUGH).select(
+def _short(records: DataFrame) -> DataFrame:
+    return records.select(
         "ARREST_KEY", "ARREST_DATE", "LAW_CAT_CD", "ARREST_BORO", "ARREST_PRECINCT"
     )
 
 
 def _batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    delivery = f"{written_datasets(spark, sf_dir)}/delivery"
-    return job.run(spark, delivery, scratch_path(spark, "run"))["summary"]
+    """The whole job on the delivered files; the summary it returns."""
+    return job.run(spark, delivery_path(spark, sf_dir), scratch_path(spark, "run"))["summary"]
 
 
 def queries() -> dict[str, Query]:
     return {
-        "scan_csv": _scan_csv,
+        "scan_csv": lambda s, d: scan_csv(s, delivery_path(s, d)),
         "typed_records": typed_records,
         "coord_flag": _coord_flag,
-        "store_filter": valid_records,
-        "raw_roundtrip": _raw_roundtrip,
-        "partitioned_roundtrip": _partitioned_roundtrip,
-        "partition_list": _partition_list,
-        "storage_report": _storage_report,
+        "raw_roundtrip": flagged_records,
+        "store_filter": lambda s, d: keep_valid(flagged_records(s, d)),
         "quality_report": lambda s, d: quality_report(flagged_records(s, d)),
         "store_report": lambda s, d: store_report(flagged_records(s, d)),
-        "spatial_outliers": lambda s, d: spatial_outliers(valid_records(s, d)),
+        "partitioned_roundtrip": _partitioned_roundtrip,
+        "partition_list": lambda s, d: partition_list(s, stored_path(s, d)),
+        "storage_report": lambda s, d: storage_report(s, flagged_path(s, d), stored_path(s, d)),
+        "precinct_lookup": lambda s, d: _short(precinct_lookup(stored_records(s, d), PRECINCT)),
+        "borough_scan": lambda s, d: _short(borough_scan(stored_records(s, d), BOROUGH)),
+        "category_by_month": lambda s, d: category_by_month(
+            stored_records(s, d), PRECINCT, CATEGORY
+        ),
+        "spatial_outliers": lambda s, d: spatial_outliers(stored_records(s, d)),
         "spatial_filter": lambda s, d: _positions(region_records(s, d)),
-        "polygon_filter": lambda s, d: _positions(in_region(valid_records(s, d), CONCAVE_RING)),
+        "polygon_filter": lambda s, d: _positions(in_region(stored_records(s, d), CONCAVE_RING)),
         "hex_assign": lambda s, d: _positions(celled_records(s, d), "hex_cell"),
         "hex_density": lambda s, d: hex_density(celled_records(s, d)),
         "heat_points": lambda s, d: heat_points(hex_density(celled_records(s, d))),
@@ -186,8 +194,5 @@ def queries() -> dict[str, Query]:
         "feature_labels": lambda s, d: label_layer(_precincts(s, d)),
         "borough_month": lambda s, d: borough_month(_trend(s, d)),
         "borough_month_lines": lambda s, d: borough_month_lines(_trend(s, d)),
-        "precinct_lookup": _precinct_lookup,
-        "borough_scan": _borough_scan,
-        "category_by_month": lambda s, d: category_by_month(_stored(s, d), PRECINCT, CATEGORY),
         "batch_run": _batch_run,
     }
