@@ -2,18 +2,22 @@
 
 A point is a pair of double columns (lon, lat); a polygon is one closed ring of
 (lon, lat) vertices known on the driver. No geometry type is needed, so the
-comparisons reach the Parquet scan and stay inside generated code.
+comparisons reach the Parquet scan.
 """
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, or_
+from operator import ne, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Ring = Sequence[tuple[float, float]]
+Edge = list[tuple[float, float]]
+
+_EDGE_LIST = "array<struct<x1: double, y1: double, x2: double, y2: double>>"
 
 
 def bounds(ring: Ring) -> tuple[float, float, float, float]:
@@ -22,15 +26,17 @@ def bounds(ring: Ring) -> tuple[float, float, float, float]:
     return min(lons), min(lats), max(lons), max(lats)
 
 
-def _edges(ring: Ring) -> list[tuple[float, float, float, float]]:
-    return [(*start, *end) for start, end in zip(ring, ring[1:]) if start != end]
+def upward_edges(ring: Ring) -> list[Edge]:
+    """Edges of a ring, each from its lower to its upper end."""
+    pairs = zip(ring, ring[1:])
+    return [sorted(pair, key=lambda vertex: vertex[1]) for pair in pairs if pair[0] != pair[1]]
 
 
 def is_rectangle(ring: Ring) -> bool:
     west, south, east, north = bounds(ring)
     corners = {(west, south), (east, south), (east, north), (west, north)}
-    edges = _edges(ring)
-    axis_aligned = all(x1 == x2 or y1 == y2 for x1, y1, x2, y2 in edges)
+    edges = upward_edges(ring)
+    axis_aligned = all(x1 == x2 or y1 == y2 for (x1, y1), (x2, y2) in edges)
     return len(edges) == 4 and set(map(tuple, ring)) == corners and axis_aligned
 
 
@@ -42,13 +48,48 @@ def inside_bounds(lon: Column, lat: Column, ring: Ring) -> Column:
     )
 
 
+# More edges than this make a generated method too long for the JVM to compile.
+UNROLLED_EDGES = 12
+
+
+def _crosses(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
+    """The point is at the height of the upward edge, lower end included, and west of it."""
+    return (lat >= y1) & (lat < y2) & ((lon - x1) * (y2 - y1) < (lat - y1) * (x2 - x1))
+
+
+def _touches(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
+    on_line = (lon - x1) * (y2 - y1) == (lat - y1) * (x2 - x1)
+    # The edge runs upward, but may run west.
+    in_width = ((lon >= x1) & (lon <= x2)) | ((lon >= x2) & (lon <= x1))
+    return (lat >= y1) & (lat <= y2) & on_line & in_width
+
+
+def _edges_near(lat: Column, edges: list[Edge], south: float, north: float) -> Column:
+    """Edges that reach the latitude band of a point, from a constant table of bands.
+
+    There are as many bands as edges, so a point meets a few edges only, however
+    many the ring has.
+    """
+    height = (north - south) / len(edges)
+    bands = [[] for _ in range(len(edges) + 1)]
+    for (x1, y1), (x2, y2) in edges:
+        for band in range(int((y1 - south) / height), int((y2 - south) / height) + 1):
+            bands[band].append({"x1": x1, "y1": y1, "x2": x2, "y2": y2})
+    table = F.from_json(
+        F.lit(json.dumps(bands)),
+        f"array<{_EDGE_LIST}>",
+    )
+    # A point outside the box would have no band; it gets an empty list.
+    band = F.floor((lat - south) / height).try_cast("int")
+    return F.coalesce(F.get(table, band), F.array().cast(_EDGE_LIST))
+
+
 def within(lon: Column, lat: Column, ring: Ring) -> Column:
     """Strictly inside the ring: a point on the boundary is not within.
 
-    Four comparisons for an axis-aligned rectangle. Any other ring adds an
-    even-odd ray cast and a test for lying on an edge; its bounding box comes
-    first, so that a Parquet scan can skip row groups by it. The expression has
-    one term per vertex, which suits rings of up to about a hundred vertices.
+    Four comparisons for an axis-aligned rectangle. Any other ring counts, by
+    odd or even, the edges to the east of the point, and excludes points on an
+    edge. The bounding box comes first, so that a Parquet scan can skip by it.
     """
     ring = [tuple(vertex) for vertex in ring]
     if len(ring) < 4 or ring[0] != ring[-1]:
@@ -57,18 +98,17 @@ def within(lon: Column, lat: Column, ring: Ring) -> Column:
     box = (lon > west) & (lon < east) & (lat > south) & (lat < north)
     if is_rectangle(ring):
         return box
-
-    crossings, touching = [], []
-    for x1, y1, x2, y2 in _edges(ring):
-        on_line = (lon - x1) * (y2 - y1) == (lat - y1) * (x2 - x1)
-        touching.append(
-            on_line & lon.between(min(x1, x2), max(x1, x2)) & lat.between(min(y1, y2), max(y1, y2))
+    edges = upward_edges(ring)
+    if len(edges) <= UNROLLED_EDGES:
+        odd = reduce(ne, [_crosses(lon, lat, *start, *end) for start, end in edges])
+        on_edge = reduce(or_, [_touches(lon, lat, *start, *end) for start, end in edges])
+    else:
+        near = _edges_near(lat, edges, south, north)
+        odd = F.aggregate(
+            near, F.lit(False), lambda odd, e: odd != _crosses(lon, lat, e.x1, e.y1, e.x2, e.y2)
         )
-        if y1 != y2:
-            spans = (F.lit(y1) > lat) != (F.lit(y2) > lat)
-            left_of_edge = lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1
-            crossings.append(F.when(spans & left_of_edge, 1).otherwise(0))
-    return box & (reduce(add, crossings) % 2 == 1) & ~reduce(or_, touching)
+        on_edge = F.exists(near, lambda e: _touches(lon, lat, e.x1, e.y1, e.x2, e.y2))
+    return box & odd & ~on_edge
 
 
 @dataclass(frozen=True)

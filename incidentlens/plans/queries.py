@@ -1,7 +1,7 @@
 """One query per operator, over the records derived from the given tables.
 
-Each query reads what the step it belongs to reads in the batch job: text
-records for typing, flagged Parquet for the validity reports, and the stored
+Each query reads what the step it belongs to reads in the batch job: delivered
+CSV files for typing, flagged Parquet for the validity reports, and the stored
 dataset for everything after. Those datasets are written once per session, so
 filters and column selections reach real Parquet columns, and the join that
 derives the records does not run again for every query.
@@ -44,7 +44,6 @@ from incidentlens.sources.store import (
     read_flagged,
     read_partitioned,
     storage_report,
-    write_table,
 )
 
 # Parameters of the example queries.
@@ -94,7 +93,7 @@ def flagged_path(spark: SparkSession, sf_dir: str) -> str:
     """All records, typed and flagged, as Parquet."""
 
     def write(path: str) -> None:
-        write_table(flag_coords(typed_records(spark, sf_dir)), path)
+        job.ingest(spark, delivery_path(spark, sf_dir), path)
 
     return _dataset(spark, sf_dir, job.RAW, write)
 
@@ -108,8 +107,12 @@ def stored_path(spark: SparkSession, sf_dir: str) -> str:
     return _dataset(spark, sf_dir, job.STORED, write)
 
 
+def delivered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_csv(spark, delivery_path(spark, sf_dir))
+
+
 def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed(raw_records(spark, sf_dir))
+    return typed(delivered_records(spark, sf_dir))
 
 
 def flagged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +167,7 @@ def _batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "scan_csv": lambda s, d: scan_csv(s, delivery_path(s, d)),
+        "scan_csv": delivered_records,
         "typed_records": typed_records,
         "coord_flag": _coord_flag,
         "raw_roundtrip": flagged_records,

@@ -1,0 +1,205 @@
+import datetime
+
+import pytest
+from helpers import rows, stored
+from pyspark.sql import functions as F
+
+from incidentlens.operators.aggregates import (
+    borough_month,
+    cells_from,
+    grouped,
+    hex_density,
+    monthly_trend,
+    precinct_summary,
+    precincts_from,
+    run_summary,
+    top_k,
+    totals_from,
+    trend_from,
+)
+from incidentlens.operators.records import add_hex_cell
+from incidentlens.plans.queries import celled_records, region_records
+
+
+def categories(spark, *codes):
+    return stored(spark, *[{"LAW_CAT_CD": code} for code in codes])
+
+
+@pytest.mark.parametrize(
+    "codes, dominant",
+    [
+        ("FM", "F"), ("FV", "F"), ("MV", "M"), ("FMV", "F"), ("FMM", "M"), ("MVV", "V"),
+        ("MMVV", "M"), ("FFVV", "F"), ("I", "F"), ([None], "F"), (["(null)", "V"], "V"),
+    ],
+)
+def test_dominant_category(spark, codes, dominant):
+    assert precinct_summary(categories(spark, *codes)).first().dominant_cat == dominant
+
+
+def test_counts_of_a_precinct(spark):
+    row = precinct_summary(categories(spark, "F", "F", "M", "V", "I", None, "(null)")).first()
+    assert (row.total_arrests, row.felonies, row.misdemeanors, row.violations) == (7, 2, 1, 1)
+
+
+def test_missing_keys_form_their_own_groups(spark):
+    df = stored(
+        spark,
+        {"ARREST_BORO": None}, {"ARREST_PRECINCT": None}, {"ARREST_PRECINCT": None},
+        {"ARREST_BORO": None, "ARREST_PRECINCT": None}, {},
+    )
+    got = precinct_summary(df).select("ARREST_PRECINCT", "ARREST_BORO", "total_arrests")
+    assert set(rows(got)) == {(75, None, 1), (None, "K", 2), (None, None, 1), (75, "K", 1)}
+
+
+def test_centroid_is_the_mean(spark):
+    df = stored(spark, {"Latitude": 40.5, "Longitude": -74.0}, {"Latitude": 40.600001, "Longitude": -73.9})
+    row = precinct_summary(df).first()
+    assert row.centroid_lat == pytest.approx(40.5500005, abs=1e-12)
+    assert row.centroid_lon == pytest.approx(-73.95, abs=1e-12)
+
+
+def test_centroid_without_positions_is_null(spark):
+    df = stored(spark, {"Latitude": None}, {"Longitude": None})
+    row = precinct_summary(df).first()
+    assert (row.total_arrests, row.centroid_lat, row.centroid_lon) == (2, None, None)
+
+
+def test_centroid_leaves_out_missing_positions(spark):
+    df = stored(spark, {"Latitude": None}, {"Latitude": 40.5})
+    assert precinct_summary(df).first().centroid_lat == 40.5
+
+
+def test_centroid_does_not_depend_on_partitioning(spark, sf_dir):
+    records = region_records(spark, sf_dir)
+    one = rows(precinct_summary(records.coalesce(1)))
+    many = rows(precinct_summary(records.repartition(13)))
+    assert sorted(one, key=str) == sorted(many, key=str)
+
+
+def test_exact_centroid_is_close_to_avg(spark, sf_dir):
+    records = region_records(spark, sf_dir)
+    keys = ["ARREST_PRECINCT", "ARREST_BORO"]
+    exact = {tuple(r[k] for k in keys): r for r in precinct_summary(records).collect()}
+    plain = precinct_summary(records, exact=False).collect()
+    assert len(plain) == len(exact)
+    for row in plain:
+        other = exact[tuple(row[k] for k in keys)]
+        assert row.centroid_lat == pytest.approx(other.centroid_lat, abs=1e-11)
+        assert row.centroid_lon == pytest.approx(other.centroid_lon, abs=1e-11)
+    cells = celled_records(spark, sf_dir)
+    a = hex_density(cells).orderBy("hex_cell").collect()
+    b = hex_density(cells, exact=False).orderBy("hex_cell").collect()
+    assert [r.arrest_count for r in a] == [r.arrest_count for r in b]
+    assert all(x.cell_lat == pytest.approx(y.cell_lat, abs=1e-11) for x, y in zip(a, b))
+
+
+def test_large_sums_do_not_overflow(spark):
+    # Half a trillion records at the extent's corner, as their sums would be.
+    groups = spark.createDataFrame(
+        [("precinct", 1, "K", "F", 500 * 10**9, 500 * 10**9, 275000 * 25 * 10**9, -325000 * 25 * 10**9)],
+        "level string, ARREST_PRECINCT int, ARREST_BORO string, LAW_CAT_CD string, "
+        "records bigint, located bigint, lat_offset bigint, lon_offset bigint",
+    )
+    row = precincts_from(groups).first()
+    assert row.total_arrests == 500 * 10**9
+    assert row.centroid_lat == pytest.approx(40.675 + 0.275 / 20, abs=1e-9)
+    assert row.centroid_lon == pytest.approx(-73.975 - 0.325 / 20, abs=1e-9)
+
+
+def test_trend_needs_a_date_but_other_summaries_do_not(spark):
+    df = add_hex_cell(stored(spark, {}, {"ARREST_DATE": None}))
+    assert precinct_summary(df).first().total_arrests == 2
+    assert hex_density(df).first().arrest_count == 2
+    assert rows(monthly_trend(df)) == [("K", 2025, 1, "F", 1)]
+
+
+def test_trend_order_and_year(spark):
+    day = datetime.date
+    df = stored(
+        spark,
+        {"ARREST_DATE": day(2025, 2, 1)}, {"ARREST_DATE": day(2024, 3, 1)},
+        {"ARREST_BORO": "B", "LAW_CAT_CD": "M"}, {"ARREST_BORO": "B", "LAW_CAT_CD": None},
+        {"ARREST_BORO": None}, {"ARREST_DATE": day(2025, 2, 9)},
+    )
+    assert rows(monthly_trend(df)) == [
+        (None, 2025, 1, "F", 1), ("B", 2025, 1, None, 1), ("B", 2025, 1, "M", 1),
+        ("K", 2024, 3, "F", 1), ("K", 2025, 2, "F", 2),
+    ]
+    assert rows(monthly_trend(df, year=2024)) == [("K", 2024, 3, "F", 1)]
+
+
+def test_borough_month_sums_years_and_drops_missing_boroughs(spark):
+    day = datetime.date
+    df = stored(
+        spark, {"ARREST_DATE": day(2024, 1, 1)}, {"LAW_CAT_CD": "M"}, {"ARREST_BORO": None},
+        {"ARREST_DATE": day(2025, 11, 1)},
+    )
+    assert rows(borough_month(monthly_trend(df))) == [("K", 1, 2), ("K", 11, 1)]
+
+
+def test_top_k_breaks_ties_by_precinct_then_borough(spark):
+    df = stored(
+        spark,
+        *[{"ARREST_PRECINCT": p, "ARREST_BORO": b} for p, b in [(9, "K"), (2, "Q"), (2, "B"), (None, "B")]],
+        {"ARREST_PRECINCT": 9},
+    )
+    top = top_k(precinct_summary(df), 3).select("ARREST_PRECINCT", "ARREST_BORO", "total_arrests")
+    assert rows(top) == [(9, "K", 2), (2, "B", 1), (2, "Q", 1)]
+    assert top_k(precinct_summary(df), 10).count() == 4
+
+
+def test_summaries_from_groups_equal_those_from_records(spark, sf_dir):
+    celled = celled_records(spark, sf_dir)
+    groups = grouped(celled)
+    pairs = [
+        (precincts_from(groups), precinct_summary(celled)),
+        (trend_from(groups), monthly_trend(celled)),
+        (trend_from(groups, 1995), monthly_trend(celled, 1995)),
+        (cells_from(groups), hex_density(celled)),
+        (totals_from(groups), run_summary(celled)),
+    ]
+    for ours, theirs in pairs:
+        assert ours.schema.names == theirs.schema.names
+        assert sorted(rows(ours), key=str) == sorted(rows(theirs), key=str)
+
+
+def test_totals_agree(spark, sf_dir):
+    records = region_records(spark, sf_dir)
+    celled = celled_records(spark, sf_dir)
+    total = records.count()
+    summary = precinct_summary(records)
+    def sum_of(df, name):
+        return df.agg(F.sum(name)).first()[0]
+
+    assert sum_of(summary, "total_arrests") == total
+    assert sum_of(hex_density(celled), "arrest_count") == total
+    dated = records.where("ARREST_DATE IS NOT NULL").count()
+    assert sum_of(monthly_trend(records), "arrest_count") == dated
+    assert summary.where("felonies + misdemeanors + violations > total_arrests").isEmpty()
+    assert top_k(summary, 10).exceptAll(summary).isEmpty()
+
+
+def test_empty_input(spark):
+    none = add_hex_cell(stored(spark, {}).limit(0))
+    assert rows(precinct_summary(none)) == []
+    assert rows(run_summary(none)) == [(0, 0, 0)]
+
+
+def test_a_key_with_a_third_of_the_records(spark):
+    df = (
+        spark.range(90_000)
+        .select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500).cast("int").alias("ARREST_PRECINCT"),
+            F.lit("K").alias("ARREST_BORO"),
+            F.lit("F").alias("LAW_CAT_CD"),
+            (F.lit(40.5) + F.col("id") % 1000 / 1_000_000).alias("Latitude"),
+            F.lit(-73.9).alias("Longitude"),
+        )
+        .repartition(16)
+    )
+    got = {r.ARREST_PRECINCT: r.total_arrests for r in precinct_summary(df).collect()}
+    expected = {}
+    for i in range(90_000):
+        key = 1 if i % 3 == 0 else i % 500
+        expected[key] = expected.get(key, 0) + 1
+    assert got == expected

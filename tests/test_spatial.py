@@ -1,0 +1,168 @@
+import math
+import random
+
+import pytest
+from helpers import raw, rows, stored
+from pyspark.sql import functions as F
+
+from incidentlens.functions import spatial
+from incidentlens.functions.spatial import CITY_GRID, HexGrid, hex_cell, within
+from incidentlens.operators.quality import spatial_outliers
+from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
+from incidentlens.plans.queries import CONCAVE_RING
+from incidentlens.schema import EXTENT_RING
+
+NAN, INF = float("nan"), float("inf")
+EDGE_POINTS = [
+    (-74.3, 40.6), (-73.65, 40.6), (-74.0, 40.4), (-74.0, 40.95),
+    (-74.3, 40.4), (-73.65, 40.4), (-73.65, 40.95), (-74.3, 40.95),
+]
+INNER_POINT = (-73.9, 40.7)
+OUTER_POINTS = [(-75.0, 40.7), (-73.9, 41.5), (-73.0, 40.7), (-73.9, 40.0)]
+USELESS_POINTS = [(None, 40.7), (-73.9, None), (None, None), (NAN, 40.7), (-73.9, NAN), (INF, 40.7)]
+
+
+def points(spark, values):
+    return spark.createDataFrame(
+        [(i, *p) for i, p in enumerate(values)], "id int, lon double, lat double"
+    )
+
+
+def inside(spark, values, ring):
+    df = points(spark, values).coalesce(1)
+    kept = df.where(within(F.col("lon"), F.col("lat"), ring))
+    ids = {row.id for row in kept.collect()}
+    return [i in ids for i in range(len(values))]
+
+
+def plain_within(lon, lat, ring):
+    """Winding by angles in plain Python; points are well away from edges."""
+    turn = 0.0
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+        a = math.atan2(y1 - lat, x1 - lon)
+        b = math.atan2(y2 - lat, x2 - lon)
+        step = b - a
+        step -= 2 * math.pi * round(step / (2 * math.pi))
+        turn += step
+    return abs(turn) > math.pi
+
+
+def wavy_ring(n):
+    angles = [2 * math.pi * i / n for i in range(n)]
+    radii = [0.2 + 0.03 * math.sin(5 * a) for a in angles]
+    ring = [(-73.97 + r * math.cos(a), 40.67 + r * math.sin(a)) for a, r in zip(angles, radii)]
+    return [*ring, ring[0]]
+
+
+def test_flag_includes_the_boundary(spark):
+    values = [*EDGE_POINTS, INNER_POINT, *OUTER_POINTS]
+    df = raw(spark, *[{"Longitude": str(x), "Latitude": str(y)} for x, y in values])
+    flags = [r.coord_valid for r in flag_coords(typed(df)).coalesce(1).collect()]
+    assert flags == [True] * 9 + [False] * 4
+
+
+def test_flag_is_never_null(spark):
+    df = points(spark, USELESS_POINTS).toDF("id", "Longitude", "Latitude")
+    assert rows(flag_coords(df).select("coord_valid").distinct()) == [(False,)]
+
+
+def test_keep_valid_drops_the_flag(spark):
+    df = flag_coords(points(spark, [INNER_POINT, OUTER_POINTS[0]]).toDF("id", "Longitude", "Latitude"))
+    kept = keep_valid(df)
+    assert kept.columns == ["id", "Longitude", "Latitude"] and kept.count() == 1
+
+
+@pytest.mark.parametrize("shift", [0, 1, 2])
+def test_rectangle_excludes_its_boundary(spark, shift):
+    corners = list(EXTENT_RING[:-1])
+    ring = corners[shift:] + corners[:shift]
+    ring = [*ring, ring[0]]
+    values = [*EDGE_POINTS, INNER_POINT, *OUTER_POINTS, *USELESS_POINTS]
+    assert inside(spark, values, ring) == [False] * 8 + [True] + [False] * 10
+
+
+@pytest.mark.parametrize("extra", [1, 6])
+def test_ray_cast_on_a_rectangle_equals_comparisons(spark, extra):
+    # Extra vertices on the sides leave the area as it is but not the method:
+    # a few keep the expression unrolled, many take the band table.
+    ring = []
+    for (x1, y1), (x2, y2) in zip(EXTENT_RING, EXTENT_RING[1:]):
+        ring += [(x1 + (x2 - x1) * i / extra, y1 + (y2 - y1) * i / extra) for i in range(extra)]
+    ring.append(ring[0])
+    ring.insert(1, ((ring[0][0] + ring[1][0]) / 2, ring[0][1]))
+    assert not spatial.is_rectangle(ring)
+    rng = random.Random(7)
+    values = [(rng.uniform(-74.5, -73.5), rng.uniform(40.2, 41.1)) for _ in range(2000)]
+    values += [*EDGE_POINTS, INNER_POINT, *OUTER_POINTS, *USELESS_POINTS]
+    assert inside(spark, values, ring) == inside(spark, values, EXTENT_RING)
+
+
+@pytest.mark.parametrize("n", [5, 12, 13, 80, 1000])
+@pytest.mark.parametrize("direction", [1, -1])
+def test_any_ring_equals_winding_number(spark, n, direction):
+    ring = wavy_ring(n)[::direction]
+    rng = random.Random(n)
+    values = [(rng.uniform(-74.25, -73.7), rng.uniform(40.4, 40.95)) for _ in range(300)]
+    assert inside(spark, values, ring) == [plain_within(x, y, ring) for x, y in values]
+
+
+@pytest.mark.parametrize("ring", [CONCAVE_RING, wavy_ring(12), wavy_ring(40)])
+def test_vertices_are_not_within(spark, ring):
+    assert not any(inside(spark, list(ring), ring))
+
+
+def test_horizontal_and_slanted_edges_are_not_within(spark):
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 4.0), (0.0, 2.0), (0.0, 0.0)]
+    on_edges = [(2.0, 0.0), (4.0, 1.0), (3.0, 3.0), (1.0, 3.0), (0.0, 1.0)]
+    beside = [(2.0, 0.5), (3.5, 1.0), (2.5, 3.0), (1.5, 3.0), (0.5, 1.0), (2.0, 2.0)]
+    assert inside(spark, on_edges, ring) == [False] * 5
+    assert inside(spark, beside, ring) == [True] * 6
+
+
+@pytest.mark.parametrize("ring", [[(0, 0), (1, 1), (0, 0)], [(0, 0), (1, 0), (1, 1), (0, 1)]])
+def test_bad_ring_is_refused(ring):
+    with pytest.raises(ValueError):
+        within(None, None, ring)
+
+
+def test_region_drops_what_is_on_the_boundary_and_counts_it(spark):
+    values = [*EDGE_POINTS, INNER_POINT, *OUTER_POINTS, (None, 50.0), (None, 40.7)]
+    df = stored(spark, *[{"Longitude": x, "Latitude": y} for x, y in values])
+    assert in_region(df).count() == 1
+    # A record without a position is in neither number's favour: not inside, no outlier.
+    assert rows(spatial_outliers(df)) == [(15, 12)]
+
+
+def centre(cell, grid):
+    q, r = (cell >> 21) - (1 << 20), (cell & ((1 << 21) - 1)) - (1 << 20)
+    return math.sqrt(3) * grid.edge_m * (q + r / 2), 1.5 * grid.edge_m * r
+
+
+def to_metres(lon, lat, grid):
+    return (
+        (lon - grid.origin_lon) * grid.metres_per_lon,
+        (lat - grid.origin_lat) * grid.metres_per_lat,
+    )
+
+
+@pytest.mark.parametrize("grid", [CITY_GRID, HexGrid(edge_m=1200.0, origin_lon=-73.0, origin_lat=41.0)])
+def test_cell_centre_is_a_nearest_centre(spark, grid):
+    rng = random.Random(11)
+    values = [(rng.uniform(-74.3, -73.65), rng.uniform(40.4, 40.95)) for _ in range(3000)]
+    values.append((grid.origin_lon, grid.origin_lat))
+    df = points(spark, values).withColumn("cell", hex_cell(F.col("lon"), F.col("lat"), grid))
+    for row in df.collect():
+        x, y = to_metres(row.lon, row.lat, grid)
+        cx, cy = centre(row.cell, grid)
+        mine = math.hypot(x - cx, y - cy)
+        assert mine <= grid.edge_m + 1e-6
+        for k in range(6):
+            angle = math.pi / 3 * k
+            step = math.sqrt(3) * grid.edge_m
+            other = math.hypot(x - cx - step * math.cos(angle), y - cy - step * math.sin(angle))
+            assert mine <= other + 1e-6
+
+
+def test_cell_of_a_missing_point_is_null(spark):
+    df = stored(spark, {"Longitude": None}, {"Latitude": None}, {})
+    assert [r.hex_cell is None for r in add_hex_cell(df).coalesce(1).collect()] == [True, True, False]
