@@ -38,7 +38,7 @@ from incidentlens.plans import job
 from incidentlens.plans.fixture import SOURCE_TABLES, raw_records
 from incidentlens.schema import TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
-from incidentlens.sources.scratch import materialise, scratch_path
+from incidentlens.sources.scratch import content_version, materialise, scratch_path
 from incidentlens.sources.store import (
     partition_list,
     read_flagged,
@@ -64,15 +64,10 @@ def _dataset(
 ) -> str:
     """Path of a derived dataset, written on first use.
 
-    It belongs to the session and to the content of the source tables, which is
-    recognised by the paths, sizes and times of their files without opening them.
+    It belongs to the session and to the present content of the source tables.
     """
-    sources = [f"{sf_dir}/{table}.parquet" for table in SOURCE_TABLES]
-    files = spark.read.format("binaryFile").load(sources)
-    fingerprint = files.agg(
-        F.bit_xor(F.xxhash64("path", "length", "modificationTime")), F.count(F.lit(1))
-    ).first()
-    key = (spark.sparkContext.applicationId, name, *fingerprint)
+    versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in SOURCE_TABLES]
+    key = (spark.sparkContext.applicationId, sf_dir, name, *versions)
     if key not in _written:
         path = scratch_path(spark, name)
         write(path)

@@ -30,3 +30,15 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def content_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Modification time, bytes and number of files of a dataset, from its file system.
+
+    Asks the file system once; starts no job and opens no file.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    changed = file_system.getFileStatus(location).getModificationTime()
+    content = file_system.getContentSummary(location)
+    return changed, content.getLength(), content.getFileCount()
