@@ -6,7 +6,7 @@ crossings per edge, centroids from sums of whole micro-degrees.
 """
 
 from incidentlens.plans.fixture import RAW_RECORDS_SQL
-from incidentlens.plans.queries import BOROUGH, CATEGORY, CONCAVE_RING, PRECINCT
+from incidentlens.plans.queries import BOROUGH, CATEGORY, CONCAVE_RING, LONG_RING, PRECINCT
 from incidentlens.schema import (
     BOROUGH_NAMES,
     CATEGORY_COLOURS,
@@ -38,10 +38,24 @@ def _case(key: str, names: dict[str, str], otherwise: str) -> str:
     return f"CASE {key} {branches} ELSE {otherwise} END"
 
 
-_EDGES = ", ".join(
-    f"({x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)"
-    for (x1, y1), (x2, y2) in zip(CONCAVE_RING, CONCAVE_RING[1:])
-)
+def _edges(ring) -> str:
+    values = ", ".join(
+        f"({x1!r}::DOUBLE, {y1!r}::DOUBLE, {x2!r}::DOUBLE, {y2!r}::DOUBLE)"
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:])
+    )
+    return f"SELECT * FROM (VALUES {values}) AS e(x1, y1, x2, y2)"
+
+
+def _in_polygon(edges: str) -> str:
+    return f"""
+        SELECT ARREST_KEY, any_value(Latitude) AS Latitude, any_value(Longitude) AS Longitude
+        FROM valid, {edges}
+        GROUP BY ARREST_KEY
+        HAVING count(*) FILTER (WHERE y1 <> y2 AND (y1 > Latitude) <> (y2 > Latitude)
+               AND Longitude < (x2 - x1) * (Latitude - y1) / (y2 - y1) + x1) % 2 = 1
+           AND count(*) FILTER (WHERE (Longitude - x1) * (y2 - y1) = (Latitude - y1) * (x2 - x1)
+               AND Longitude BETWEEN least(x1, x2) AND greatest(x1, x2)
+               AND Latitude BETWEEN least(y1, y2) AND greatest(y1, y2)) = 0"""
 
 # Each named step may use those before it.
 _STEPS = {
@@ -56,25 +70,17 @@ _STEPS = {
                   AND Longitude >= -74.3::DOUBLE AND Longitude <= -73.65::DOUBLE AS coord_valid
         FROM typed""",
     "valid": "SELECT * EXCLUDE (coord_valid) FROM flagged WHERE coord_valid",
-    "region": """
+    "inside": """
         SELECT * FROM valid
         WHERE Latitude > 40.4::DOUBLE AND Latitude < 40.95::DOUBLE
           AND Longitude > -74.3::DOUBLE AND Longitude < -73.65::DOUBLE""",
-    "edge": f"SELECT * FROM (VALUES {_EDGES}) AS e(x1, y1, x2, y2)",
-    "in_polygon": """
-        SELECT ARREST_KEY, any_value(Latitude) AS Latitude, any_value(Longitude) AS Longitude
-        FROM valid, edge
-        GROUP BY ARREST_KEY
-        HAVING count(*) FILTER (WHERE y1 <> y2 AND (y1 > Latitude) <> (y2 > Latitude)
-               AND Longitude < (x2 - x1) * (Latitude - y1) / (y2 - y1) + x1) % 2 = 1
-           AND count(*) FILTER (WHERE (Longitude - x1) * (y2 - y1) = (Latitude - y1) * (x2 - x1)
-               AND Longitude BETWEEN least(x1, x2) AND greatest(x1, x2)
-               AND Latitude BETWEEN least(y1, y2) AND greatest(y1, y2)) = 0""",
+    "edge": _edges(CONCAVE_RING),
+    "long_edge": _edges(LONG_RING),
     "axial": """
         SELECT *, (x * 0.5773502691896257::DOUBLE - y / 3) / 461.354684::DOUBLE AS q,
                (2 * y / 3) / 461.354684::DOUBLE AS r
         FROM (SELECT *, (Longitude + 73.95::DOUBLE) * 84353.0::DOUBLE AS x,
-                     (Latitude - 40.73::DOUBLE) * 110574.0::DOUBLE AS y FROM region)""",
+                     (Latitude - 40.73::DOUBLE) * 110574.0::DOUBLE AS y FROM inside)""",
     "rounded": """
         SELECT *, abs(rq - q) AS dq, abs(rr - r) AS dr, abs(rs + q + r) AS ds
         FROM (SELECT *, round(q) AS rq, round(r) AS rr, round(-q - r) AS rs FROM axial)""",
@@ -101,7 +107,7 @@ _STEPS = {
                / count(*) / 1000000 AS centroid_lat,
                CAST(sum(CAST(round(Longitude * 1000000) AS BIGINT)) AS DOUBLE)
                / count(*) / 1000000 AS centroid_lon
-        FROM region GROUP BY ARREST_PRECINCT, ARREST_BORO""",
+        FROM inside GROUP BY ARREST_PRECINCT, ARREST_BORO""",
     "precincts": """
         SELECT *, CASE WHEN felonies >= misdemeanors AND felonies >= violations THEN 'F'
                        WHEN misdemeanors >= violations THEN 'M' ELSE 'V' END AS dominant_cat
@@ -112,7 +118,7 @@ _STEPS = {
         LIMIT 10""",
     "trend": """
         SELECT ARREST_BORO, ARREST_YEAR, ARREST_MONTH, LAW_CAT_CD, count(*) AS arrest_count
-        FROM region WHERE ARREST_DATE IS NOT NULL GROUP BY ALL""",
+        FROM inside WHERE ARREST_DATE IS NOT NULL GROUP BY ALL""",
     "boro_month": """
         SELECT ARREST_BORO, ARREST_MONTH, CAST(sum(arrest_count) AS BIGINT) AS arrest_count
         FROM trend WHERE ARREST_BORO IS NOT NULL GROUP BY ALL""",
@@ -155,9 +161,10 @@ _SELECTS = {
         FROM flagged""",
     "spatial_outliers": """
         SELECT (SELECT count(*) FROM valid) AS records_read,
-               (SELECT count(*) FROM valid) - (SELECT count(*) FROM region) AS outliers""",
-    "spatial_filter": "SELECT ARREST_KEY, Latitude, Longitude FROM region",
-    "polygon_filter": "SELECT ARREST_KEY, Latitude, Longitude FROM in_polygon",
+               (SELECT count(*) FROM valid) - (SELECT count(*) FROM inside) AS outliers""",
+    "spatial_filter": "SELECT ARREST_KEY, Latitude, Longitude FROM inside",
+    "polygon_filter": _in_polygon("edge"),
+    "long_polygon_filter": _in_polygon("long_edge"),
     "hex_assign": "SELECT ARREST_KEY, Latitude, Longitude, hex_cell FROM celled",
     "hex_density": "SELECT * FROM cells",
     "heat_points": "SELECT cell_lat, cell_lon, arrest_count FROM cells WHERE arrest_count >= 3",
@@ -171,7 +178,7 @@ _SELECTS = {
                       ' arrests') AS line
         FROM top""",
     "run_summary": """
-        SELECT (SELECT count(*) FROM region) AS records_in_region,
+        SELECT (SELECT count(*) FROM inside) AS records_in_region,
                (SELECT count(*) FROM precincts) AS precincts_with_data,
                (SELECT count(*) FROM cells) AS populated_cells""",
     "feature_circles": f"""
@@ -209,8 +216,8 @@ _SELECTS = {
         GROUP BY ALL""",
     "batch_run": """
         SELECT (SELECT count(*) FROM valid) AS records_read,
-               (SELECT count(*) FROM valid) - (SELECT count(*) FROM region) AS outliers,
-               (SELECT count(*) FROM region) AS records_in_region,
+               (SELECT count(*) FROM valid) - (SELECT count(*) FROM inside) AS outliers,
+               (SELECT count(*) FROM inside) AS records_in_region,
                (SELECT count(*) FROM precincts) AS precincts_with_data,
                (SELECT count(*) FROM cells) AS populated_cells""",
 }

@@ -7,6 +7,7 @@ filters and column selections reach real Parquet columns, and the join that
 derives the records does not run again for every query.
 """
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,13 @@ CONCAVE_RING = (
     (-74.2, 40.45), (-73.75, 40.45), (-73.7, 40.85), (-73.95, 40.6), (-74.1, 40.9),
     (-74.25, 40.7), (-74.2, 40.45),
 )
+LONG_RING = tuple(
+    (
+        -73.97 + (0.2 + 0.03 * math.sin(5 * angle)) * math.cos(angle),
+        40.67 + (0.2 + 0.03 * math.sin(5 * angle)) * math.sin(angle),
+    )
+    for angle in (2 * math.pi * (step % 90) / 90 for step in range(91))
+)
 PRECINCT, BOROUGH, CATEGORY = 8, "M", "F"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,6 +188,7 @@ def queries() -> dict[str, Query]:
         "spatial_outliers": lambda s, d: spatial_outliers(stored_records(s, d)),
         "spatial_filter": lambda s, d: _positions(region_records(s, d)),
         "polygon_filter": lambda s, d: _positions(in_region(stored_records(s, d), CONCAVE_RING)),
+        "long_polygon_filter": lambda s, d: _positions(in_region(stored_records(s, d), LONG_RING)),
         "hex_assign": lambda s, d: _positions(celled_records(s, d), "hex_cell"),
         "hex_density": lambda s, d: hex_density(celled_records(s, d)),
         "heat_points": lambda s, d: heat_points(hex_density(celled_records(s, d))),

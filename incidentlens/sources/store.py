@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from incidentlens.schema import FLAGGED_SCHEMA, PARTITION_COLUMN, STORED_SCHEMA
 
+_CLUSTER_COLUMNS = (PARTITION_COLUMN, "ARREST_PRECINCT")
+
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace the dataset at ``path``."""
@@ -20,14 +22,15 @@ def write_partitioned(df: DataFrame, path: str, max_records_per_file: int = 0) -
 
     There are only a handful of boroughs, so a plain ``repartition`` by borough
     would leave all but a handful of tasks idle and give the largest borough to
-    one of them. The rebalance hint lets adaptive execution split a large
-    borough into files of the advisory partition size. Within a file records are
-    ordered by precinct and date, which keeps the row group statistics narrow
-    enough for a precinct filter to skip most of a borough.
+    one of them. Records are therefore spread by borough and precinct, with the
+    rebalance hint: adaptive execution splits what exceeds the advisory partition
+    size, also a single precinct, and puts small ones together. Each file then
+    holds few precincts, in order and by date, and a precinct filter skips most
+    files and row groups of a borough by their statistics.
     """
     (
-        df.hint("rebalance", PARTITION_COLUMN)
-        .sortWithinPartitions(PARTITION_COLUMN, "ARREST_PRECINCT", "ARREST_DATE")
+        df.hint("rebalance", *_CLUSTER_COLUMNS)
+        .sortWithinPartitions(*_CLUSTER_COLUMNS, "ARREST_DATE")
         .write.mode("overwrite")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)

@@ -93,7 +93,7 @@ def test_top_k_sorts_no_more_than_it_must(plans):
 
 def test_record_queries_do_not_shuffle(plans):
     for name in ("scan_csv", "typed_records", "coord_flag", "raw_roundtrip", "store_filter", "spatial_filter", "polygon_filter",
-                 "hex_assign", "precinct_lookup", "borough_scan"):
+                 "long_polygon_filter", "hex_assign", "precinct_lookup", "borough_scan"):
         assert "Exchange" not in plans[name], name
 
 
@@ -114,3 +114,17 @@ def test_region_of_stored_records_needs_no_join(spark, sf_dir):
 
     text = plan(in_region(read_partitioned(spark, stored_path(spark, sf_dir))))
     assert "Join" not in text and "Exchange" not in text
+
+
+def test_generated_methods_are_short_enough_to_compile(spark, sf_dir):
+    """The JVM leaves methods of 8,000 bytes and more to its interpreter."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, query in entry_module.queries().items():
+            if name == "batch_run":
+                continue
+            parts = query(spark, sf_dir)._jdf.queryExecution().debug().codegenToSeq()
+            sizes = [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+            assert max(sizes, default=0) < 8000, name
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

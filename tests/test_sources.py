@@ -107,31 +107,57 @@ def test_rewriting_replaces_everything(spark, tmp_path):
     assert spark.read.parquet(table).count() == 2
 
 
-def test_a_large_borough_is_split_over_tasks(spark, tmp_path):
-    """A borough with most of the records must not become one task and one file."""
-    path = str(tmp_path / "s")
-    number = F.col("id")
-    values = {
-        "ARREST_KEY": F.sha2(number.cast("string"), 256),
-        "ARREST_BORO": F.when(number % 20 == 0, "Q").otherwise("K"),
-        "ARREST_PRECINCT": number * 7919 % 40,
-    }
-    df = spark.range(0, 60_000, 1, 16).select(
+def by_number(spark, n, **values):
+    """``n`` stored records in 16 partitions; columns not given are NULL."""
+    return spark.range(0, n, 1, 16).select(
         *[
             values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
             for field in STORED_SCHEMA
         ]
     )
-    # Shuffle partitions are split where they exceed the advisory size.
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Shuffle partitions are split where they exceed the advisory size."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
-    try:
-        write_partitioned(df, path)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = Counter(r.partition for r in data_files(spark, path).collect())
-    assert files["K"] >= 4 and files["Q"] <= 2
+    yield
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_a_large_precinct_is_split_over_tasks(spark, tmp_path, small_partitions):
+    """A precinct with most of the records must not become one task and one file."""
+    path = str(tmp_path / "s")
+    number = F.col("id")
+    df = by_number(
+        spark, 60_000, ARREST_KEY=F.sha2(number.cast("string"), 256),
+        ARREST_BORO=F.when(number % 20 == 0, "Q").otherwise("K"),
+        ARREST_PRECINCT=F.when(number % 20 == 0, number % 60).otherwise(75),
+    )
+    write_partitioned(df, path)
     back = read_partitioned(spark, path)
+    hot = back.where("ARREST_PRECINCT = 75").groupBy(F.input_file_name()).count().collect()
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < 20_000
     assert back.count() == 60_000 and back.where("ARREST_BORO = 'Q'").count() == 3_000
+    assert back.select("ARREST_KEY").distinct().count() == 60_000
+
+
+def test_files_hold_few_precincts(spark, tmp_path, small_partitions):
+    path = str(tmp_path / "s")
+    number = F.col("id")
+    df = by_number(
+        spark, 80_000, ARREST_KEY=F.sha2(number.cast("string"), 256), ARREST_BORO=F.lit("K"),
+        ARREST_PRECINCT=number * 7919 % 40,
+    )
+    write_partitioned(df, path)
+    per_file = (
+        read_partitioned(spark, path)
+        .groupBy(F.input_file_name())
+        .agg(F.count_distinct("ARREST_PRECINCT").alias("precincts"))
+        .collect()
+    )
+    assert len(per_file) >= 4
+    assert sum(r.precincts for r in per_file) < 40 * 2
 
 
 def test_files_are_ordered_by_precinct(spark, tmp_path):
