@@ -12,10 +12,13 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="incidentlens", description=__doc__)
     parser.add_argument("--csv", required=True, nargs="+", help="delivered files or folders")
     parser.add_argument("--out", required=True, help="folder for all datasets")
+    parser.add_argument(
+        "--any-header", action="store_true", help="go by column position, whatever the header says"
+    )
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("incidentlens").getOrCreate()
-    for name, report in run(spark, args.csv, args.out).items():
+    for name, report in run(spark, args.csv, args.out, not args.any_header).items():
         print(name)
         report.show(truncate=False)
     top = spark.read.parquet(f"{args.out}/{AGGREGATED}/top10_precincts.parquet")

@@ -22,8 +22,9 @@ def _measures(records: DataFrame) -> DataFrame:
     """Give every record the additive measures that a row of :func:`grouped` has."""
     lat, lon = F.col("Latitude"), F.col("Longitude")
     located = lat.isNotNull() & lon.isNotNull()
+    present = set(records.columns)
     return records.select(
-        *[name for name in _ALL_KEYS if name in records.columns],
+        *[name for name in _ALL_KEYS if name in present],
         "Latitude",
         "Longitude",
         F.lit(1).cast("bigint").alias("records"),

@@ -46,12 +46,14 @@ def _write_all(tables: dict[str, DataFrame]) -> None:
         list(pool.map(write_table, tables.values(), tables.keys()))
 
 
-def ingest(spark: SparkSession, csv_path: str | list[str], raw_path: str) -> DataFrame:
+def ingest(
+    spark: SparkSession, csv_path: str | list[str], raw_path: str, check_header: bool = True
+) -> DataFrame:
     """CSV to typed, flagged Parquet with all records; returns the quality report.
 
     One pass over the text. The report reads eight columns of what was written.
     """
-    write_table(flag_coords(typed(scan_csv(spark, csv_path))), raw_path)
+    write_table(flag_coords(typed(scan_csv(spark, csv_path, check_header))), raw_path)
     return quality_report(read_flagged(spark, raw_path))
 
 
@@ -71,12 +73,12 @@ def process(
 ) -> DataFrame:
     """Stored records to the summary tables; returns the run summary.
 
-    The records are scanned once, into a small table of groups. All summaries,
-    and the number of records outside the region, come from that table.
+    The records are scanned once, into a small table of groups that all summaries
+    come from. The number of records read is taken from file footers.
     """
     stored = read_partitioned(spark, stored_path)
-    write_table(grouped(add_hex_cell(in_region(stored, ring), grid)), f"{out_dir}/groups.parquet")
-    groups = spark.read.parquet(f"{out_dir}/groups.parquet")
+    celled = add_hex_cell(in_region(stored, ring), grid)
+    groups = write_table(grouped(celled), f"{out_dir}/groups.parquet")
 
     precincts = precincts_from(groups)
     _write_all(
@@ -114,12 +116,14 @@ def expose(spark: SparkSession, aggregated_dir: str, out_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/borough_month_lines.parquet")
 
 
-def run(spark: SparkSession, csv_path: str | list[str], out_dir: str) -> dict[str, DataFrame]:
+def run(
+    spark: SparkSession, csv_path: str | list[str], out_dir: str, check_header: bool = True
+) -> dict[str, DataFrame]:
     """All four steps. The returned reports are small and computed when shown."""
     raw, stored = f"{out_dir}/{RAW}", f"{out_dir}/{STORED}"
     aggregated = f"{out_dir}/{AGGREGATED}"
     return {
-        "quality": ingest(spark, csv_path, raw),
+        "quality": ingest(spark, csv_path, raw, check_header),
         "store": store(spark, raw, stored),
         "summary": process(spark, stored, aggregated),
         "storage": storage_report(spark, raw, stored),

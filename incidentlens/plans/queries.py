@@ -39,7 +39,12 @@ from incidentlens.plans import job
 from incidentlens.plans.fixture import SOURCE_TABLES, raw_records
 from incidentlens.schema import TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
-from incidentlens.sources.scratch import content_version, materialise, scratch_path
+from incidentlens.sources.scratch import (
+    content_version,
+    is_complete,
+    materialise,
+    scratch_path,
+)
 from incidentlens.sources.store import (
     partition_list,
     read_flagged,
@@ -76,7 +81,7 @@ def _dataset(
     """
     versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in SOURCE_TABLES]
     key = (spark.sparkContext.applicationId, sf_dir, name, *versions)
-    if key not in _written:
+    if key not in _written or not is_complete(spark, _written[key]):
         path = scratch_path(spark, name)
         write(path)
         _written[key] = path

@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from incidentlens.sources.store import write_table
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder the session names in ``spark.checkpoint.dir``.
@@ -26,19 +28,26 @@ def materialise(df: DataFrame) -> DataFrame:
     For a small result that is used more than once. Unlike a cache it does not
     go back to the source when an executor is lost.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "table")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_table(df, scratch_path(df.sparkSession, "table"))
+
+
+def _location(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """A job has finished writing the dataset, and it is still there."""
+    file_system, location = _location(spark, f"{path}/_SUCCESS")
+    return file_system.exists(location)
 
 
 def content_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Modification time, bytes and number of files of a dataset, from its file system.
 
-    Asks the file system once; starts no job and opens no file.
+    Starts no job and opens no file.
     """
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, location = _location(spark, path)
     changed = file_system.getFileStatus(location).getModificationTime()
     content = file_system.getContentSummary(location)
     return changed, content.getLength(), content.getFileCount()

@@ -8,9 +8,10 @@ from incidentlens.schema import FLAGGED_SCHEMA, PARTITION_COLUMN, STORED_SCHEMA
 _CLUSTER_COLUMNS = (PARTITION_COLUMN, "ARREST_PRECINCT")
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace the dataset at ``path``."""
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace the dataset at ``path``; returns what is now there."""
     df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_flagged(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("incidentlens-tests")
@@ -20,7 +20,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

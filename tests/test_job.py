@@ -109,6 +109,19 @@ def test_datasets_follow_their_sources(spark, tmp_path):
     assert queries.flagged_records(spark, str(tmp_path)).count() > few
 
 
+def test_datasets_that_are_gone_are_written_again(spark, tmp_path, monkeypatch):
+    paths = iter([str(tmp_path / "a"), str(tmp_path / "b")])
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: next(paths))
+    def write(path):
+        spark.range(3).write.parquet(path)
+
+    sf = "/root/testdata/sf0.001"
+    first = queries._dataset(spark, sf, "test", write)
+    assert queries._dataset(spark, sf, "test", write) == first == str(tmp_path / "a")
+    (tmp_path / "a").rename(tmp_path / "elsewhere")
+    assert queries._dataset(spark, sf, "test", write) == str(tmp_path / "b")
+
+
 def test_command_line(spark, sf_dir, tmp_path):
     delivery = delivery_path(spark, "/root/testdata/sf0.001")
     done = subprocess.run(

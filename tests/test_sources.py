@@ -199,14 +199,25 @@ def test_storage_report_without_stored_data(spark, tmp_path):
     assert (row.stored_mb, row.ratio, row.partitions) == (0.0, 0.0, [])
 
 
-def test_scratch_tables_are_below_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
+def test_scratch_tables_are_below_the_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(spark.conf, "get", lambda key, default=None: "/shared/folder/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert a.startswith(f"{root}/incidentlens/") and a != b
+    assert a.startswith("/shared/folder/incidentlens/") and a.endswith("/x") and a != b
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.conf, "get", lambda key, default=None: default)
+    assert "incidentlens" in scratch_path(spark, "x")
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(spark, "x")
+
+
+def test_materialised_tables_keep_their_schema(spark):
     df = spark.range(3).withColumn("n", F.lit(None).cast("string"))
     copy = materialise(df)
     assert copy.schema.names == ["id", "n"] and copy.count() == 3
-    assert root in copy.inputFiles()[0]
+    assert "incidentlens" in copy.inputFiles()[0]
 
 
 def test_csv_written_by_others(spark, tmp_path):
