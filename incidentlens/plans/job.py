@@ -47,13 +47,18 @@ def _write_all(tables: dict[str, DataFrame]) -> None:
 
 
 def ingest(
-    spark: SparkSession, csv_path: str | list[str], raw_path: str, check_header: bool = True
+    spark: SparkSession,
+    csv_path: str | list[str],
+    raw_path: str,
+    check_header: bool = True,
+    ring: Ring = EXTENT_RING,
 ) -> DataFrame:
     """CSV to typed, flagged Parquet with all records; returns the quality report.
 
     One pass over the text. The report reads eight columns of what was written.
     """
-    write_table(flag_coords(typed(scan_csv(spark, csv_path, check_header))), raw_path)
+    records = typed(scan_csv(spark, csv_path, check_header))
+    write_table(flag_coords(records, ring), raw_path)
     return quality_report(read_flagged(spark, raw_path))
 
 
@@ -117,15 +122,20 @@ def expose(spark: SparkSession, aggregated_dir: str, out_dir: str) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, csv_path: str | list[str], out_dir: str, check_header: bool = True
+    spark: SparkSession,
+    csv_path: str | list[str],
+    out_dir: str,
+    check_header: bool = True,
+    ring: Ring = EXTENT_RING,
+    grid: HexGrid = CITY_GRID,
 ) -> dict[str, DataFrame]:
     """All four steps. The returned reports are small and computed when shown."""
     raw, stored = f"{out_dir}/{RAW}", f"{out_dir}/{STORED}"
     aggregated = f"{out_dir}/{AGGREGATED}"
     return {
-        "quality": ingest(spark, csv_path, raw, check_header),
+        "quality": ingest(spark, csv_path, raw, check_header, ring),
         "store": store(spark, raw, stored),
-        "summary": process(spark, stored, aggregated),
+        "summary": process(spark, stored, aggregated, ring, grid),
         "storage": storage_report(spark, raw, stored),
         "borough months": expose(spark, aggregated, f"{out_dir}/{FEATURES}"),
     }
