@@ -177,11 +177,15 @@ def top_k(summary: DataFrame, k: int) -> DataFrame:
     ).limit(k)
 
 
-def borough_month(trend: DataFrame) -> DataFrame:
-    """Records per borough and month over all years and categories, in that order."""
+def borough_month_sums(trend: DataFrame) -> DataFrame:
+    """Records per borough and month over all years and categories, in any order."""
     return (
         trend.where("ARREST_BORO IS NOT NULL")
         .groupBy("ARREST_BORO", "ARREST_MONTH")
         .agg(F.sum("arrest_count").alias("arrest_count"))
-        .orderBy("ARREST_BORO", "ARREST_MONTH")
     )
+
+
+def borough_month(trend: DataFrame) -> DataFrame:
+    """Records per borough and month over all years and categories, in that order."""
+    return borough_month_sums(trend).orderBy("ARREST_BORO", "ARREST_MONTH")

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from incidentlens.operators.aggregates import PRECINCT_KEYS, borough_month, top_k
+from incidentlens.operators.aggregates import PRECINCT_KEYS, borough_month_sums, top_k
 from incidentlens.schema import (
     BOROUGH_NAMES,
     CATEGORY_COLOURS,
@@ -102,7 +102,7 @@ def top_lines(summary: DataFrame, k: int = TOP_PRECINCTS) -> DataFrame:
 
 
 def borough_month_lines(trend: DataFrame) -> DataFrame:
-    """One line per borough: ``M1:1,234 | M2:...`` in month order.
+    """One line per borough, in that order: ``M1:1,234 | M2:...`` by month.
 
     The list has at most twelve parts, whatever the number of records.
     """
@@ -110,9 +110,10 @@ def borough_month_lines(trend: DataFrame) -> DataFrame:
         F.lit("M"), F.col("ARREST_MONTH"), F.lit(":"), _thousands(F.col("arrest_count"))
     )
     return (
-        borough_month(trend)
+        borough_month_sums(trend)
         .withColumn("part", part)
         .groupBy("ARREST_BORO")
         .agg(F.expr("listagg(part, ' | ') WITHIN GROUP (ORDER BY ARREST_MONTH)").alias("counts"))
+        .orderBy("ARREST_BORO")
         .select(_borough_name(F.col("ARREST_BORO")).alias("borough_name"), "counts")
     )

@@ -6,9 +6,12 @@ from pathlib import Path
 import pytest
 from helpers import rows
 
-from incidentlens.operators.aggregates import top_k
+from incidentlens.functions.spatial import HexGrid
+from incidentlens.operators.aggregates import hex_density, top_k
+from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
 from incidentlens.plans import job, queries
 from incidentlens.plans.queries import delivery_path, queries as all_queries
+from incidentlens.sources.csv import scan_csv
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -122,6 +125,17 @@ def test_datasets_that_are_gone_are_written_again(spark, tmp_path, monkeypatch):
     assert queries._dataset(spark, sf, "test", write) == str(tmp_path / "b")
 
 
+def test_other_region_and_grid(spark, tmp_path):
+    delivery = delivery_path(spark, "/root/testdata/sf0.001")
+    ring, grid = queries.CONCAVE_RING, HexGrid(edge_m=2000.0)
+    job.run(spark, delivery, str(tmp_path), ring=ring, grid=grid)
+    valid = keep_valid(flag_coords(typed(scan_csv(spark, delivery)), ring))
+    expected = hex_density(add_hex_cell(in_region(valid, ring), grid))
+    written = spark.read.parquet(f"{tmp_path}/aggregated/hex_density.parquet")
+    assert Counter(rows(written)) == Counter(rows(expected))
+    assert spark.read.parquet(f"{tmp_path}/processed").count() == valid.count()
+
+
 def test_command_line(spark, sf_dir, tmp_path):
     delivery = delivery_path(spark, "/root/testdata/sf0.001")
     done = subprocess.run(
