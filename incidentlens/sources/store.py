@@ -26,12 +26,13 @@ def write_partitioned(df: DataFrame, path: str, max_records_per_file: int = 0) -
     one of them. Records are therefore spread by borough and precinct, with the
     rebalance hint: adaptive execution splits what exceeds the advisory partition
     size, also a single precinct, and puts small ones together. Each file then
-    holds few precincts, in order and by date, and a precinct filter skips most
-    files and row groups of a borough by their statistics.
+    holds few precincts, in order, and a precinct filter skips most files and
+    row groups of a borough by their statistics. The order costs nothing: Spark
+    sorts by the partition column anyway.
     """
     (
         df.hint("rebalance", *_CLUSTER_COLUMNS)
-        .sortWithinPartitions(*_CLUSTER_COLUMNS, "ARREST_DATE")
+        .sortWithinPartitions(*_CLUSTER_COLUMNS)
         .write.mode("overwrite")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)
