@@ -50,6 +50,8 @@ def inside_bounds(lon: Column, lat: Column, ring: Ring) -> Column:
 
 # More edges than this make a generated method too long for the JVM to compile.
 UNROLLED_EDGES = 12
+# On average; keeps the constant table in proportion to the ring.
+MAX_BANDS_PER_EDGE = 8
 
 
 def _crosses(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
@@ -68,17 +70,20 @@ def _edges_near(lat: Column, edges: list[Edge], south: float, north: float) -> C
     """Edges that reach the latitude band of a point, from a constant table of bands.
 
     There are as many bands as edges, so a point meets a few edges only, however
-    many the ring has.
+    many the ring has. Long edges cross many bands; where they would make the
+    table large, fewer bands serve them as well.
     """
-    height = (north - south) / len(edges)
-    bands = [[] for _ in range(len(edges) + 1)]
-    for (x1, y1), (x2, y2) in edges:
-        for band in range(int((y1 - south) / height), int((y2 - south) / height) + 1):
-            bands[band].append({"x1": x1, "y1": y1, "x2": x2, "y2": y2})
-    table = F.from_json(
-        F.lit(json.dumps(bands)),
-        f"array<{_EDGE_LIST}>",
-    )
+    count = len(edges)
+    while True:
+        height = (north - south) / count
+        bands = [[] for _ in range(count + 1)]
+        for (x1, y1), (x2, y2) in edges:
+            for band in range(int((y1 - south) / height), int((y2 - south) / height) + 1):
+                bands[band].append({"x1": x1, "y1": y1, "x2": x2, "y2": y2})
+        if count == 1 or sum(map(len, bands)) <= MAX_BANDS_PER_EDGE * len(edges):
+            break
+        count //= 2
+    table = F.from_json(F.lit(json.dumps(bands)), f"array<{_EDGE_LIST}>")
     # A point outside the box would have no band; it gets an empty list.
     band = F.floor((lat - south) / height).try_cast("int")
     return F.coalesce(F.get(table, band), F.array().cast(_EDGE_LIST))
@@ -95,6 +100,8 @@ def within(lon: Column, lat: Column, ring: Ring) -> Column:
     if len(ring) < 4 or ring[0] != ring[-1]:
         raise ValueError("a ring needs at least three corners and must end where it starts")
     west, south, east, north = bounds(ring)
+    if west == east or south == north:
+        raise ValueError("a ring must enclose an area")
     box = (lon > west) & (lon < east) & (lat > south) & (lat < north)
     if is_rectangle(ring):
         return box

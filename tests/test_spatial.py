@@ -106,6 +106,29 @@ def test_any_ring_equals_winding_number(spark, n, direction):
     assert inside(spark, values, ring) == [plain_within(x, y, ring) for x, y in values]
 
 
+def comb_ring(teeth):
+    """Teeth that run from the south to nearly the north of the ring."""
+    width = 0.5 / teeth
+    ring = [(-74.2, 40.9), (-74.2, 40.45)]
+    for i in range(teeth):
+        x = -74.2 + i * width
+        ring += [(x + width / 4, 40.45), (x + width / 3, 40.85), (x + width / 2, 40.45)]
+    return [*ring, (-73.7, 40.45), (-73.7, 40.9), ring[0]]
+
+
+def test_long_edges_keep_their_table_small(spark):
+    ring = comb_ring(60)
+    rng = random.Random(3)
+    values = [(rng.uniform(-74.25, -73.65), rng.uniform(40.4, 40.95)) for _ in range(1000)]
+    got = inside(spark, values, ring)
+    assert got == [plain_within(x, y, ring) for x, y in values] and 100 < sum(got) < 900
+    edges = spatial.upward_edges(ring)
+    near = spatial._edges_near(F.lit(40.5), edges, 40.45, 40.9)
+    table = spark.range(1).select(F.size(near)).first()[0]
+    assert table <= len(edges)
+    assert len(str(near._jc)) < 200 * spatial.MAX_BANDS_PER_EDGE * len(edges)
+
+
 @pytest.mark.parametrize("ring", [CONCAVE_RING, wavy_ring(12), wavy_ring(40)])
 def test_vertices_are_not_within(spark, ring):
     assert not any(inside(spark, list(ring), ring))
@@ -119,7 +142,14 @@ def test_horizontal_and_slanted_edges_are_not_within(spark):
     assert inside(spark, beside, ring) == [True] * 6
 
 
-@pytest.mark.parametrize("ring", [[(0, 0), (1, 1), (0, 0)], [(0, 0), (1, 0), (1, 1), (0, 1)]])
+@pytest.mark.parametrize(
+    "ring",
+    [
+        [(0, 0), (1, 1), (0, 0)],
+        [(0, 0), (1, 0), (1, 1), (0, 1)],
+        [(0, 0), (1, 0), (2, 0), (0, 0)],
+    ],
+)
 def test_bad_ring_is_refused(ring):
     with pytest.raises(ValueError):
         within(None, None, ring)
