@@ -118,7 +118,7 @@ def expose(spark: SparkSession, aggregated_dir: str, out_dir: str) -> DataFrame:
             f"{out_dir}/borough_month_lines.parquet": borough_month_lines(trend),
         }
     )
-    return spark.read.parquet(f"{out_dir}/borough_month_lines.parquet")
+    return spark.read.parquet(f"{out_dir}/borough_month_lines.parquet").orderBy("borough_name")
 
 
 def run(

@@ -54,6 +54,8 @@ def test_reports_agree(run):
     assert summary.outliers + summary.records_in_region == summary.records_read
     assert storage.ratio == pytest.approx(storage.raw_mb / storage.stored_mb)
     assert len(storage.partitions) == 6
+    names = [r.borough_name for r in reports["borough months"]]
+    assert names == ["Bronx", "Brooklyn", "Manhattan", "Queens", "Staten Island"]
 
 
 def test_known_numbers(spark, sf_dir, run):
