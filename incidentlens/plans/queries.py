@@ -39,12 +39,8 @@ from incidentlens.plans import job
 from incidentlens.plans.fixture import SOURCE_TABLES, raw_records
 from incidentlens.schema import TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
-from incidentlens.sources.scratch import (
-    content_version,
-    is_complete,
-    materialise,
-    scratch_path,
-)
+from incidentlens.sources.files import content_version
+from incidentlens.sources.scratch import is_complete, materialise, remove, scratch_path
 from incidentlens.sources.store import (
     partition_list,
     read_flagged,
@@ -69,7 +65,7 @@ PRECINCT, BOROUGH, CATEGORY = 8, "M", "F"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_written: dict[tuple, str] = {}
+_written: dict[tuple, tuple[list, str]] = {}
 
 
 def _dataset(
@@ -77,15 +73,19 @@ def _dataset(
 ) -> str:
     """Path of a derived dataset, written on first use.
 
-    It belongs to the session and to the present content of the source tables.
+    It belongs to the session and to the present content of the source tables;
+    one that these have outdated is removed.
     """
     versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in SOURCE_TABLES]
-    key = (spark.sparkContext.applicationId, sf_dir, name, *versions)
-    if key not in _written or not is_complete(spark, _written[key]):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    version, path = _written.get(key, (None, None))
+    if version != versions or not is_complete(spark, path):
+        if path:
+            remove(spark, path)
         path = scratch_path(spark, name)
         write(path)
-        _written[key] = path
-    return _written[key]
+        _written[key] = versions, path
+    return path
 
 
 def delivery_path(spark: SparkSession, sf_dir: str) -> str:

@@ -1,53 +1,45 @@
 """Tables that hold intermediate results on storage every executor can reach."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from incidentlens.sources.files import location
 from incidentlens.sources.store import write_table
 
+_PROCESS = uuid.uuid4().hex
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder the session names in ``spark.checkpoint.dir``.
 
-    Where the setting is missing a temporary folder takes its place, in local
-    mode only: on a cluster executors would not see it.
+    Where the setting is missing the session's warehouse folder takes its place:
+    both are shared by driver and executors. What is left there is removed when
+    the session's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="incidentlens-")
-    return f"{root.rstrip('/')}/incidentlens/{uuid.uuid4().hex}/{name}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{base.rstrip('/')}/incidentlens/{spark.sparkContext.applicationId}-{_PROCESS}"
+    file_system, place = location(spark, root)
+    file_system.mkdirs(place)
+    file_system.deleteOnExit(place)
+    return f"{root}/{uuid.uuid4().hex}/{name}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to a scratch table and read it from there.
 
-    For a small result that is used more than once. Unlike a cache it does not
-    go back to the source when an executor is lost.
+    Unlike a cache it does not go back to the source when an executor is lost.
     """
-    return write_table(df, scratch_path(df.sparkSession, "table"))
+    return write_table(df, scratch_path(df.sparkSession, name))
 
 
-def _location(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a dataset; nothing happens if it is not there."""
+    file_system, place = location(spark, path)
+    file_system.delete(place, True)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A job has finished writing the dataset, and it is still there."""
-    file_system, location = _location(spark, f"{path}/_SUCCESS")
-    return file_system.exists(location)
-
-
-def content_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
-    """Modification time, bytes and number of files of a dataset, from its file system.
-
-    Starts no job and opens no file.
-    """
-    file_system, location = _location(spark, path)
-    changed = file_system.getFileStatus(location).getModificationTime()
-    content = file_system.getContentSummary(location)
-    return changed, content.getLength(), content.getFileCount()
+    file_system, place = location(spark, f"{path}/_SUCCESS")
+    return file_system.exists(place)

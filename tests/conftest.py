@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("incidentlens-tests")
@@ -20,6 +20,8 @@ def spark():
         .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
