@@ -3,11 +3,20 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from incidentlens.llm import bpe
+from incidentlens.llm import bpe, decontamination, sharding, urls, warc
+from incidentlens.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = [
+    (urls.BLOCK, "net", "/"),
+    (urls.ALLOW, "example.net", "/en/"),
+    (urls.BLOCK, "example.com", "/de/"),
+    (urls.ALLOW, "org", "/fr/"),
+]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,9 +32,44 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(_table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.digests(decontamination.contamination(documents, items))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    return warc.read(warc.write(_table(spark, sf_dir, "pages"), folder), folder)
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.slotted(sharding.shard(_table(spark, sf_dir, "documents")))
+
+
+def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of labelled documents: a page's path has its document's number.
+
+    Unwanted are documents of bad quality and toxic ones.
+    """
+    number = F.regexp_extract(urls.path_of(F.col("url")), r"/(\d{1,18})(?:\D|$)", 1)
+    pages = _table(spark, sf_dir, "pages").select("url", F.nullif(number, F.lit("")).cast("long").alias("doc_id"))
+    unwanted = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", unwanted.alias("unwanted"))
+    return pages.join(labels, "doc_id").select("url", "unwanted")
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mined = urls.mine(labelled_urls(spark, sf_dir))
+    return urls.judged(_table(spark, sf_dir, "pages"), mined, URL_RULES)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_decontamination": op2_decontamination,
+        "op3_warc": op3_warc,
+        "op7_sharding": op7_sharding,
+        "op8_urls": op8_urls,
     }
 
 
