@@ -20,20 +20,25 @@ BLOCK_SCHEMA = (
 )
 
 
+def squeeze(raw: bytes) -> bytes:
+    """Bytes compressed, with their size before them."""
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def unsqueeze(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+
+
 def pack(values: np.ndarray) -> bytes:
     """An array as compressed byte planes."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    raw = np.ascontiguousarray(planes).tobytes()
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+    return squeeze(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:
     """The array that :func:`pack` was given."""
-    size, width = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
-    if not size:
-        return np.empty(0, dtype)
-    raw = pa.decompress(data[8:], size, "zstd", asbytes=True)
-    planes = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    planes = np.frombuffer(unsqueeze(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
@@ -84,7 +89,7 @@ class _Block:
         packed = [
             {
                 "part": part,
-                "terms": b"\n".join(terms),
+                "terms": squeeze(b"\n".join(terms)),
                 "numbers": pack(np.diff(np.array(numbers, np.uint32), prepend=np.uint32(0))),
             }
             for part, (terms, numbers) in sorted(chunks.items())
@@ -94,7 +99,7 @@ class _Block:
 
 
 def word_blocks(
-    docs: DataFrame, key: str, text: str, split, parts: int, block_bytes: int = 8 << 20
+    docs: DataFrame, key: str, text: str, split, parts: int, block_bytes: int = 32 << 20
 ) -> DataFrame:
     """One row per block. ``split`` makes a list of words without line feeds from bytes.
 

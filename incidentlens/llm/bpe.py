@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import numbers_of, pack, ranges, rows_of, unpack, word_blocks
+from incidentlens.llm.blocks import numbers_of, pack, ranges, rows_of, unpack, unsqueeze, word_blocks
 from incidentlens.sources.scratch import materialise
 
 VOCABULARY = "word_bpe_49k.json"
@@ -45,7 +45,7 @@ def _encoded_words(path: str):
     def encode(batches):
         tokenizer, known = _tokenizer(path), {}
         for block, terms, numbers in rows_of(batches, 64):
-            words = terms.split(b"\n")
+            words = unsqueeze(terms).split(b"\n")
             new = [w for w in words if w not in known]
             for start in range(0, len(new), 10_000):
                 some = new[start : start + 10_000]
