@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlens.llm import bpe, decontamination, sharding, urls, warc
+from incidentlens.llm import bpe, decontamination, minhash, sharding, suffixes, urls, warc
 from incidentlens.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,19 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(_table(spark, sf_dir, "pages"), folder), folder)
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.kept_first(minhash.groups(_table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.slotted(sharding.shard(_table(spark, sf_dir, "documents")))
 
@@ -68,6 +81,8 @@ def queries() -> dict[str, Query]:
         "op1_bpe": op1_bpe,
         "op2_decontamination": op2_decontamination,
         "op3_warc": op3_warc,
+        "op5_suffixes": op5_suffixes,
+        "op6_minhash": op6_minhash,
         "op7_sharding": op7_sharding,
         "op8_urls": op8_urls,
     }
