@@ -5,7 +5,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlens.llm import bpe, decontamination, minhash, sharding, suffixes, urls, warc
+from incidentlens.llm import (
+    bpe,
+    decontamination,
+    html,
+    minhash,
+    quality,
+    sharding,
+    suffix_tree,
+    suffixes,
+    urls,
+    warc,
+)
 from incidentlens.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +53,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(_table(spark, sf_dir, "pages"), folder), folder)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.judged(documents, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
     return cut.select(
@@ -76,15 +94,27 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(_table(spark, sf_dir, "pages"), mined, URL_RULES)
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scored(_table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extracted(pages, html.learned(pages))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_decontamination": op2_decontamination,
         "op3_warc": op3_warc,
+        "op4_quality": op4_quality,
         "op5_suffixes": op5_suffixes,
         "op6_minhash": op6_minhash,
         "op7_sharding": op7_sharding,
         "op8_urls": op8_urls,
+        "op9_suffix_tree": op9_suffix_tree,
+        "op10_html": op10_html,
     }
 
 
