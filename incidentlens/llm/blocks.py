@@ -6,6 +6,7 @@ chunks by the hash of the word. What is known of a word is found once per chunk
 and joined back to the blocks by number, so that no row per word is shuffled.
 """
 
+import uuid
 import zlib
 
 import numpy as np
@@ -14,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from incidentlens.sources.scratch import scratch_path
+
 BLOCK_SCHEMA = (
     "block long, keys array<long>, counts array<int>, words binary, "
     "chunks array<struct<part:int, terms:binary, numbers:binary>>"
@@ -99,7 +102,7 @@ class _Block:
 
 
 def word_blocks(
-    docs: DataFrame, key: str, text: str, split, parts: int, block_bytes: int = 32 << 20
+    docs: DataFrame, key: str, text: str, split, parts: int, block_bytes: int = 16 << 20
 ) -> DataFrame:
     """One row per block. ``split`` makes a list of words without line feeds from bytes.
 
@@ -122,6 +125,25 @@ def word_blocks(
     return rows.mapInArrow(blocks, BLOCK_SCHEMA)
 
 
+def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` written in buckets by a column, so that joins by it don't shuffle it again.
+
+    The name of the table is needed for writing only; the files are scratch data.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.write.format("parquet")
+        .option("path", scratch_path(spark, name))
+        .bucketBy(buckets, column)
+        .saveAsTable(table)
+    )
+    written = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return written
+
+
 def numbers_of(chunk: bytes) -> np.ndarray:
     """The word numbers of a chunk, in the order of its terms."""
     return np.cumsum(unpack(chunk, np.uint32), dtype=np.uint32)

@@ -14,11 +14,10 @@ empty table gives none; other columns are not looked at.
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import numbers_of, pack, ranges, rows_of, unpack, unsqueeze, word_blocks
-from incidentlens.sources.scratch import materialise
+from incidentlens.llm.blocks import bucketed, numbers_of, pack, ranges, rows_of, unpack, unsqueeze, word_blocks
 
 VOCABULARY = "word_bpe_49k.json"
 SCHEMA = "{key} long, n_tokens long, ids array<int>, decoded string"
@@ -134,10 +133,9 @@ def encode_decode(
     holds the distinct words of some of them, so it should grow with the input:
     four for each shuffle partition by default.
     """
-    spark: SparkSession = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = parts or 4 * partitions
-    blocks = materialise(word_blocks(docs, key, text, bytes.split, parts), "bpe_blocks")
+    blocks = bucketed(word_blocks(docs, key, text, bytes.split, parts), "block", "bpe_blocks")
     words = (
         blocks.select("block", F.explode("chunks").alias("c"))
         .select("block", "c.part", "c.terms", "c.numbers")
@@ -153,12 +151,13 @@ def encode_decode(
     )
 
 
-def digests(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counts and SHA-256 digests of what :func:`encode_decode` returns."""
+def digests(encoded: DataFrame, key: str = "doc_id", more: list[str] | None = None) -> DataFrame:
+    """Counts and SHA-256 digests of what :func:`encode_decode` returns, and columns of it."""
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return encoded.select(
         key,
         "n_tokens",
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(more or []),
     )

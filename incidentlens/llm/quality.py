@@ -182,9 +182,3 @@ def judged(
     return measured.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(cut))
     )
-
-
-def without_bad(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of documents that are kept."""
-    stay = materialise(judged(docs, labels, key, text).where("kept").select(key).distinct(), "kept")
-    return docs.join(stay, docs[key].eqNullSafe(stay[key]), "left_semi")

@@ -172,7 +172,7 @@ def shard(
         "sizes",
     )
     linked = rows.where("g IS NOT NULL").groupBy("g").agg(F.count(F.lit(1)).alias("group_size"))
-    linked = linked.where("group_size > 1")
+    linked = materialise(linked.where("group_size > 1"), "groups")  # so that a large group's join is split
     rows = materialise(rows.join(linked, "g", "left"), "linked")
     total = rows.count()
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
@@ -188,9 +188,10 @@ def shard(
         .groupBy("g")  # a row per shard at most
         .agg(F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("places"))
     )
+    members = numbered(rows.where("group_size > 1"), ["g"], ["doc_id"], "_member", 64)
     placed = (
-        numbered(rows.where("group_size > 1"), ["g"], ["doc_id"], "_member", 64)
-        .join(places, "g")
+        materialise(members, "members")
+        .join(materialise(places, "places"), "g")
         .withColumn(
             "shard", F.filter("places", lambda p: F.col("_member") < p["end"])[0]["shard"]
         )

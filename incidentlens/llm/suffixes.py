@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import pack, ranges, rows_of, squeeze, unpack, unsqueeze
+from incidentlens.llm.blocks import bucketed, pack, ranges, rows_of, squeeze, unpack, unsqueeze
 from incidentlens.sources.scratch import materialise
 
 DEPTH, GRAM = 50, 20
@@ -132,28 +132,36 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-BLOCKS = "block long, size long, keys array<long>, lengths array<long>, body binary"
+BLOCKS = "block long, size long, keys array<long>, lengths array<long>, more array<string>, body binary"
 _BLOCKS = pa.schema(
     [
         ("block", pa.int64()), ("size", pa.int64()), ("keys", pa.list_(pa.int64())),
-        ("lengths", pa.list_(pa.int64())), ("body", pa.binary()),
+        ("lengths", pa.list_(pa.int64())), ("more", pa.list_(pa.string())), ("body", pa.binary()),
     ]
 )
 
 
 def _blocked(block_bytes: int):
     def blocks(batches):
-        first, made, keys, texts, size = TaskContext.get().partitionId() << 32, 0, [], [], 0
-        for key, text in rows_of(batches):
+        first, made, size = TaskContext.get().partitionId() << 32, 0, 0
+        keys, texts, more = [], [], []
+
+        def block():
+            row = (first + made, size, keys, list(map(len, texts)), more, squeeze(b"".join(texts)))
+            return _batch([row], _BLOCKS)
+
+        for key, text, other in rows_of(batches):
             text = text or b""
             if keys and size + len(text) > block_bytes:
-                yield _batch([(first + made, size, keys, list(map(len, texts)), squeeze(b"".join(texts)))], _BLOCKS)
-                made, keys, texts, size = made + 1, [], [], 0
+                yield block()
+                made, size = made + 1, 0
+                keys, texts, more = [], [], []
             keys.append(key)
             texts.append(text)
+            more.append(other)
             size += len(text) + 64
         if keys:
-            yield _batch([(first + made, size, keys, list(map(len, texts)), squeeze(b"".join(texts)))], _BLOCKS)
+            yield block()
 
     return blocks
 
@@ -363,12 +371,18 @@ def _refined(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(out, _ANSWERS)])
 
 
-def _cut(buckets: int, key: str):
+def _whole_characters(body: bytes, gone: np.ndarray) -> str:
+    """The text of the runs of bytes that stay, without characters that were cut."""
+    edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=1, append=1)).tolist()
+    return "".join(body[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+def _cut(buckets: int, key: str, as_text: bool):
     """Third pass: the bytes that stay of each document."""
     schema = pa.schema(
         [
             (key, pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-            ("kept", pa.binary()),
+            ("kept", pa.string() if as_text else pa.binary()), ("more", pa.string()),
         ]
     )
 
@@ -388,37 +402,51 @@ def _cut(buckets: int, key: str):
             change[goes] += 1
             change[goes + DEPTH] -= 1
             covered = np.cumsum(change[:-1]) > 0
-            for name, length, end in zip(row["keys"], row["lengths"], np.cumsum(units.lengths).tolist(), strict=True):
-                gone = covered[end - length : end]
+            ends = np.cumsum(units.lengths).tolist()
+            for name, length, more, end in zip(row["keys"], row["lengths"], row["more"], ends, strict=True):
+                gone, body = covered[end - length : end], units.body[end - length : end]
                 removed = int(np.count_nonzero(gone))
-                if removed:
-                    spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                    kept = units.data[end - length : end][~gone].tobytes()
+                spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)) if removed else 0
+                if as_text:
+                    kept = _whole_characters(body, gone) if removed else body.decode()
                 else:
-                    spans, kept = 0, units.body[end - length : end]
-                out.append((name, length, removed, spans, kept))
+                    kept = units.data[end - length : end][~gone].tobytes() if removed else body
+                out.append((name, length, removed, spans, kept, more))
         return pa.Table.from_batches([_batch(out, schema)])
 
     return cut
 
 
 def without_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    carried: list[str] | None = None,
+    as_text: bool = False,
+    block_bytes: int = 8 << 20,
+    bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Key, bytes, removed bytes, removed spans and the bytes that stay of every document.
 
+    With ``as_text`` these are text, without characters of which a byte goes. The
+    columns ``carried``, of types that JSON keeps, come along in a struct ``more``.
     A task holds a block or a bucket; buckets get about ``bucket_bytes`` of text each,
     and there are four for each shuffle partition at least.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long"), F.col(text).cast("string").cast("binary"))
-    blocks = materialise(rows.mapInArrow(_blocked(block_bytes), BLOCKS), "blocks")
+    more = F.to_json(F.struct(*carried)) if carried else F.lit(None).cast("string")
+    rows = docs.select(F.col(key).cast("long"), F.col(text).cast("string").cast("binary"), more)
+    blocks = bucketed(rows.mapInArrow(_blocked(block_bytes), BLOCKS), "block", "blocks")
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // bucket_bytes)
-    digits = blocks.mapInArrow(_digits(buckets), DIGITS)
+    digits = blocks.drop("more").mapInArrow(_digits(buckets), DIGITS)
     flags = materialise(digits.groupBy("bucket").applyInArrow(_surviving, ANSWERS), "flags")
-    by_block = blocks.groupBy("block")
-    units = by_block.cogroup(flags.groupBy("block")).applyInArrow(_units(buckets), UNITS)
-    least = units.groupBy("bucket").applyInArrow(_refined, ANSWERS)
-    result = f"{key} long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return by_block.cogroup(flags.unionByName(least).groupBy("block")).applyInArrow(_cut(buckets, key), result)
+    to_units = blocks.drop("more").groupBy("block").cogroup(flags.groupBy("block"))
+    least = to_units.applyInArrow(_units(buckets), UNITS).groupBy("bucket").applyInArrow(_refined, ANSWERS)
+    kind = "string" if as_text else "binary"
+    result = f"{key} long, n_bytes long, n_removed long, n_spans long, kept {kind}, more string"
+    answers = flags.unionByName(least).groupBy("block")
+    cut = blocks.groupBy("block").cogroup(answers).applyInArrow(_cut(buckets, key, as_text), result)
+    if not carried:
+        return cut.drop("more")
+    return cut.withColumn("more", F.from_json("more", docs.select(*carried).schema))

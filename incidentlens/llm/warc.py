@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from incidentlens.llm.blocks import rows_of
 from incidentlens.sources.scratch import materialise, remove
 
-CELLS = 65_536  # of the key's range, for shards of even size
+CELLS = 4_096  # of the key's range, for shards of even size
 BROADCAST_REPEATS = 200_000
 DATE = "2000-01-01T00:00:00Z"  # of every record: archives don't depend on when they are made
 MANIFEST = "shard int, sequence int, file string, temporary string, records long, bytes long, sha1 string"
@@ -209,8 +209,8 @@ def _shard_of(key: Column, low: int, high: int, sizes: dict[int, int], shard_byt
     offset = F.coalesce(key, F.lit(low)) - F.lit(low)
     cell = F.floor(offset / F.lit(width)).cast("int")
     inside = offset - cell.cast("long") * F.lit(width)
-    start = F.get(F.lit(first).cast("array<int>"), cell)
-    count = F.get(F.lit(parts).cast("array<int>"), cell)
+    table = lambda values: F.split(F.lit(" ".join(map(str, values))), " ").cast("array<int>")
+    start, count = F.get(table(first), cell), F.get(table(parts), cell)
     return (start + F.floor(inside * count / F.lit(width))).cast("int")
 
 
