@@ -8,16 +8,19 @@ are linked, and groups are the connected components.
 2. Classes that agree in a band share a bucket. A pair at the threshold meets in no
    bucket with a chance of 3e-7 (``(1 - 0.75 ** ROWS) ** BANDS``). Buckets with the
    same members count once.
-3. Links are confirmed on full sets, without all pairs of a bucket: first each class
-   with the hub of its buckets, the class that meets others most often; then, in
-   blocks of bounded size, a forest of the most similar pairs by signature between
-   parts not connected yet; at last all pairs that are left, so that no link between
-   different parts is lost. Signatures rule a pair out only far below the threshold.
+3. Links are confirmed on full sets: first each class with the hub of its buckets,
+   the class that meets others most often. Then buckets with several parts are gone
+   through in pairs of chunks of bounded size: a task compares the classes of two
+   chunks that are not connected yet, on full sets, and returns a forest of the links,
+   at most one row per class. No pair is returned only to be looked up, and no link
+   between different parts is lost. Signatures rule a pair out only far below the
+   threshold.
 4. Components are found after each of these steps, by large-star and small-star.
 
 Defined results: a NULL, empty or blank text has an empty set and no links; fewer
-than five words are one shingle; rows of one key are one document; a row without key
-links to nothing but its equals' group; an empty table gives no rows; other columns
+than five words are one shingle; every row gives one row; texts of one key that are
+the smallest key's of their class are one group; a row without key joins the group of
+its equals or none; an empty table gives no rows; other columns
 are not looked at.
 """
 
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import pack, rows_of, unpack
+from incidentlens.llm.blocks import pack, ranges, rows_of, unpack
 from incidentlens.llm.components import components
 from incidentlens.sources.scratch import materialise, remove
 
@@ -38,8 +41,7 @@ BANDS, ROWS = 40, 4
 HASHES = BANDS * ROWS
 # Share of equal minima below which a pair can't be at the threshold: 5.5 standard deviations.
 LEAST_EQUAL = PERCENT / 100 - 5.5 * (PERCENT / 100 * (1 - PERCENT / 100) / HASHES) ** 0.5
-BLOCK = 256  # classes of a bucket that are compared at once
-FOREST_ROUNDS = 2
+BLOCK, BLOCK_SHINGLES = 256, 1_000_000  # classes of a bucket, and shingles, that are compared at once
 BROADCAST_KEYS = 1_000_000
 
 _RANDOM = np.random.default_rng(20240229)
@@ -88,6 +90,10 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out.T
 
 
+def _digest(found: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+
+
 def _band_keys(minima: np.ndarray) -> np.ndarray:
     keys = np.empty((len(minima), BANDS), np.uint64)
     for band in range(BANDS):
@@ -119,7 +125,7 @@ def _signed(batches):
         columns = (
             docs,
             [len(s) for s in sets],
-            [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+            [_digest(s) for s in sets],
             [next(keys) if len(s) else None for s in sets],
             [next(signs).tobytes() if len(s) else None for s in sets],
         )
@@ -144,14 +150,15 @@ def _packed_sets(batches):
 
     def batch(rows):
         columns = zip(*rows, strict=True)
-        types = (pa.int64(), pa.binary())
+        types = (pa.int64(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc", "members"]
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc", "digest", "members"]
         )
 
     rows = []
     for doc, text in rows_of(batches):
-        rows.append((doc, pack(np.diff(shingles(text, hashes), prepend=np.uint64(0)))))
+        found = shingles(text, hashes)
+        rows.append((doc, _digest(found), pack(np.diff(found, prepend=np.uint64(0)))))
         if len(rows) == 500:
             yield batch(rows)
             rows = []
@@ -190,68 +197,68 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.groupBy("hub", "chunk").applyInPandas(_confirmed_in_chunk, "a long, b long")
 
 
-def _similar_pairs(forest: bool):
-    """Pairs of a block that may be linked and lie in different parts, as (a, b).
+def _links_in_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) between parts of a block, confirmed on full sets; a forest of them.
 
-    With ``forest`` only as many as connect the parts, most similar first.
+    Signatures and sizes choose whom a class is compared with; what the links found
+    so far connect isn't compared again. At most one row for each class.
+    """
+    pdf = pdf.drop_duplicates("digest").sort_values("doc", ignore_index=True)
+    signs = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(-1, HASHES)
+    docs, sizes, home = pdf["doc"].to_numpy(), pdf["n_shingles"].to_numpy(), pdf["chunk"].to_numpy()
+    label = pdf["part"].to_numpy().copy()
+    two_chunks = pdf["low"].iloc[0] != pdf["high"].iloc[0]
+    _, members = np.unique(np.concatenate([_unpacked(m) for m in pdf["members"]]), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    is_own = np.zeros(len(members), bool)
+    found = []
+    for i in range(len(pdf) - 1):
+        rest = slice(i + 1, None)
+        ok = label[rest] != label[i]
+        ok &= 100 * np.minimum(sizes[rest], sizes[i]) >= PERCENT * np.maximum(sizes[rest], sizes[i])
+        if two_chunks:
+            ok &= home[rest] != home[i]
+        others = i + 1 + np.flatnonzero(ok)
+        equal = np.count_nonzero(signs[others] == signs[i], axis=1)
+        others = others[equal >= LEAST_EQUAL * HASHES]
+        if not len(others):
+            continue
+        own = members[starts[i] : starts[i] + sizes[i]]
+        is_own[own] = True
+        hits = is_own[members[ranges(starts[others], sizes[others])]]
+        is_own[own] = False
+        common = np.add.reduceat(hits, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+        others = others[100 * common >= PERCENT * (sizes[others] + sizes[i] - common)]
+        parts, first = np.unique(label[others], return_index=True)
+        found += [(docs[i], docs[j]) for j in others[first]]
+        label[np.isin(label, parts)] = label[i]
+    columns = zip(*found, strict=True) if found else ((), ())
+    return pd.DataFrame({name: pd.Series(c, dtype="int64") for name, c in zip("ab", columns, strict=True)})
+
+
+def _blocks(members: DataFrame, classes: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of buckets with several parts and their sets, in pairs of chunks.
+
+    A chunk has about BLOCK classes, or BLOCK_SHINGLES shingles if that is less.
     """
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc", ignore_index=True)
-        signs = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(-1, HASHES)
-        docs, parts = pdf["doc"].to_numpy(), pdf["part"].to_numpy()
-        sizes, home = pdf["n_shingles"].to_numpy(), pdf["chunk"].to_numpy()
-        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
-        found = []
-        for i in range(len(pdf) - 1):
-            rest = slice(i + 1, None)
-            equal = np.count_nonzero(signs[rest] == signs[i], axis=1)
-            ok = (equal >= LEAST_EQUAL * HASHES) & (parts[rest] != parts[i])
-            small, large = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
-            ok &= 100 * small >= PERCENT * large
-            if low != high:
-                ok &= home[rest] != home[i]
-            found += [(-int(equal[j]), i, i + 1 + int(j)) for j in np.flatnonzero(ok)]
-        if forest:
-            root = {p: p for p in parts}
-
-            def top(p):
-                while root[p] != p:
-                    root[p] = p = root[root[p]]
-                return p
-
-            kept = []
-            for e, i, j in sorted(found):
-                x, y = top(parts[i]), top(parts[j])
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    kept.append((e, i, j))
-            found = kept
-        return pd.DataFrame(
-            {
-                "a": pd.Series([docs[i] for _, i, _ in found], dtype="int64"),
-                "b": pd.Series([docs[j] for _, _, j in found], dtype="int64"),
-            }
-        )
-
-    return pairs
-
-
-def _blocks(members: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
-    """Members of buckets with several parts, in pairs of chunks of about BLOCK classes."""
     rows = members.join(parts.select(F.col("node").alias("doc"), "root"), "doc", "left").select(
-        "bucket", "doc", F.coalesce("root", "doc").alias("part")
+        "bucket", "doc", "digest", "n_shingles", F.coalesce("root", "doc").alias("part")
     )
     mixed = rows.groupBy("bucket").agg(
-        F.min("part").alias("least"), F.max("part").alias("most"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("chunks")
+        F.min("part").alias("least"),
+        F.max("part").alias("most"),
+        F.ceil(
+            F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+        ).alias("chunks"),
     )
     rows = rows.join(mixed.where("least <> most").select("bucket", "chunks"), "bucket")
     chunk = F.pmod(F.xxhash64("doc"), "chunks")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     rows = rows.withColumn("chunk", chunk).withColumn("other", other)
-    return rows.join(classes.select("doc", "n_shingles", "signature"), "doc").select(
+    keys = ["doc", "digest"]
+    return rows.join(classes.select(*keys, "signature"), keys).join(sets, keys).select(
         "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-        "chunk", "doc", "part", "n_shingles", "signature",
+        "chunk", "doc", "digest", "part", "n_shingles", "signature", "members",
     )
 
 
@@ -261,11 +268,11 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").cast("binary").alias("text"))
     signed = materialise(rows.mapInArrow(_signed, SIGNED), "signed")
     full = signed.where("digest IS NOT NULL AND doc IS NOT NULL")
-    first = full.groupBy("digest").agg(F.min("doc").alias("doc"))
-    classes = materialise(full.join(first, ["digest", "doc"]), "classes")
+    least = F.min(F.struct("doc", "n_shingles", "bands", "signature")).alias("least")
+    classes = materialise(full.groupBy("digest").agg(least).select("digest", "least.*"), "classes")
 
-    spread = classes.select("doc", F.explode("bands").alias("bucket"))
-    hashed = F.xxhash64("doc")
+    spread = classes.select("doc", "digest", "n_shingles", F.explode("bands").alias("bucket"))
+    hashed = F.xxhash64("digest")
     shared = (
         spread.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("size"), F.sum(hashed.cast("decimal(30,0)")).alias("s"), F.bit_xor(hashed).alias("x"))
@@ -277,7 +284,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     wanted = members.select("doc").distinct()
     texts = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted, "doc", "left_semi")
-    sets = materialise(texts.mapInArrow(_packed_sets, "doc long, members binary"), "sets")
+    sets = materialise(texts.mapInArrow(_packed_sets, "doc long, digest binary, members binary"), "sets")
 
     meets = members.groupBy("doc").agg(F.sum((F.col("size") - 1) * F.col("times")).alias("meets"))
     rank = F.struct("meets", (-F.col("doc")).alias("least"))
@@ -291,29 +298,18 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         .where("a <> b")
     )
 
-    def linked(pairs: DataFrame, parts: DataFrame | None) -> tuple[DataFrame, str]:
-        edges = _confirmed(pairs, sets)
-        if parts is not None:
-            edges = edges.unionByName(parts.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        return components(edges)
-
-    parts, path = linked(stars, None)
-    for step in range(FOREST_ROUNDS + 1):
-        found = (
-            _blocks(members, classes, parts)
-            .groupBy("bucket", "low", "high")
-            .applyInPandas(_similar_pairs(forest=step < FOREST_ROUNDS), "a long, b long")
-            .distinct()
-        )
-        pairs = materialise(found, "pairs")
-        if pairs.isEmpty():
-            break
-        (parts, new), old = linked(pairs, parts), path
-        path = new
-        remove(spark, old)
+    parts, path = components(_confirmed(stars, sets))
+    links = (
+        _blocks(members, classes, sets, parts)
+        .groupBy("bucket", "low", "high")
+        .applyInPandas(_links_in_block, "a long, b long")
+        .unionByName(parts.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    )
+    parts, _ = components(links)
+    remove(spark, path)
 
     out = signed.select("doc", "n_shingles", "digest").join(
-        first.select("digest", F.col("doc").alias("first")), "digest", "left"
+        classes.select("digest", F.col("doc").alias("first")), "digest", "left"
     )
     out = out.join(parts.select(F.col("node").alias("first"), "root"), "first", "left")
     return out.select(
