@@ -15,6 +15,7 @@ ones; an empty table gives no rows; other columns are not looked at.
 """
 
 import math
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -160,7 +161,7 @@ def threshold(measured: DataFrame, labels: DataFrame, key: str = "doc_id", good:
     )  # bounded: a ratio of smoothed counts has a bounded logarithm
     lost, caught = 0, 0
     best, cut = 0, -math.inf
-    for row, following in zip(rows, [*rows[1:], None], strict=True):
+    for row, following in zip_longest(rows, rows[1:]):
         lost, caught = lost + (row["good"] or 0), caught + (row["bad"] or 0)
         if following and caught - DROP_COST * lost > best:
             best, cut = caught - DROP_COST * lost, (row["bin"] + 1 + following["bin"]) / 2 * _BIN
