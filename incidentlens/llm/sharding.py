@@ -3,7 +3,8 @@
 Documents of equal text are linked. Labels (shards) start by hash; in each round
 the members a group has in one shard want to join the shard where the group is
 strongest, and may as far as quotas allow: what is free there, and swaps between
-two shards. Members of a group are interchangeable, so a round works on counts by
+two shards. Shards may be over their capacity by a quarter meanwhile; at the end they
+give whole groups up again, which are poured where there is room. Members of a group are interchangeable, so a round works on counts by
 (group, shard), at most one row per group and shard, however large the group.
 Documents without links fill up the shards, whose counts differ by at most one
 (law ``rows``).
@@ -23,17 +24,21 @@ from pyspark.sql.window import Window
 
 from incidentlens.sources.scratch import materialise, remove, scratch_path
 
+SLACK = 4  # a shard may be over its capacity by this part of it until the rounds are over
+CHUNK = 1024  # members of a group that are poured together
 POOL = -1  # label of documents that a full shard gives up
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, buckets: int) -> DataFrame:
-    """Numbers the rows of each key from 0 without gaps, in buckets by hash.
+def numbered(
+    df: DataFrame, keys: list[str], order: list[str], name: str, buckets: int, by: list[str] | None = None
+) -> DataFrame:
+    """Numbers the rows of each key from 0 without gaps, in buckets by hash of ``by`` (or ``order``).
 
     No task holds a whole key: rows are numbered within their bucket, and buckets
     start where the smaller ones end.
     """
     by_bucket = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets))).withColumn(
+    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*by or order), F.lit(buckets))).withColumn(
         "_number", F.row_number().over(by_bucket).cast("long")
     )
     sizes = rows.groupBy(*keys, "_bucket").agg(F.max("_number").alias("_size"))
@@ -91,7 +96,7 @@ def _by_shard(state: DataFrame, shards: int) -> list[int]:
 
 
 def _propagated(state: DataFrame, capacity: list[int], rounds: int) -> DataFrame:
-    """The counts by group and shard after the rounds; never more than the capacity."""
+    """The counts by group and shard after the rounds; what is over the capacity has label POOL."""
     spark, shards = state.sparkSession, len(capacity)
 
     def kept(df: DataFrame) -> tuple[DataFrame, str]:
@@ -102,9 +107,11 @@ def _propagated(state: DataFrame, capacity: list[int], rounds: int) -> DataFrame
     state, path = kept(state)
     for _ in range(rounds):
         used = _by_shard(state, shards)
-        free = [max(0, c - u) for c, u in zip(capacity, used, strict=True)]
+        free = [max(0, c + c // SLACK - u) for c, u in zip(capacity, used, strict=True)]
         is_open = F.col("shard").isin([s for s in range(shards) if free[s]])
-        best = F.struct((~is_open).alias("closed"), (-F.col("n")).alias("less"), "shard")
+        # Equal shards by hash, so that wishes of many small groups go both ways and can be swapped.
+        tie = F.xxhash64("g", "shard").alias("tie")
+        best = F.struct((~is_open).alias("closed"), (-F.col("n")).alias("less"), tie, "shard")
         group = Window.partitionBy("g")
         wishes = (
             state.withColumn("best", F.min(best).over(group))
@@ -195,13 +202,15 @@ def shard(
         .withColumn(
             "shard", F.filter("places", lambda p: F.col("_member") < p["end"])[0]["shard"]
         )
+        .withColumn("_chunk", F.xxhash64("g", F.floor(F.col("_member") / CHUNK)))
         .drop("places", "_member")
     )
     filled = _by_shard(state, shards)
-    rest = rows.where("group_size IS NULL").withColumn("shard", F.lit(POOL))
+    rest = rows.where("group_size IS NULL").withColumns({"shard": F.lit(POOL), "_chunk": F.xxhash64("doc_id")})
     pool = placed.where(F.col("shard") == POOL).unionByName(rest)
     room = [c - u for c, u in zip(capacity, filled, strict=True)]
-    poured = numbered(pool, [], ["doc_id"], "_pooled", buckets)
+    # What a group gives up stays together, in chunks, so that only the shards' borders cut it.
+    poured = numbered(pool, [], ["_chunk", "doc_id"], "_pooled", buckets, by=["_chunk"])
     poured = poured.withColumn("shard", _range_of(F.col("_pooled"), room)).drop("_pooled")
     out = placed.where(F.col("shard") != POOL).unionByName(poured)
     return out.select(F.col("doc_id").alias(key), "size", "text_crc32", "g", "shard")
