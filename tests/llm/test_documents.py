@@ -1,0 +1,157 @@
+"""Operators over documents against brute force: the given tables and awkward rows."""
+
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from incidentlens.llm import bpe, decontamination, minhash, quality, queries, sharding, suffix_tree, suffixes
+import brute
+from samples import prose
+
+
+def rows(df, *columns):
+    found = [tuple(r) for r in df.select(*columns).collect()] if columns else [tuple(r) for r in df.collect()]
+    assert len(found) == len(set(found))
+    return set(found)
+
+
+def test_bpe(spark, small, given, awkward, awkward_docs, no_docs, vocabulary):
+    assert rows(queries.op1_bpe(spark, small)) == brute.bpe(given, vocabulary)
+    assert rows(bpe.digests(bpe.encode_decode(awkward_docs, vocabulary))) == brute.bpe(awkward, vocabulary)
+    assert bpe.encode_decode(no_docs, vocabulary).isEmpty()
+
+
+def test_bpe_over_several_blocks_and_repeated_rows(spark, awkward_docs, awkward, vocabulary, monkeypatch):
+    few = bpe.word_blocks
+    monkeypatch.setattr(bpe, "word_blocks", lambda *a: few(*a, block_bytes=500))
+    twice = bpe.digests(bpe.encode_decode(awkward_docs.union(awkward_docs), vocabulary)).collect()
+    assert len(twice) == 2 * len(awkward)
+    assert {tuple(r) for r in twice} == brute.bpe(awkward, vocabulary)
+
+
+ITEMS = [(0, None), (1, ""), (2, "one two THREE four"), (3, "one"), (4, prose(2, 30)), (5, prose(2, 30)), (6, prose(8, 9))]
+
+
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_decontamination(spark, awkward, awkward_docs, no_docs, most, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontamination.digests(decontamination.contamination(awkward_docs, items))
+    assert rows(found) == brute.contamination(awkward, ITEMS)
+    assert decontamination.contamination(no_docs, items).isEmpty()
+    clean = decontamination.contamination(awkward_docs, items.limit(0)).where("n_hit > 0")
+    assert clean.isEmpty()
+
+
+def test_decontamination_of_given_tables(spark, small, given):
+    items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
+    assert rows(queries.op2_decontamination(spark, small)) == brute.contamination(given, items)
+
+
+BASE = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_quality_base_rules(spark, small, given, awkward, awkward_docs, no_docs):
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    assert rows(queries.op4_quality(spark, small), *BASE) == brute.base_rules(given)
+    judged = quality.judged(awkward_docs, labels.limit(0))
+    assert rows(judged, *BASE) == brute.base_rules(awkward)
+    assert judged.where("kept = base_failed").isEmpty()  # without labels the base rules decide
+    assert quality.judged(no_docs, labels).isEmpty()
+
+
+def test_quality_verdicts_on_labelled_documents(spark, small):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = queries.op4_quality(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("NOT base_failed")
+    good = judged.where("quality = 1 AND toxic = 0")
+    assert good.where("kept").count() >= 0.97 * good.count()
+
+
+def test_suffixes(spark, small, given, awkward, awkward_docs, no_docs):
+    assert rows(queries.op5_suffixes(spark, small)) == set(brute.without_repeats(given))
+    some = [(k, t) for k, t in awkward if len(t or "") < 20_000]
+    expected = set(brute.without_repeats(some))
+    docs = awkward_docs.where(F.coalesce(F.length("text"), F.lit(0)) < 20_000)
+    for options in ({}, {"block_bytes": 300, "bucket_bytes": 100}):
+        cut = suffixes.without_repeats(docs, **options)
+        found = cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+        assert rows(found) == expected
+    assert suffixes.without_repeats(no_docs).isEmpty()
+
+
+def test_suffixes_of_hot_digits_and_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    shared = prose(11, 25)
+    some = [(i % 30, f"{prose(100 + i, 10)} {shared} {'z' * (i * 7)}") for i in range(40)]
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    found = suffixes.without_repeats(docs, block_bytes=700).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)
+    )
+    assert sorted(map(tuple, found.collect())) == sorted(brute.without_repeats(some))
+
+
+def test_minhash(spark, small, given, awkward, awkward_docs, no_docs):
+    assert rows(queries.op6_minhash(spark, small)) == brute.near_groups(given)
+    found = minhash.kept_first(minhash.groups(awkward_docs))
+    assert rows(found) == brute.near_groups(awkward)
+    assert minhash.groups(no_docs).isEmpty()
+
+
+def test_minhash_in_small_blocks(spark, monkeypatch):
+    """A chain of near copies without a common neighbour, and classes that are similar but not linked."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    words = prose(21, 200).split()
+    chain = []
+    for k in range(25):
+        words[k * 7 : k * 7 + 3] = [prose(3000 + 10 * k + i, 1) for i in range(3)]
+        chain.append(" ".join(words))
+    base = prose(22, 60).split()
+    apart = [" ".join(w if i % 12 != k else prose(7000 + 50 * k + i, 1) for i, w in enumerate(base)) for k in range(12)]
+    some = list(enumerate([*chain, *apart, *apart]))
+    docs = spark.createDataFrame(some, "doc_id long, text string")
+    assert rows(minhash.kept_first(minhash.groups(docs))) == brute.near_groups(some)
+    again = minhash.kept_first(minhash.groups(docs.union(docs))).collect()
+    assert len(again) == 2 * len(some) and {tuple(r) for r in again} == brute.near_groups(some)
+
+
+def test_sharding(spark, small, given, awkward, awkward_docs, no_docs):
+    for docs, expected in ((spark.read.parquet(f"{small}/documents.parquet"), given), (awkward_docs, awkward)):
+        found = sharding.slotted(sharding.shard(docs)).collect()
+        assert sorted(r["doc_id"] for r in found) == sorted(k for k, _ in expected)
+        texts = dict(expected)
+        for r in found:
+            data = (texts[r["doc_id"]] or "").encode()
+            assert (r["size"], r["text_crc32"], r["law"]) == (len(data) + 1, zlib.crc32(data), "rows")
+        counts = [sorted(r["slot"] for r in found if r["shard"] == s) for s in range(16)]
+        assert all(slots == list(range(len(slots))) for slots in counts)
+        assert max(map(len, counts)) - min(map(len, counts)) <= 1
+    assert sharding.slotted(sharding.shard(no_docs)).isEmpty()
+
+
+def test_small_groups_are_not_cut(spark):
+    """Each of the 16 shards cuts a group at most when it gives up what is too much, and one where it is filled."""
+    texts = [(i, f"text {i // 4}") for i in range(800)]
+    found = sharding.shard(spark.createDataFrame(texts, "doc_id long, text string"))
+    whole = found.groupBy("g").agg(F.count_distinct("shard").alias("n")).where("n = 1").count()
+    assert whole >= 200 - 2 * 16
+
+
+def test_suffix_tree(spark, small, given, awkward, awkward_docs, no_docs):
+    for found, docs in ((queries.op9_suffix_tree(spark, small), given), (suffix_tree.scored(awkward_docs), awkward)):
+        expected = brute.base_scores(docs)
+        found = found.collect()
+        assert len(found) == len(expected)
+        for r in found:
+            exact = (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"])
+            assert exact == expected[r["doc_id"]][:4]
+            assert r["base_score"] == pytest.approx(expected[r["doc_id"]][4], rel=1e-9)
+            assert r["score"] < 0
+    assert suffix_tree.scored(no_docs).isEmpty()
+
+
+def test_contexts_predict_unseen_documents(spark):
+    """On held-out documents the tree is better than frequencies of single words."""
+    found = suffix_tree.scored(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    sums = found.where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert sums[0] > sums[1]

@@ -1,0 +1,101 @@
+"""The corpus pipeline against brute force, stage by stage."""
+
+import brute
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+from samples import prose
+
+from incidentlens.llm import quality, suffixes
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Tables with planted copies, passages and benchmark items."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    base, passage, item = prose(51, 100).split(), prose(52, 60), prose(53, 25)
+    texts = [prose(600 + i, 90) for i in range(20)]
+    texts += [" ".join(base), " ".join(base), " ".join([*base[:50], "changed", *base[51:]])]
+    texts += [f"{prose(701, 80)} {passage} {prose(702, 70)}", f"{prose(703, 75)} {passage}", f"{prose(704, 70)} {item} end"]
+    texts += [None, "", "too short", prose(705, 60) + " é" * 20]
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def texts_of(df):
+    return sorted(tuple(r) for r in df.select("doc_id", "text").collect())
+
+
+def brute_stages(docs, kept, items, vocabulary):
+    """The pipeline's rows; ``kept`` are the keys that the quality rules keep."""
+    docs = [(k, t) for k, t in docs if k in kept]
+    first = {k for k, _, _, is_kept in brute.near_groups(docs) if is_kept}
+    docs = [(k, t) for k, t in docs if k in first]
+    docs = cut_texts(docs)
+    hit = {r[0] for r in brute.contamination(docs, items) if r[5]}
+    return brute.bpe([(k, t) for k, t in docs if k not in hit], vocabulary)
+
+
+def cut_texts(docs, depth=suffixes.DEPTH):
+    data = [(k, (t or "").encode()) for k, t in docs]
+    least = {}
+    for k, body in data:
+        for i in range(len(body) - depth + 1):
+            window = body[i : i + depth]
+            least[window] = min(k, least.get(window, k))
+    out = []
+    for k, body in data:
+        gone = bytearray(len(body))
+        for i in range(len(body) - depth + 1):
+            if least[body[i : i + depth]] < k:
+                gone[i : i + depth] = b"\1" * depth
+        parts, start = [], None
+        for i in range(len(body) + 1):
+            stays = i < len(body) and not gone[i]
+            if stays and start is None:
+                start = i
+            if not stays and start is not None:
+                parts.append(body[start:i].decode("utf-8", "ignore"))
+                start = None
+        out.append((k, "".join(parts)))
+    return out
+
+
+def test_pipeline(spark, tables, small, vocabulary):
+    for folder in (tables, small):
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        labels = spark.read.parquet(f"{folder}/labels.parquet")
+        items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
+        kept = {r["doc_id"] for r in quality.judged(docs, labels).where("kept").collect()}
+        expected = brute_stages(texts_of(docs.fillna("", "text")), kept, items, vocabulary)
+        found = corpus_pipeline.run(spark, folder).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+        assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_stages_keep_the_columns(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        found = function(spark, docs, tables)
+        assert found.columns == docs.columns
+        assert [f.dataType for f in found.schema] == [f.dataType for f in docs.schema]
+        assert function(spark, docs.limit(0), tables).isEmpty(), name
+
+
+def test_planted_rows(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    keys = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
+    assert keys(docs) - keys(stage("quality_rules")(spark, docs, tables)) >= {26, 27, 28}
+    assert keys(docs) - keys(stage("near_duplicates")(spark, docs, tables)) == {21, 22}
+    assert keys(docs) - keys(stage("contaminated")(spark, docs, tables)) == {25}
+    cut = stage("repeated_passages")(spark, docs.where("doc_id <> 21 AND doc_id <> 22"), tables)
+    changed = cut.join(docs, "doc_id").where(~cut["text"].eqNullSafe(docs["text"])).select("doc_id")
+    assert {r["doc_id"] for r in changed.where(F.col("doc_id") != 26).collect()} == {24}
