@@ -41,7 +41,7 @@ BANDS, ROWS = 40, 4
 HASHES = BANDS * ROWS
 # Share of equal minima below which a pair can't be at the threshold: 5.5 standard deviations.
 LEAST_EQUAL = PERCENT / 100 - 5.5 * (PERCENT / 100 * (1 - PERCENT / 100) / HASHES) ** 0.5
-BLOCK, BLOCK_SHINGLES = 256, 1_000_000  # classes of a bucket, and shingles, that are compared at once
+BLOCK, BLOCK_SHINGLES = 2_048, 1_000_000  # classes of a bucket, and shingles, that are compared at once
 BROADCAST_KEYS = 1_000_000
 
 _RANDOM = np.random.default_rng(20240229)
