@@ -142,7 +142,10 @@ _STRIDE = 1 << 21
 
 
 def hex_cell(lon: Column, lat: Column, grid: HexGrid = CITY_GRID) -> Column:
-    """Id (bigint) of the hexagon whose centre is nearest; NULL for a missing point.
+    """Id (bigint) of the hexagon whose centre is nearest.
+
+    NULL for a missing point, one with NaN, infinite or more than 360 degrees, and one
+    too far from the grid's origin for an id.
 
     The three families of lines perpendicular to a hexagon's sides cut the plane
     into unit strips. The strip numbers a, b, c of a point sum to -1 or -2 and
@@ -150,6 +153,8 @@ def hex_cell(lon: Column, lat: Column, grid: HexGrid = CITY_GRID) -> Column:
     ``q = floor((a - c + 1) / 3)`` and ``r = floor((b - a + 1) / 3)``.
     Ids are those of this grid, not of any global index.
     """
+    is_point = (F.abs(lon) <= 360) & (F.abs(lat) <= 360)
+    lon, lat = F.when(is_point, lon), F.when(is_point, lat)
     u = (lon - grid.origin_lon) * grid.metres_per_lon / (_SQRT3 * grid.edge_m)
     v = (lat - grid.origin_lat) * grid.metres_per_lat / grid.edge_m
     a = F.floor(u - v)
@@ -157,4 +162,5 @@ def hex_cell(lon: Column, lat: Column, grid: HexGrid = CITY_GRID) -> Column:
     c = F.floor(u * -2.0)
     q = F.floor((a - c + 1) / 3)
     r = F.floor((b - a + 1) / 3)
-    return (q + _SHIFT) * F.lit(_STRIDE).cast("bigint") + (r + _SHIFT)
+    has_id = q.between(-_SHIFT, _SHIFT - 1) & r.between(-_SHIFT, _SHIFT - 1)
+    return F.when(has_id, (q + _SHIFT) * F.lit(_STRIDE).cast("bigint") + (r + _SHIFT))

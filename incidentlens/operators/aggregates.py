@@ -9,28 +9,29 @@ small table of :func:`grouped`, which one scan of the records makes for all.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.functions.position import BASE_LAT, BASE_LON, mean_degrees, micro_offset
+from incidentlens.functions.position import LIMBS, is_position, limbs, mean_degrees
 
 PRECINCT_KEYS = ("ARREST_PRECINCT", "ARREST_BORO")
 MONTH_KEYS = ("ARREST_BORO", "ARREST_YEAR", "ARREST_MONTH", "LAW_CAT_CD")
 CELL_KEY = "hex_cell"
 _ALL_KEYS = (*PRECINCT_KEYS, "ARREST_YEAR", "ARREST_MONTH", "LAW_CAT_CD", CELL_KEY)
-_SUMS = ("records", "located", "lat_offset", "lon_offset")
+_LAT, _LON = [[f"{name}_{limb}" for limb in LIMBS] for name in ("lat", "lon")]
+_SUMS = ("records", "located", *_LAT, *_LON)
 
 
 def _measures(records: DataFrame) -> DataFrame:
     """Give every record the additive measures that a row of :func:`grouped` has."""
-    lat, lon = F.col("Latitude"), F.col("Longitude")
-    located = lat.isNotNull() & lon.isNotNull()
+    located = is_position(F.col("Latitude"), F.col("Longitude"))
+    lat, lon = F.when(located, F.col("Latitude")), F.when(located, F.col("Longitude"))
     present = set(records.columns)
     return records.select(
         *[name for name in _ALL_KEYS if name in present],
-        "Latitude",
-        "Longitude",
+        lat.alias("Latitude"),
+        lon.alias("Longitude"),
         F.lit(1).cast("bigint").alias("records"),
         F.when(located, 1).otherwise(0).cast("bigint").alias("located"),
-        F.when(located, micro_offset(lat, BASE_LAT)).alias("lat_offset"),
-        F.when(located, micro_offset(lon, BASE_LON)).alias("lon_offset"),
+        *[limb.alias(name) for name, limb in zip(_LAT, limbs(lat), strict=True)],
+        *[limb.alias(name) for name, limb in zip(_LON, limbs(lon), strict=True)],
     )
 
 
@@ -64,8 +65,8 @@ def _centroid(lat_name: str, lon_name: str, exact: bool) -> list[Column]:
         return [F.avg("Latitude").alias(lat_name), F.avg("Longitude").alias(lon_name)]
     located = F.sum("located")
     return [
-        mean_degrees(F.sum("lat_offset"), located, BASE_LAT).alias(lat_name),
-        mean_degrees(F.sum("lon_offset"), located, BASE_LON).alias(lon_name),
+        mean_degrees([F.sum(name) for name in _LAT], located).alias(lat_name),
+        mean_degrees([F.sum(name) for name in _LON], located).alias(lon_name),
     ]
 
 
@@ -102,8 +103,9 @@ def precinct_summary(records: DataFrame, exact: bool = True) -> DataFrame:
 
     Categories other than F, M and V count in the total only. Of equal
     categories F comes before M before V, and F also stands for none at all.
-    ``exact=False`` takes the centroid as a plain ``avg``: full precision per
-    record, but last digits that vary from run to run.
+    Records without a position (a coordinate NULL, NaN, infinite or beyond a full
+    turn) don't count in the centroid. ``exact=False`` takes it as a plain ``avg``,
+    whose last digits vary from run to run.
     """
     return _precincts(_measures(records), exact)
 

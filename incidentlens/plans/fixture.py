@@ -27,14 +27,16 @@ SELECT CAST(k AS STRING) AS ARREST_KEY,
   CASE WHEN k % 53 = 0 THEN '(null)' ELSE concat('R', CAST(k % 6 AS STRING)) END AS PERP_RACE,
   concat(CAST(900000 + k AS STRING), CASE WHEN k % 113 = 0 THEN '.0' ELSE '' END) AS X_COORD_CD,
   CASE WHEN k % 127 = 0 THEN '1,234' ELSE CAST(120000 + k AS STRING) END AS Y_COORD_CD,
-  CASE WHEN k % 47 = 0 THEN NULL ELSE concat(substr(CAST(la AS STRING),1,2),'.',substr(CAST(la AS STRING),3)) END AS Latitude,
-  CASE WHEN k % 43 = 0 THEN NULL ELSE concat('-',substr(CAST(lo AS STRING),1,2),'.',substr(CAST(lo AS STRING),3)) END AS Longitude,
-  CASE WHEN k % 47 = 0 OR k % 43 = 0 THEN NULL ELSE concat('POINT (-',substr(CAST(lo AS STRING),1,2),'.',substr(CAST(lo AS STRING),3),' ',substr(CAST(la AS STRING),1,2),'.',substr(CAST(la AS STRING),3),')') END AS Location
+  CASE WHEN k % 47 = 0 THEN NULL ELSE concat(substr(CAST(la AS STRING),1,2),'.',substr(CAST(la AS STRING),3),ta) END AS Latitude,
+  CASE WHEN k % 43 = 0 THEN NULL ELSE concat('-',substr(CAST(lo AS STRING),1,2),'.',substr(CAST(lo AS STRING),3),tb) END AS Longitude,
+  CASE WHEN k % 47 = 0 OR k % 43 = 0 THEN NULL ELSE concat('POINT (-',substr(CAST(lo AS STRING),1,2),'.',substr(CAST(lo AS STRING),3),tb,' ',substr(CAST(la AS STRING),1,2),'.',substr(CAST(la AS STRING),3),ta,')') END AS Location
 FROM (SELECT o_orderkey AS k, o_orderdate AS d, o_orderstatus AS st, o_orderpriority AS pr, n_nationkey AS n, n_regionkey AS rg,
   CASE WHEN o_orderkey % 41 = 0 THEN 41500000 WHEN o_orderkey % 37 = 0 THEN 40400000
        ELSE 40450000 + (n_nationkey * 7 % 25) * 18000 + (o_orderkey * 7919) % 20000 END AS la,
   CASE WHEN o_orderkey % 31 = 0 THEN 73650000
-       ELSE 74250000 - (n_nationkey * 11 % 25) * 22000 - (o_orderkey * 104729) % 20000 END AS lo
+       ELSE 74250000 - (n_nationkey * 11 % 25) * 22000 - (o_orderkey * 104729) % 20000 END AS lo,
+  CASE WHEN o_orderkey % 41 = 0 OR o_orderkey % 37 = 0 THEN '' ELSE lpad(CAST((o_orderkey * 31337) % 10000000 AS STRING),7,'0') END AS ta,
+  CASE WHEN o_orderkey % 31 = 0 THEN '' ELSE lpad(CAST((o_orderkey * 77261) % 10000000 AS STRING),7,'0') END AS tb
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) t
 """
 

@@ -2,7 +2,7 @@
 
 Written independently of the DataFrame code where the two could share a
 mistake: cells come from rounding cube coordinates, polygons from counting
-crossings per edge, centroids from sums of whole micro-degrees.
+crossings per edge, centroids from wide sums of whole units of 2^-47 degrees.
 """
 
 from incidentlens.plans.fixture import RAW_RECORDS_SQL
@@ -38,6 +38,12 @@ def _case(key: str, names: dict[str, str], otherwise: str) -> str:
     return f"CASE {key} {branches} ELSE {otherwise} END"
 
 
+def _mean(degrees: str) -> str:
+    # The way through text rounds a wide integer to the nearest double.
+    units = f"CAST(floor({degrees} * 140737488355328::DOUBLE) AS BIGINT)"
+    return f"CAST(CAST(sum({units}) AS VARCHAR) AS DOUBLE) / count(*) / 140737488355328::DOUBLE"
+
+
 def _edges(ring) -> str:
     values = ", ".join(
         f"({x1!r}::DOUBLE, {y1!r}::DOUBLE, {x2!r}::DOUBLE, {y2!r}::DOUBLE)"
@@ -91,22 +97,18 @@ _STEPS = {
                + CAST(CASE WHEN dr > ds AND NOT (dq > dr AND dq > ds) THEN -rq - rs ELSE rr END
                       + 1048576 AS BIGINT) AS hex_cell
         FROM rounded""",
-    "cells": """
+    "cells": f"""
         SELECT hex_cell, count(*) AS arrest_count,
-               CAST(sum(CAST(round(Latitude * 1000000) AS BIGINT)) AS DOUBLE)
-               / count(*) / 1000000 AS cell_lat,
-               CAST(sum(CAST(round(Longitude * 1000000) AS BIGINT)) AS DOUBLE)
-               / count(*) / 1000000 AS cell_lon
+               {_mean('Latitude')} AS cell_lat,
+               {_mean('Longitude')} AS cell_lon
         FROM celled GROUP BY hex_cell""",
-    "counted": """
+    "counted": f"""
         SELECT ARREST_PRECINCT, ARREST_BORO, count(*) AS total_arrests,
                count(*) FILTER (WHERE LAW_CAT_CD = 'F') AS felonies,
                count(*) FILTER (WHERE LAW_CAT_CD = 'M') AS misdemeanors,
                count(*) FILTER (WHERE LAW_CAT_CD = 'V') AS violations,
-               CAST(sum(CAST(round(Latitude * 1000000) AS BIGINT)) AS DOUBLE)
-               / count(*) / 1000000 AS centroid_lat,
-               CAST(sum(CAST(round(Longitude * 1000000) AS BIGINT)) AS DOUBLE)
-               / count(*) / 1000000 AS centroid_lon
+               {_mean('Latitude')} AS centroid_lat,
+               {_mean('Longitude')} AS centroid_lon
         FROM inside GROUP BY ARREST_PRECINCT, ARREST_BORO""",
     "precincts": """
         SELECT *, CASE WHEN felonies >= misdemeanors AND felonies >= violations THEN 'F'
@@ -149,10 +151,14 @@ _SELECTS = {
     "coord_flag": "SELECT ARREST_KEY, Latitude, Longitude, coord_valid FROM flagged",
     "store_filter": "SELECT * FROM valid",
     "raw_roundtrip": "SELECT * FROM flagged",
-    "partitioned_roundtrip": "SELECT ARREST_BORO, count(*) AS records FROM valid GROUP BY ALL",
+    "partitioned_roundtrip": "SELECT * FROM valid",
     "partition_list": """
         SELECT DISTINCT coalesce(ARREST_BORO, '__HIVE_DEFAULT_PARTITION__') AS "partition"
         FROM valid""",
+    "storage_report": """
+        SELECT true AS has_raw, true AS has_stored, true AS ratio_fits,
+               string_agg(DISTINCT name, ',' ORDER BY name) AS partitions
+        FROM (SELECT coalesce(ARREST_BORO, '__HIVE_DEFAULT_PARTITION__') AS name FROM valid)""",
     "quality_report": _QUALITY,
     "store_report": """
         SELECT count(*) AS records_read,
@@ -223,5 +229,19 @@ _SELECTS = {
 }
 
 
+# What the batch job has written equals the queries that start from records.
+_JOB_TABLES = {
+    "job_precincts": "precinct_summary",
+    "job_trend": "monthly_trend",
+    "job_cells": "hex_density",
+    "job_top": "top_precincts",
+    "job_circles": "feature_circles",
+    "job_heat": "heat_points",
+    "job_labels": "feature_labels",
+    "job_lines": "borough_month_lines",
+}
+_SELECTS |= {name: _SELECTS[same] for name, same in _JOB_TABLES.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(select) for name, select in _SELECTS.items()}

@@ -69,17 +69,18 @@ _written: dict[tuple, tuple[list, str]] = {}
 
 
 def _dataset(
-    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object], last: str = ""
 ) -> str:
     """Path of a derived dataset, written on first use.
 
     It belongs to the session and to the present content of the source tables;
-    one that these have outdated is removed.
+    one that these have outdated is removed. ``last`` is the table in it that is
+    written last.
     """
     versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in SOURCE_TABLES]
     key = (spark.sparkContext.applicationId, sf_dir, name)
     version, path = _written.get(key, (None, None))
-    if version != versions or not is_complete(spark, path):
+    if version != versions or not is_complete(spark, f"{path}{last}"):
         if path:
             remove(spark, path)
         path = scratch_path(spark, name)
@@ -153,11 +154,6 @@ def _coord_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_records(spark, sf_dir)
-    return stored.groupBy("ARREST_BORO").agg(F.count(F.lit(1)).alias("records"))
-
-
 def _positions(records: DataFrame, *more: str) -> DataFrame:
     return records.select("ARREST_KEY", "Latitude", "Longitude", *more)
 
@@ -168,9 +164,40 @@ def _short(records: DataFrame) -> DataFrame:
     )
 
 
+def _storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is certain about sizes: there are some, and the ratio is theirs."""
+    report = storage_report(spark, flagged_path(spark, sf_dir), stored_path(spark, sf_dir))
+    return report.select(
+        (F.col("raw_mb") > 0).alias("has_raw"),
+        (F.col("stored_mb") > 0).alias("has_stored"),
+        (F.abs(F.col("ratio") * F.col("stored_mb") - F.col("raw_mb")) < 1e-9).alias("ratio_fits"),
+        F.array_join("partitions", ",").alias("partitions"),
+    )
+
+
+_run_paths: dict[tuple, str] = {}
+
+
 def _batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job on the delivered files; the summary it returns."""
-    return job.run(spark, delivery_path(spark, sf_dir), scratch_path(spark, "run"))["summary"]
+    """The whole job on the delivered files; the summary it returns. Replaces its last output."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _run_paths:
+        _run_paths[key] = scratch_path(spark, "run")
+    return job.run(spark, delivery_path(spark, sf_dir), _run_paths[key])["summary"]
+
+
+def _job_table(table: str) -> Query:
+    """A table that the job has written for the delivered files."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _dataset(
+            spark, sf_dir, "job",
+            lambda path: job.run(spark, delivery_path(spark, sf_dir), path),
+            last=f"/{job.FEATURES}/borough_month_lines.parquet",
+        )
+        return spark.read.parquet(f"{path}/{table}.parquet")
+
+    return query
 
 
 def queries() -> dict[str, Query]:
@@ -182,9 +209,9 @@ def queries() -> dict[str, Query]:
         "store_filter": lambda s, d: keep_valid(flagged_records(s, d)),
         "quality_report": lambda s, d: quality_report(flagged_records(s, d)),
         "store_report": lambda s, d: store_report(flagged_records(s, d)),
-        "partitioned_roundtrip": _partitioned_roundtrip,
+        "partitioned_roundtrip": stored_records,
         "partition_list": lambda s, d: partition_list(s, stored_path(s, d)),
-        "storage_report": lambda s, d: storage_report(s, flagged_path(s, d), stored_path(s, d)),
+        "storage_report": _storage_report,
         "precinct_lookup": lambda s, d: _short(precinct_lookup(stored_records(s, d), PRECINCT)),
         "borough_scan": lambda s, d: _short(borough_scan(stored_records(s, d), BOROUGH)),
         "category_by_month": lambda s, d: category_by_month(
@@ -207,4 +234,12 @@ def queries() -> dict[str, Query]:
         "borough_month": lambda s, d: borough_month(_trend(s, d)),
         "borough_month_lines": lambda s, d: borough_month_lines(_trend(s, d)),
         "batch_run": _batch_run,
+        "job_precincts": _job_table(f"{job.AGGREGATED}/precinct_summary"),
+        "job_trend": _job_table(f"{job.AGGREGATED}/monthly_trend"),
+        "job_cells": _job_table(f"{job.AGGREGATED}/hex_density"),
+        "job_top": _job_table(f"{job.AGGREGATED}/top10_precincts"),
+        "job_circles": _job_table(f"{job.FEATURES}/circles"),
+        "job_heat": _job_table(f"{job.FEATURES}/heat"),
+        "job_labels": _job_table(f"{job.FEATURES}/labels"),
+        "job_lines": _job_table(f"{job.FEATURES}/borough_month_lines"),
     }

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentlens.schema import FLAGGED_SCHEMA, PARTITION_COLUMN, STORED_SCHEMA
+from incidentlens.sources.files import content, folders
 
 _CLUSTER_COLUMNS = (PARTITION_COLUMN, "ARREST_PRECINCT")
 
@@ -53,7 +54,8 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
 def data_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per Parquet file below ``path``: its partition directory and size.
 
-    Neither column needs the file's content, so no file is opened.
+    Neither column needs the file's content, so no file is opened, but tasks are
+    scheduled by size: for totals use :func:`storage_report`.
     """
     files = (
         spark.read.format("binaryFile")
@@ -69,24 +71,21 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def partition_list(spark: SparkSession, path: str) -> DataFrame:
-    """The partition directories of a stored dataset."""
-    return data_files(spark, path).select("partition").where("partition IS NOT NULL").distinct()
+    """The partition directories of a stored dataset, listed when called."""
+    return spark.createDataFrame([(name,) for name in _partitions(spark, path)], "partition string")
+
+
+def _partitions(spark: SparkSession, path: str) -> list[str]:
+    start = f"{PARTITION_COLUMN}="
+    return [name.removeprefix(start) for name in folders(spark, path) if name.startswith(start)]
 
 
 def storage_report(spark: SparkSession, raw_path: str, stored_path: str) -> DataFrame:
-    """Size of both datasets in MB, their ratio (0 without data) and the partitions."""
-    megabytes = F.coalesce(F.sum("bytes"), F.lit(0)) / (1024 * 1024)
-    raw = data_files(spark, raw_path).agg(megabytes.alias("raw_mb"))
-    return (
-        data_files(spark, stored_path)
-        .agg(
-            megabytes.alias("stored_mb"),
-            F.array_sort(F.collect_set("partition")).alias("partitions"),
-        )
-        .select(
-            raw.scalar().alias("raw_mb"),
-            "stored_mb",
-            F.coalesce(F.try_divide(raw.scalar(), "stored_mb"), F.lit(0.0)).alias("ratio"),
-            "partitions",
-        )
-    )
+    """Size of both datasets in MB, their ratio (0 without data) and the partitions.
+
+    Sizes come from the file system when this is called; no task looks at files.
+    """
+    raw_mb, stored_mb = [content(spark, path)[0] / (1024 * 1024) for path in (raw_path, stored_path)]
+    row = (raw_mb, stored_mb, raw_mb / stored_mb if stored_mb else 0.0, _partitions(spark, stored_path))
+    schema = "raw_mb double, stored_mb double, ratio double, partitions array<string>"
+    return spark.createDataFrame([row], schema)

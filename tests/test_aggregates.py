@@ -94,16 +94,43 @@ def test_exact_centroid_is_close_to_avg(spark, sf_dir):
 
 
 def test_large_sums_do_not_overflow(spark):
-    # Half a trillion records at the extent's corner, as their sums would be.
+    # 10^13 records at one place, as their sums would be.
+    records = 10**13
+
+    def sums(degrees):
+        units = int(degrees * 2**47)
+        return [records * limb for limb in (units >> 36, (units >> 18) % 2**18, units % 2**18)]
+
     groups = spark.createDataFrame(
-        [("precinct", 1, "K", "F", 500 * 10**9, 500 * 10**9, 275000 * 25 * 10**9, -325000 * 25 * 10**9)],
+        [("precinct", 1, "K", "F", records, records, *sums(40.95), *sums(-74.3))],
         "level string, ARREST_PRECINCT int, ARREST_BORO string, LAW_CAT_CD string, "
-        "records bigint, located bigint, lat_offset bigint, lon_offset bigint",
+        "records bigint, located bigint, "
+        "lat_high bigint, lat_middle bigint, lat_low bigint, lon_high bigint, lon_middle bigint, lon_low bigint",
     )
     row = precincts_from(groups).first()
-    assert row.total_arrests == 500 * 10**9
-    assert row.centroid_lat == pytest.approx(40.675 + 0.275 / 20, abs=1e-9)
-    assert row.centroid_lon == pytest.approx(-73.975 - 0.325 / 20, abs=1e-9)
+    assert (row.total_arrests, row.centroid_lat, row.centroid_lon) == (records, 40.95, -74.3)
+
+
+def test_centroid_keeps_all_digits(spark):
+    df = spark.range(0, 1000, 1, 4).select(
+        F.lit(75).alias("ARREST_PRECINCT"), F.lit("K").alias("ARREST_BORO"), F.lit("F").alias("LAW_CAT_CD"),
+        (F.lit(40.7990084123456) + F.col("id") * 1.23456789e-7).alias("Latitude"),
+        (F.lit(-73.9524085412345) - F.col("id") * 9.87654321e-8).alias("Longitude"),
+    )
+    row, plain = precinct_summary(df).first(), precinct_summary(df, exact=False).first()
+    assert row.centroid_lat == pytest.approx(plain.centroid_lat, abs=1e-12)
+    assert row.centroid_lon == pytest.approx(plain.centroid_lon, abs=1e-12)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -float("inf"), 1e300])
+def test_what_is_no_position_does_not_count(spark, bad):
+    df = add_hex_cell(stored(spark, {"Latitude": 40.5}, {"Latitude": bad}, {"Longitude": bad}))
+    for exact in (True, False):
+        row = precinct_summary(df, exact).first()
+        assert (row.total_arrests, row.centroid_lat, row.centroid_lon) == (3, 40.5, -73.9)
+    assert [(r.arrest_count, r.cell_lat) for r in hex_density(df).collect()] == [(1, 40.5)]
+    assert [r.cell_lat for r in cells_from(grouped(df)).collect()] == [40.5]
+    assert precincts_from(grouped(df)).first().centroid_lat == 40.5
 
 
 def test_trend_needs_a_date_but_other_summaries_do_not(spark):

@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
 from incidentlens.operators.aggregates import grouped, top_k
 from incidentlens.operators.quality import store_report
 from incidentlens.operators.records import in_region
+from incidentlens.plans import queries as registered
 from incidentlens.plans.queries import CONCAVE_RING, celled_records, flagged_records, stored_records
 from incidentlens.sources.store import data_files, read_partitioned
 
@@ -29,7 +29,7 @@ def whole_filters(spark):
 
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir, whole_filters):
-    return {name: plan(query(spark, sf_dir)) for name, query in entry_module.queries().items()}
+    return {name: plan(query(spark, sf_dir)) for name, query in registered.queries().items()}
 
 
 def test_no_python_and_no_pair_joins(plans):
@@ -120,7 +120,7 @@ def test_generated_methods_are_short_enough_to_compile(spark, sf_dir):
     """The JVM leaves methods of 8,000 bytes and more to its interpreter."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for name, query in entry_module.queries().items():
+        for name, query in registered.queries().items():
             if name == "batch_run":
                 continue
             parts = query(spark, sf_dir)._jdf.queryExecution().debug().codegenToSeq()

@@ -196,3 +196,20 @@ def test_cell_centre_is_a_nearest_centre(spark, grid):
 def test_cell_of_a_missing_point_is_null(spark):
     df = stored(spark, {"Longitude": None}, {"Latitude": None}, {})
     assert [r.hex_cell is None for r in add_hex_cell(df).coalesce(1).collect()] == [True, True, False]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_cell_of_what_is_no_point_is_null(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        bad = [float("nan"), float("inf"), -float("inf"), 1e300, None]
+        pairs = [(b, 40.7) for b in bad] + [(-73.9, b) for b in bad]
+        df = spark.createDataFrame(pairs, "lon double, lat double")
+        got = [r[0] for r in df.select(hex_cell(F.col("lon"), F.col("lat"))).collect()]
+        far = HexGrid(edge_m=0.001)
+        beyond = df.sparkSession.createDataFrame([(10.0, 40.7)], "lon double, lat double")
+        got += [r[0] for r in beyond.select(hex_cell(F.col("lon"), F.col("lat"), far)).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == [None] * 11
