@@ -17,6 +17,7 @@ from incidentlens.llm import (
     urls,
     warc,
 )
+from incidentlens.llm.oracle import oracle_sql as oracle_sql
 from incidentlens.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +118,3 @@ def queries() -> dict[str, Query]:
         "op10_html": op10_html,
     }
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}
