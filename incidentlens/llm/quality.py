@@ -4,9 +4,10 @@ Texts are bags of byte n-grams, hashed to ``CELLS`` cells. Two multinomials are
 counted, one over trusted documents, one over all; a text's score is the mean over
 its n-grams of the logarithm of their ratio. Documents below one threshold go; it
 is the cut that errs least on labelled documents, a dropped trusted one counting
-``DROP_COST`` times a kept bad one. Counts, scores and verdicts cover all documents
-and whole texts; only cell counts and a histogram, both of fixed size, reach the
-driver.
+``DROP_COST`` times a kept bad or toxic one. For the cut a trusted document is scored
+without its own n-grams among the trusted ones, as one without label is. Counts,
+scores and verdicts cover all documents and whole texts; only cell counts and a
+histogram, both of fixed size, reach the driver.
 
 Defined results: a NULL or empty text has no words and fails the base rules; rows
 are judged one by one, also repeated ones; without trusted documents all scores are
@@ -63,31 +64,55 @@ def _counted(batches):
     )
 
 
-def weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray:
-    """The logarithm of the ratio for each cell, add-one smoothed; zeros without trusted text.
+def _marked(docs: DataFrame, trusted: DataFrame, key: str, text: str) -> DataFrame:
+    """Key, bytes and whether the key is among those of ``trusted``, of every document."""
+    marks = trusted.select(F.col(key).cast("long").alias("_key")).distinct().withColumn("is_trusted", F.lit(True))
+    if marks.count() <= BROADCAST_LABELS:
+        marks = F.broadcast(marks)
+    rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).cast("string").cast("binary").alias("text"))
+    return rows.join(marks, "_key", "left").select("_key", "text", F.coalesce("is_trusted", F.lit(False)).alias("is_trusted"))
+
+
+def cell_counts(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text") -> np.ndarray:
+    """How often each cell is in trusted documents, and in all.
 
     ``trusted`` has the keys of trusted documents.
     """
-    marks = trusted.select(F.col(key).alias("_key")).distinct().withColumn("is_trusted", F.lit(True))
-    if marks.count() <= BROADCAST_LABELS:
-        marks = F.broadcast(marks)
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").cast("binary").alias("text"))
-    rows = rows.join(marks, "_key", "left").select("text", F.coalesce("is_trusted", F.lit(False)))
-    counts = (
-        rows.mapInArrow(_counted, "cell int, trusted long, raw long")
+    rows = (
+        _marked(docs, trusted, key, text)
+        .select("text", "is_trusted")
+        .mapInArrow(_counted, "cell int, trusted long, raw long")
         .groupBy("cell")
         .agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw"))
         .collect()
     )  # CELLS rows at most
-    target, raw = np.ones(CELLS), np.ones(CELLS)
-    for row in counts:
-        target[row["cell"]] += row["trusted"]
-        raw[row["cell"]] += row["raw"]
-    if target.sum() == CELLS:
+    counts = np.zeros((2, CELLS), np.int64)
+    for row in rows:
+        counts[:, row["cell"]] = row["trusted"], row["raw"]
+    return counts
+
+
+def weights(counts: np.ndarray) -> np.ndarray:
+    """The logarithm of the ratio for each cell, add-one smoothed; zeros without trusted text."""
+    if not counts[0].any():
         return np.zeros(CELLS)
+    target, raw = counts + 1.0
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
+def unseen_score(cells: np.ndarray, trusted: np.ndarray, raw: np.ndarray) -> float:
+    """The score of a trusted document from the other trusted ones; 0 if there are none.
+
+    ``trusted`` are counts, ``raw`` the logarithms of the smoothed shares.
+    """
+    total = int(trusted.sum()) - len(cells)
+    if not len(cells) or not total:
+        return 0.0
+    own, times = np.unique(cells, return_counts=True)
+    ratio = np.log((trusted[own] - times + 1) / (total + CELLS)) - raw[own]
+    return float((ratio * times).sum() / len(cells))
+
+
 def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     """Words, their code points, symbols, repeated lines, words in repeated 3-word windows."""
     data = np.frombuffer(text, np.uint8)
@@ -109,17 +134,23 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-MEASURES = "{key} long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
+MEASURES = (
+    "{key} long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "score double, unseen_score double"
+)
 
 
-def measures(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base counts and score of every document."""
+def measures(
+    docs: DataFrame, trusted: DataFrame, counts: np.ndarray, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Base counts and score of every document; the latter also as if it had no label."""
     schema = pa.schema(
         [(key, pa.int64())]
         + [(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-        + [("score", pa.float64())]
+        + [("score", pa.float64()), ("unseen_score", pa.float64())]
     )
-    packed = ratio.astype(np.float32).tobytes()
+    packed = weights(counts).astype(np.float32).tobytes()
+    shares = np.log((counts[1] + 1.0) / (counts[1].sum() + CELLS))
 
     def measure(batches):
         table, rows = np.frombuffer(packed, np.float32), []
@@ -130,28 +161,31 @@ def measures(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-        for name, content in rows_of(batches):
+        for name, content, is_trusted in rows_of(batches):
             content = content or b""
             cells = cells_of(np.frombuffer(content, np.uint8))
             score = float(table[cells].mean(dtype=np.float64)) if len(cells) else 0.0
-            rows.append((name, *base_counts(content), score))
+            unseen = unseen_score(cells, counts[0], shares) if is_trusted else score
+            rows.append((name, *base_counts(content), score, unseen))
             if len(rows) == 5000:
                 yield batch()
                 rows.clear()
         if rows:
             yield batch()
 
-    rows = docs.select(F.col(key).cast("long"), F.col(text).cast("string").cast("binary"))
-    return rows.mapInArrow(measure, MEASURES.format(key=key))
+    return _marked(docs, trusted, key, text).mapInArrow(measure, MEASURES.format(key=key))
 
 
 def base_failed():
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
-def threshold(measured: DataFrame, labels: DataFrame, key: str = "doc_id", good: str = "quality") -> float:
-    """The cut that errs least on labelled documents, midway between the scores it parts."""
-    scored = measured.where(~base_failed()).select(key, F.floor(F.col("score") / _BIN).cast("int").alias("bin"))
+def threshold(measured: DataFrame, labels: DataFrame, key: str = "doc_id", good: str = "good") -> float:
+    """The cut that errs least on labelled documents, midway between the scores it parts.
+
+    ``good`` is 1 for documents that are to stay, 0 for those that are to go.
+    """
+    scored = measured.where(~base_failed()).select(key, F.floor(F.col("unseen_score") / _BIN).cast("int").alias("bin"))
     rows = (
         scored.join(labels.select(key, F.col(good).cast("int").alias("good")), key)
         .groupBy("bin")
@@ -174,12 +208,14 @@ def judged(
     """Key, base counts, score and verdict of every document.
 
     ``labels`` has the key, ``quality`` (1 is good) and ``toxic`` (1 is toxic); good
-    documents that aren't toxic are the trusted ones.
+    documents that aren't toxic are the trusted ones, bad and toxic ones are to go.
     """
-    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
-    ratio = weights(docs, good, key, text)
-    measured = materialise(measures(docs, ratio, key, text), "measures")
-    cut = threshold(measured, labels.where("quality IN (0, 1)"), key)
-    return measured.withColumn("base_failed", base_failed()).withColumn(
+    good = F.when(F.col("toxic") == 1, 0).otherwise(F.col("quality"))
+    labels = labels.select(key, good.alias("good")).where("good IN (0, 1)")
+    trusted = labels.where("good = 1")
+    counts = cell_counts(docs, trusted, key, text)
+    measured = materialise(measures(docs, trusted, counts, key, text), "measures")
+    cut = threshold(measured, labels, key)
+    return measured.drop("unseen_score").withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(cut))
     )

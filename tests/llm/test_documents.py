@@ -68,6 +68,42 @@ def test_quality_verdicts_on_labelled_documents(spark, small):
     assert good.where("kept").count() >= 0.97 * good.count()
 
 
+def test_toxic_documents_are_cut_off(spark):
+    """What is good and toxic counts as a document to drop, not as one to keep."""
+    words = {"clean": "calm river stone meadow harbour lantern ", "toxic": "vile wretch scum grrr zzyx ptui "}
+    texts = [("clean" if i % 4 else "toxic", i) for i in range(80)]
+    docs = [(i, " ".join(f"{words[kind].split()[(i * k + k * k) % 6]}{(i + k * 7) % 50}" for k in range(70))) for kind, i in texts]
+    labels = [(i, 1, int(kind == "toxic")) for kind, i in texts if i < 40]
+    judged = quality.judged(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+    ).where("NOT base_failed")
+    kept = dict(rows(judged, "doc_id", "kept"))
+    assert len(kept) == 80 and all(kept[i] == (kind == "clean") for kind, i in texts)
+
+
+def test_trusted_documents_are_scored_without_themselves(spark):
+    docs = [(i, prose(800 + i, 60)) for i in range(6)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    trusted = table.where("doc_id < 4").select("doc_id")
+    found = dict(rows(quality.measures(table, trusted, quality.cell_counts(table, trusted)), "doc_id", "unseen_score"))
+    for doc, _ in docs:
+        others = quality.cell_counts(table, trusted.where(F.col("doc_id") != doc))
+        again = quality.measures(table, trusted.limit(0), others).where(F.col("doc_id") == doc).first()["score"]
+        assert found[doc] == pytest.approx(again, abs=1e-5)
+
+
+def test_bad_and_toxic_documents_are_found(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    judged = queries.op4_quality(spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("NOT base_failed")
+    dropped = F.avg((~F.col("kept")).cast("int"))
+    found = judged.groupBy("quality", "toxic").agg(dropped.alias("dropped")).collect()
+    shares = {(r["quality"], r["toxic"]): r["dropped"] for r in found}
+    assert shares[1, 0] <= 0.03
+    assert shares[1, 1] >= 0.5
+    assert min(shares[0, 0], shares[0, 1]) >= 0.95
+
+
 def test_suffixes(spark, small, given, awkward, awkward_docs, no_docs):
     assert rows(queries.op5_suffixes(spark, small)) == set(brute.without_repeats(given))
     some = [(k, t) for k, t in awkward if len(t or "") < 20_000]
