@@ -8,7 +8,9 @@ counted over labelled pages, which are those that mark their main text themselve
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
 element, role or class, are one tag each for the scan and give no text; scripts,
-styles and the like aren't tokens at all.
+styles and the like aren't tokens at all. Classes hide neither a page's root, its
+main element or an article of its own, nor a part around the marked main text; that
+is ``main`` and the like, or an article with as many words as are left without it.
 
 Defined results: a NULL or empty page, and one without words, has the empty text;
 of regions with one score the first is taken; every row gives one row; an empty
@@ -45,6 +47,27 @@ ASIDE_WORDS = frozenset(
     "sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar footer masthead "
     "comment comments disqus respond replies share sharing social related recommended widget login".split()
 )
+# Words of class and id after which an element names what it has, and that tell a state.
+MODIFIERS = frozenset("has no not with without hide hides show shows use uses enable disable".split())
+STATES = frozenset("enabled disabled fixed sticky open opened closed active inactive visible hidden shown on off".split())
+REOPENED = frozenset("nav header form fieldset".split())
+# Elements that end an open one at their start, and in what they don't.
+_BLOCKS = (
+    "address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hr main menu nav ol p pre section summary table ul"
+).split()
+_CELLS, _ROWS = frozenset(["td", "th"]), frozenset(["td", "th", "tr"])
+_GROUPS = _ROWS | {"thead", "tbody", "tfoot"}
+_LISTS = (NESTED | ASIDE) - {"div"}
+_IN_P = frozenset("button html table td th".split())
+_ENDS = {name: (frozenset(["p"]), _IN_P) for name in _BLOCKS} | {
+    "li": (frozenset(["li"]), _LISTS),
+    "dt": (frozenset(["dt", "dd"]), _LISTS),
+    "dd": (frozenset(["dt", "dd"]), _LISTS),
+    **{name: (_CELLS, frozenset(["table"])) for name in _CELLS},
+    "tr": (_ROWS, frozenset(["table"])),
+    **{name: (_GROUPS, frozenset(["table"])) for name in ("thead", "tbody", "tfoot")},
+}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 _REST = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>""")
@@ -56,27 +79,84 @@ WORD, LINK_WORD, OTHER, SKIPPED = "word", "link word", "other tag", "skipped par
 _KNOWN = INLINE | VOID | NESTED | frozenset("p h1 h2 h3 h4 h5 h6 li dd dt pre figcaption hr br address summary caption".split())
 
 
+def _own_words(value: str) -> set[str]:
+    """The words of a class or id that name the element itself, not what it has or its state."""
+    found = set()
+    for name in value.split():
+        words = re.split(r"[_-]+", name)
+        if len(words) > 1 and words[-1] in STATES:
+            continue
+        for word in words:
+            if word in MODIFIERS:
+                break
+            found.add(word)
+    return found
+
+
 def _attributes(text: str) -> tuple[frozenset, set]:
     """The words of class and id; roles and properties."""
     words, roles = set(), set()
     for name, a, b, c in _ATTRIBUTE.findall(text):
         value = (a or b or c).lower()
         if name.lower() in ("class", "id"):
-            words.update(re.split(r"[\s_-]+", value))
+            words |= _own_words(value)
         else:
             roles.update(value.split())
     return frozenset(words), roles
 
 
-def tokens(page: str):
+def _parts(page: str):
+    """(place, name, is it an end, attributes) of a page's tags; runs of text have no name, but the text."""
+    place, size = 0, len(page)
+    while place < size:
+        found = _TOKEN.search(page, place)
+        start = found.start() if found else size
+        if start > place:
+            yield place, None, False, page[place:start]
+        if not found:
+            return
+        place = found.end()
+        name = (found[2] or "").lower()
+        if not name:
+            continue
+        rest = _REST.match(page, place) or _PLAIN_REST.match(page, place)
+        attributes, place = page[place : rest.end()], rest.end()
+        if not found[1] and name in RAW and not (name == "svg" and attributes.endswith("/>")):
+            end = _END[name].search(page, place)
+            if not end and name == "head":
+                continue
+            place = end.start() if end else size
+            if end and name != "head":
+                rest = _PLAIN_REST.match(page, end.end())
+                place = rest.end()
+            continue
+        yield start, name, bool(found[1]), attributes
+
+
+def _article_words(page: str) -> dict[int, int]:
+    """The number of words in each article of a page, by place."""
+    found, words, opened = {}, 0, []
+    for place, name, is_end, text in _parts(page):
+        if name is None:
+            words += len(text.split())
+        elif name == "article" and not is_end:
+            opened.append((place, words))
+        elif name == "article" and opened:
+            start, before = opened.pop()
+            found[start] = words - before
+    return found | {start: words - before for start, before in opened}
+
+
+def tokens(page: str, reopens: bool = True):
     """(kind, text, starts a block, is inside the marked main text) of a page's tokens.
 
     ``kind`` is a tag's name, with a slash if it closes, or one of the names above;
-    text tokens are runs of character data, with ``WORD`` or ``LINK_WORD``.
+    text tokens are runs of character data, with ``WORD`` or ``LINK_WORD``. Without
+    ``reopens`` no article is looked for in what a class hides.
     """
-    place, size = 0, len(page)
     stack: list[tuple[str, str | None, bool]] = []  # element, why its content is skipped, is it marked
     skipped, marked, links = 0, 0, 0
+    sizes, visible = None, 0
 
     def pop() -> None:
         nonlocal skipped, marked
@@ -84,20 +164,21 @@ def tokens(page: str):
         skipped -= why is not None
         marked -= is_marked
 
-    while place < size:
-        found = _TOKEN.search(page, place)
-        start = found.start() if found else size
-        if start > place and not skipped:
-            yield (LINK_WORD if links else WORD), page[place:start], False, marked > 0
-        if not found:
-            return
-        place = found.end()
-        name = (found[2] or "").lower()
-        if not name:
+    def is_main_article(place: int) -> bool:
+        nonlocal sizes, visible
+        if not reopens:
+            return False
+        if sizes is None:
+            sizes = _article_words(page)
+            visible = sum(len(text.split()) for kind, text, *_ in tokens(page, False) if kind == WORD)
+        return sizes[place] >= max(1, visible)
+
+    for place, name, is_end, value in _parts(page):
+        if name is None:
+            if not skipped:
+                yield (LINK_WORD if links else WORD), value, False, marked > 0
             continue
-        rest = _REST.match(page, place) or _PLAIN_REST.match(page, place)
-        attributes, place = page[place : rest.end()], rest.end()
-        if found[1]:
+        if is_end:
             if name == "a":
                 links = 0
             if any(entry[0] == name for entry in stack):
@@ -109,26 +190,33 @@ def tokens(page: str):
             if not skipped:
                 yield "/" + name, "", name not in INLINE, marked > 0
             continue
-        if name in RAW and not (name == "svg" and attributes.endswith("/>")):
-            end = _END[name].search(page, place)
-            if not end and name == "head":
-                continue
-            place = end.start() if end else size
-            if end and name != "head":
-                rest = _PLAIN_REST.match(page, end.end())
-                place = rest.end()
-            continue
-        words, roles = _attributes(attributes) if "=" in attributes else (frozenset(), set())
-        is_main = name in ("article", "main") or "articlebody" in roles or "main" in roles
+        ended, within = _ENDS.get(name, ((), ()))
+        for depth in range(len(stack) - 1, -1, -1) if ended else ():
+            if stack[depth][0] in ended:
+                while len(stack) > depth:
+                    pop()
+            elif stack[depth][0] in within:
+                break
+        words, roles = _attributes(value) if "=" in value else (frozenset(), set())
+        is_named = name == "main" or "articlebody" in roles or "main" in roles
+        is_main = is_named or name == "article"
         why = None
-        if words & ASIDE_WORDS or roles & ROLES or ("header" in words and not words & {"article", "post", "entry"}):
+        if words & ASIDE_WORDS or ("header" in words and not words & {"article", "post", "entry"}):
+            why = "class"
+            if name == "article" and (not any(e[0] == name for e in stack) or is_main_article(place)):
+                why = None
+        if roles & ROLES:
             why = "class"
-        elif name in ASIDE:
+        if name in ("html", "body") or is_named:
+            why = None
+        elif not why and name in ASIDE:
             why = name
-        if is_main and not why:
+        if is_main and not why and skipped:
             # An element around or left open before the main text doesn't hide it.
-            while skipped and stack and stack[-1][1] in (None, "nav", "header", "form", "fieldset"):
-                pop()
+            hidden = {entry[1] for entry in stack} - {None} - REOPENED
+            if not hidden or (hidden == {"class"} and (is_named or is_main_article(place))):
+                stack = [(element, None, is_marked) for element, _, is_marked in stack]
+                skipped = 0
         if name not in VOID and (why or name in NESTED):
             if why and not skipped:
                 yield SKIPPED, "", True, marked > 0

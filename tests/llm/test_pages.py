@@ -106,6 +106,41 @@ def test_main_text(spark):
     assert html.extracted(pages, {}).count() == 5
 
 
+INNER = f"<p>{ARTICLE[0]}</p><p>{ARTICLE[1]}</p>"
+MENU = "<ul><li class='menu-item'><a href='/'>home</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><body class='has-sidebar'>{MENU}<article>{INNER}</article></body></html>",
+        f"<html class='nav-fixed'><body id='menu'><article>{INNER}</article></body></html>",
+        f"<body><div class='content no-sidebar'>{INNER}</div></body>",
+        f"<body><div class='page-with-sidebar'>{INNER}</div></body>",
+        f"<body><article class='post share-enabled'>{INNER}</article></body>",
+        f"<body><article class='post share'>{INNER}</article></body>",
+        f"<body><main class='with-sidebar'>{INNER}</main></body>",
+        f"<body><main class='sidebar'>{INNER}</main></body>",
+        f"<body><div class='widget'><main>{INNER}</main></div></body>",
+        f"<body><main><div class='overlay'><div><article>{INNER}</article></div></div></main></body>",
+        f"<body><div class='cookie'>We use cookies<article>{INNER}</article></body>",
+        f"<body><article>{INNER}<section id='comments'><article>Nice text</article></section></article></body>",
+        f"<body><article>{INNER}<article class='comment'>Nice text</article></article></body>",
+        f"<body><div>{INNER}</div><div class='related'><article>Another one</article></div></body>",
+        f"<body><article><p class='notice'>Read this{INNER}</article></body>",
+        f"<body><article><ul><li class='ad'>Buy now<li>{ARTICLE[0]}<li>{ARTICLE[1]}</ul></article></body>",
+        f"<body><table><tr><td class='sidebar'>Links here<td>{INNER}</table></body>",
+    ],
+)
+def test_classes_do_not_hide_the_main_text(page):
+    assert html.main_text(page, {}) == f"{ARTICLE[0]} {ARTICLE[1]}"
+
+
+def test_parts_named_by_class_stay_hidden():
+    aside = "<div class='left-sidebar'>Links <p>here</p></div><ul id='main-nav'><li>home</ul><p class='ad'>Buy</p>"
+    assert html.main_text(f"<body>{aside}<div>{INNER}</div></body>", {}) == f"{ARTICLE[0]} {ARTICLE[1]}"
+
+
 def test_main_text_of_given_pages(spark, small):
     for r in queries.op10_html(spark, small).collect():
         assert r["n_chars"] == len(r["text"]) and r["text"] == " ".join(r["text"].split())
