@@ -5,6 +5,11 @@ decontamination, BPE encoding. Each stage works on all that the one before has k
 all but the last return the columns of ``documents``. A document goes if the quality
 rules reject it, if it is not the first of its group of near duplicates, or if it
 has words of a benchmark window; repeated passages are cut out of the text.
+
+Rows are told apart by a number of the stage's own, so that a missing or repeated
+doc_id doesn't give one row's verdict to another. The first of a group has the
+smallest doc_id, a missing one coming last; of rows with equal doc_id and text one
+stays. A label holds for all rows of its doc_id.
 """
 
 from collections.abc import Callable
@@ -14,7 +19,7 @@ from pyspark.sql import functions as F
 
 from incidentlens.llm import bpe, decontamination, minhash, quality, suffixes
 from incidentlens.llm.queries import vocabulary_path
-from incidentlens.llm.rows import one_of_each, without_keys
+from incidentlens.llm.rows import ROW, numbered, without_keys
 from incidentlens.sources.scratch import remove, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,27 +27,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rejected = quality.judged(docs, labels).where("NOT kept")
-    return without_keys(docs, rejected, "doc_id")
+    rows = numbered(docs, "doc_id", "text")
+    labelled = rows.select(ROW, "doc_id").join(labels, "doc_id").select(ROW, "quality", "toxic")
+    rejected = quality.judged(rows, labelled, ROW).where("NOT kept")
+    return without_keys(rows, rejected, ROW).drop(ROW)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = minhash.kept_first(minhash.groups(docs)).where("NOT kept")
-    return one_of_each(without_keys(docs, copies, "doc_id"), "doc_id")
+    rows = numbered(docs, "doc_id", "text", collapsed=True)
+    copies = minhash.kept_first(minhash.groups(rows, ROW), ROW).where("NOT kept")
+    return without_keys(rows, copies, ROW).drop(ROW)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = suffixes.without_repeats(docs, carried=others, as_text=True)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = suffixes.without_repeats(numbered(docs, "doc_id", "text"), ROW, carried=others, as_text=True)
     return cut.select(
-        "doc_id", F.col("kept").alias("text"), "more.*", F.length("kept").cast("long").alias("n_chars")
+        F.col("kept").alias("text"), "more.*", F.length("kept").cast("long").alias("n_chars")
     ).select(*docs.columns)
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits, _ = decontamination.occurrences(docs, items)
-    return without_keys(docs, hits.select(F.col("doc").alias("doc_id")), "doc_id")
+    rows = numbered(docs, "doc_id", "text")
+    hits, _ = decontamination.occurrences(rows, items, ROW)
+    return without_keys(rows, hits.select(F.col("doc").alias(ROW)), ROW).drop(ROW)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -99,3 +99,36 @@ def test_planted_rows(spark, tables):
     cut = stage("repeated_passages")(spark, docs.where("doc_id <> 21 AND doc_id <> 22"), tables)
     changed = cut.join(docs, "doc_id").where(~cut["text"].eqNullSafe(docs["text"])).select("doc_id")
     assert {r["doc_id"] for r in changed.where(F.col("doc_id") != 26).collect()} == {24}
+
+
+def test_missing_and_repeated_keys(spark, tables, tmp_path):
+    """A row's verdict is its own: others without key, or with the same one, stay."""
+    item = spark.read.parquet(f"{tables}/benchmark.parquet").first()["text"]
+    passage = prose(852, 40)
+    clean = [prose(800 + i, 90) for i in range(12)]
+    rows = [(i, clean[i]) for i in range(4)]  # keyed, one of them with another text
+    rows += [(3, clean[4]), (3, clean[4]), (3, "too short"), (3, f"{prose(830, 70)} {item} end")]
+    rows += [(None, t) for t in (*clean[5:], clean[0], clean[6], "too short", None, f"{prose(831, 70)} {item} end")]
+    rows += [(None, f"{prose(840 + i, 80)} {passage}") for i in range(2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    given = [(k, t, "en", "s", None if t is None else len(t)) for k, t in rows]
+    docs = spark.createDataFrame(given, schema)
+    pairs = lambda df: sorted((tuple(r) for r in df.select("doc_id", "text").collect()), key=repr)
+    good = sorted([r for r in rows if r[1] not in (None, "too short")], key=repr)
+    docs = stage("quality_rules")(spark, docs, tables)
+    assert pairs(docs) == good
+    once = sorted({r for r in good if r != (None, clean[0])}, key=repr)
+    docs = stage("near_duplicates")(spark, docs, tables)
+    assert pairs(docs) == once
+    left = pairs(stage("contaminated")(spark, docs, tables))
+    assert left == [r for r in once if item not in r[1]]
+    cut = pairs(stage("repeated_passages")(spark, docs, tables))
+    assert [k for k, _ in cut] == [k for k, _ in once]
+    assert sum(passage in t for _, t in cut) == sum(item in t for _, t in cut) == 1
+
+    folder = str(tmp_path)
+    spark.createDataFrame(given, schema).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    found = corpus_pipeline.run(spark, folder).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in found} == {0: 1, 1: 1, 2: 1, 3: 2, None: 10}
