@@ -11,8 +11,8 @@ shuffle, while the benchmark's windows stay below ``BROADCAST_WINDOWS``; beyond
 it words are shuffled and documents read again for the comparison.
 
 Defined results: a NULL or empty text has no words; an item without words has no
-window; items of equal text all count; documents are told apart by key, so
-repeated rows get equal results; without documents there are no rows, without
+window; items of equal text all count; rows are judged one by one, also those
+without key or with a repeated one; without documents there are no rows, without
 items nobody is hit; other columns are not looked at.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from incidentlens.llm.rows import ROW, numbered
 from incidentlens.sources.scratch import materialise
 
 BROADCAST_WINDOWS = 200_000
@@ -74,7 +75,7 @@ def occurrences(
 ) -> tuple[DataFrame, DataFrame]:
     """Where windows occur, (key, start, length, window), and the items' windows.
 
-    Both are written tables, in proportion to the hits and the benchmark.
+    Documents are told apart by key, which has to be there. Both are written tables, in proportion to the hits and the benchmark.
     """
     wins = materialise(windows(items, item_key, item_text, size), "windows")
     small = wins.count() <= BROADCAST_WINDOWS
@@ -106,7 +107,8 @@ def contamination(
     item_key: str = "item_id", item_text: str = "text", size: int = 10,
 ) -> DataFrame:
     """Per document its words, the hit ones and the items (as an array) found in it."""
-    hits, wins = occurrences(docs, items, key, text, item_key, item_text, size)
+    docs = numbered(docs, key, text)
+    hits, wins = occurrences(docs, items, ROW, text, item_key, item_text, size)
     spans = hits.groupBy("doc", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
     earlier = Window.partitionBy("doc").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     covered = F.coalesce(F.max("end").over(earlier), F.lit(0))
@@ -122,12 +124,12 @@ def contamination(
         .agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
     )
     base = docs.select(
-        F.col(key).alias("doc"), F.size(words_of(F.col(text))).cast("long").alias("n_words")
+        F.col(ROW).alias("doc"), F.col(key).alias("key"), F.size(words_of(F.col(text))).cast("long").alias("n_words")
     )
     return (
         base.join(hit_words.join(found_items, "doc"), "doc", "left")
         .select(
-            F.col("doc").alias(key),
+            F.col("key").alias(key),
             "n_words",
             F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),

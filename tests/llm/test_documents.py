@@ -44,6 +44,20 @@ def test_decontamination(spark, awkward, awkward_docs, no_docs, most, monkeypatc
     assert clean.isEmpty()
 
 
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_decontamination_of_missing_and_repeated_keys(spark, most, monkeypatch):
+    """Each row has its own hits, whatever its key."""
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", most)
+    item = prose(8, 12)
+    texts = [(None, f"a {item} b"), (None, prose(9, 30)), (7, prose(10, 30)), (7, f"{item} c"), (7, f"{item} c"), (8, item), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(0, item)], "item_id long, text string")
+    found = decontamination.contamination(docs, items).select("doc_id", "n_words", "n_hit", "items").collect()
+    hit, none = (12, ["0"]), (0, [])
+    expected = [(None, 14, *hit), (None, 30, *none), (7, 30, *none), (7, 13, *hit), (7, 13, *hit), (8, 12, *hit), (None, 0, *none)]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+
+
 def test_decontamination_of_given_tables(spark, small, given):
     items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").select("item_id", "text").collect()]
     assert rows(queries.op2_decontamination(spark, small)) == brute.contamination(given, items)
