@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentlens.functions.spatial import Ring, within
-from incidentlens.schema import EXTENT_RING, QUALITY_COLUMNS
+from incidentlens.schema import CORRUPT_FLAG, EXTENT_RING, QUALITY_COLUMNS
 
 
 def quality_report(flagged: DataFrame) -> DataFrame:
     """Rows (measure, records): all records, NULLs per column where there are
-    any, and records with invalid coordinates."""
+    any, records with invalid coordinates, and records with too few or too many
+    fields where there are any and the input has the flag for them."""
     always = ("all records", "invalid coordinates")
     counts = flagged.agg(
         F.count(F.lit(1)).alias(always[0]),
         *[F.count_if(F.col(name).isNull()).alias(f"null {name}") for name in QUALITY_COLUMNS],
         F.count_if(~F.col("coord_valid")).alias(always[1]),
+        *[F.count_if(name).alias("corrupt records") for name in flagged.columns if name == CORRUPT_FLAG],
     )
     return counts.unpivot([], counts.columns, "measure", "records").where(
         F.col("measure").isin(*always) | (F.col("records") > 0)

@@ -11,6 +11,8 @@ from incidentlens.functions.conversion import (
 )
 from incidentlens.functions.spatial import CITY_GRID, HexGrid, Ring, hex_cell, inside_bounds, within
 from incidentlens.schema import (
+    CORRUPT_COLUMN,
+    CORRUPT_FLAG,
     DATE_PATTERN,
     DOUBLE_COLUMNS,
     EXTENT_RING,
@@ -25,7 +27,8 @@ def typed(raw: DataFrame) -> DataFrame:
     """Delivered text columns as dates, numbers and text, with month and year.
 
     Values that do not convert are NULL. The placeholder text becomes NULL in
-    the person columns only; elsewhere it is a value like any other.
+    the person columns only; elsewhere it is a value like any other. A scan that
+    keeps the text of corrupt records gives a flag for them as the last column.
     """
 
     def convert(name: str):
@@ -40,10 +43,13 @@ def typed(raw: DataFrame) -> DataFrame:
             text = without_placeholder(text, PLACEHOLDER)
         return text.alias(name)
 
-    return raw.select(*map(convert, RAW_COLUMNS)).select(
-        "*",
+    kept = [CORRUPT_COLUMN] if CORRUPT_COLUMN in raw.columns else []
+    flag = [F.col(CORRUPT_COLUMN).isNotNull().alias(CORRUPT_FLAG)] if kept else []
+    return raw.select(*map(convert, RAW_COLUMNS), *kept).select(
+        *RAW_COLUMNS,
         F.month("ARREST_DATE").alias("ARREST_MONTH"),
         F.year("ARREST_DATE").alias("ARREST_YEAR"),
+        *flag,
     )
 
 

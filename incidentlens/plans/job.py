@@ -27,7 +27,7 @@ from incidentlens.operators.features import (
 )
 from incidentlens.operators.quality import quality_report, store_report
 from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
-from incidentlens.schema import EXTENT_RING, TOP_PRECINCTS
+from incidentlens.schema import EXTENT_RING, INGESTED_SCHEMA, TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
 from incidentlens.sources.store import (
     read_flagged,
@@ -55,11 +55,12 @@ def ingest(
 ) -> DataFrame:
     """CSV to typed, flagged Parquet with all records; returns the quality report.
 
-    One pass over the text. The report reads eight columns of what was written.
+    One pass over the text. The report reads nine columns of what was written, one
+    of them the flag for records with too few or too many fields.
     """
-    records = typed(scan_csv(spark, csv_path, check_header))
+    records = typed(scan_csv(spark, csv_path, check_header, keep_corrupt=True))
     write_table(flag_coords(records, ring), raw_path)
-    return quality_report(read_flagged(spark, raw_path))
+    return quality_report(spark.read.schema(INGESTED_SCHEMA).parquet(raw_path))
 
 
 def store(spark: SparkSession, raw_path: str, stored_path: str) -> DataFrame:

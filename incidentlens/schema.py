@@ -48,6 +48,7 @@ HEAT_THRESHOLD = 3
 TOP_PRECINCTS = 10
 
 CORRUPT_COLUMN = "_corrupt_record"
+CORRUPT_FLAG = "is_corrupt"
 PARTITION_COLUMN = "ARREST_BORO"
 
 _TYPES = {
@@ -68,6 +69,9 @@ TYPED_SCHEMA = StructType(
 # Typed records with the coordinate flag: every delivered record.
 FLAGGED_SCHEMA = StructType(TYPED_SCHEMA.fields + [StructField("coord_valid", BooleanType())])
 
+# The same as ingested, with a flag for records that had too few or too many fields.
+INGESTED_SCHEMA = StructType(FLAGGED_SCHEMA.fields + [StructField(CORRUPT_FLAG, BooleanType())])
+
 # Records with usable coordinates. The partition column comes from directory
 # names and is last; declaring it keeps '02' from being read as the number 2.
 STORED_SCHEMA = StructType(

@@ -11,6 +11,7 @@ from incidentlens.operators.aggregates import hex_density, top_k
 from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
 from incidentlens.plans import job, queries
 from incidentlens.plans.queries import delivery_path, queries as all_queries
+from incidentlens.schema import RAW_COLUMNS
 from incidentlens.sources.csv import scan_csv
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -146,3 +147,13 @@ def test_command_line(spark, sf_dir, tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert "records_in_region" in done.stdout and "Precinct " in done.stdout
+
+
+def test_records_with_too_few_or_too_many_fields_are_counted(spark, tmp_path):
+    full = ",".join(f"v{i}" for i in range(len(RAW_COLUMNS)))
+    lines = [",".join(RAW_COLUMNS), full, "short,row", full, full + ",more", "one"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    report = job.ingest(spark, f"file:{tmp_path}/in.csv", f"file:{tmp_path}/raw")
+    counts = {r.measure: r.records for r in report.collect()}
+    assert (counts["all records"], counts["corrupt records"]) == (5, 3)
+    assert job.read_flagged(spark, f"file:{tmp_path}/raw").count() == 5
