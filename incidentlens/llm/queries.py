@@ -9,13 +9,16 @@ from incidentlens.llm import (
     bpe,
     decontamination,
     html,
+    merkle,
     minhash,
+    pieces,
     quality,
     sharding,
     suffix_tree,
     suffixes,
     urls,
     warc,
+    whitening,
 )
 from incidentlens.llm.oracle import oracle_sql as oracle_sql
 from incidentlens.sources.scratch import scratch_path
@@ -34,10 +37,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = bpe.VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(bpe.VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +107,19 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(pages, html.learned(pages))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return pieces.digests(pieces.encode_decode(documents, vocabulary_path(pieces.VOCABULARY)))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"), merkle.hit_by_crc(F.col("doc_id")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -116,5 +132,7 @@ def queries() -> dict[str, Query]:
         "op8_urls": op8_urls,
         "op9_suffix_tree": op9_suffix_tree,
         "op10_html": op10_html,
+        "op11_pieces": op11_pieces,
+        "op12_merkle": op12_merkle,
+        "op13_whitening": op13_whitening,
     }
-

@@ -154,3 +154,78 @@ def base_scores(docs):
         )
         for doc, found in tokens.items()
     }
+
+
+def pieces(docs, path):
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=path)
+    out = set()
+    for doc, text in docs:
+        ids = processor.encode(text or "")
+        out.add((doc, len(ids), hexed(",".join(map(str, ids))), hexed(processor.decode(ids))))
+    return out
+
+
+def _chained(*parts):
+    return hexed("".join(parts))
+
+
+def _levels(nodes, run):
+    found = [nodes]
+    while len(found[-1]) > 1:
+        found.append([_chained(*found[-1][i : i + run]) for i in range(0, len(found[-1]), run)])
+    return found
+
+
+def _siblings(levels, place, run):
+    out = []
+    for nodes in levels[:-1]:
+        first = place // run * run
+        out.append(("".join(nodes[first:place]), "".join(nodes[place + 1 : first + run])))
+        place //= run
+    return out
+
+
+def manifest(rows, run=16):
+    """Rows are (doc_id, source, lang, n_chars, text); one row of the result for each."""
+
+    def leaf(row, text):
+        return _chained(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (*row[:4], text)])
+
+    trees = {}
+    for row in rows:
+        trees.setdefault(row[1], []).append((row[0] is not None, row[0] or 0, leaf(row, row[4]), row))
+    order = sorted(trees, key=lambda source: (source is not None, (source or "").encode()))
+    below = []
+    for source in order:
+        trees[source].sort(key=lambda found: found[:3])
+        below.append(_levels([found[2] for found in trees[source]], run))
+    above = _levels([levels[-1][0] for levels in below], run)
+    out = []
+    for k, source in enumerate(order):
+        for i, (has_key, key, own, row) in enumerate(trees[source]):
+            path, node = _siblings(below[k], i, run) + _siblings(above, k, run), own
+            if has_key and zlib.crc32(str(key).encode()) % 5 == 0 and row[4] is not None:
+                node = leaf(row, row[4].translate(LOWER))
+            for left, right in path:
+                node = _chained(left, node, right)
+            root = above[-1][0]
+            proof = _chained(*[left + right for left, right in path])
+            out.append((row[0], own, below[k][-1][0], root, proof, node, node == root))
+    return out
+
+
+def whitening(rows, most=8):
+    """Rows are (key, vector); keys, exact deviations, whitened values and explained shares."""
+    import numpy as np
+
+    kept = [(k, v) for k, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([[math.floor(1024 * float(c)) + 100_000 for c in v] for _, v in kept], dtype=object)
+    n, sums = len(x), x.sum(axis=0)
+    away = n * x - sums
+    covariance = np.array([[value / n**3 for value in row] for row in away.T @ away], dtype=float)
+    variances, axes = np.linalg.eigh(covariance)
+    variances, axes = variances[::-1], axes[:, ::-1]
+    whitened = (away / n).astype(float) @ axes[:, :most] / np.sqrt(variances[:most])
+    return [k for k, _ in kept], (away**2).sum(axis=1).tolist(), whitened, variances[:most] / np.trace(covariance)
