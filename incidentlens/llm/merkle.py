@@ -148,7 +148,9 @@ def paths(all_levels: list[DataFrame], tree: str, tops: DataFrame) -> DataFrame:
 
     above = ended(len(all_levels) - 1)
     for level in range(len(all_levels) - 1, 0, -1):
-        above = _path(all_levels[level], tree, above).select(tree, "pos", "path", *more).unionAll(ended(level - 1))
+        here = _path(all_levels[level], tree, above).select(tree, "pos", "path", *more)
+        # Written, so that no plan has the windows of more than one level.
+        above = materialise(here.unionAll(ended(level - 1)), "paths")
     return above
 
 
@@ -181,8 +183,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     top = roots(upper, "_all").select("_all", "level", F.array().cast(_PATH).alias("path"), "root")
     above = _path(sources, "_all", paths(upper, "_all", top)).select("_tree", "path", "root")
     tops = subroots.withColumnRenamed("root", "subroot").join(above, "_tree")
-    above = materialise(paths(lower, "_tree", tops), "paths")
-    proved = _path(leaves, "_tree", above)
+    proved = _path(leaves, "_tree", paths(lower, "_tree", materialise(tops, "tops")))
     siblings = F.transform("path", lambda at: F.concat(at["left"], at["right"]))
     start = F.coalesce("_changed", "digest")
     return proved.select(
