@@ -65,39 +65,53 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return _mixed(h16[:-4] * np.uint64(_E) + h4[16:])
 
 
-def _chosen(data: np.ndarray) -> np.ndarray:
-    """For each window of the data, the position of its digit."""
+def _chosen(data: np.ndarray):
+    """For each window of the data, the position of its digit: (first window, positions) by piece."""
     count = len(data) - DEPTH + 1
-    out = np.empty(max(0, count), np.uint32)
     for start in range(0, count, _PIECE):
         h = _gram_hashes(data[start : start + _PIECE + DEPTH - 1])
         m = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
         for width in (1, 2, 4, 8):
             m = np.minimum(m[:-width], m[width:])
         m = np.minimum(m[: -(SPAN - 16)], m[SPAN - 16 :])
-        out[start : start + _PIECE] = (m & _PLACE).astype(np.uint32) + np.uint32(start)
-    return out
+        yield start, (m & _PLACE).astype(np.int64) + start
 
 
 class _Runs:
-    """Runs of windows with one digit: its position and hash, first window and number of windows."""
+    """Runs of windows with one digit: its position and hash, first window and number of windows.
+
+    Found piece by piece, so that what is held grows with the runs and not with the bytes.
+    """
 
     def __init__(self, data: np.ndarray, lengths: np.ndarray):
         ends = np.cumsum(lengths)
-        starts = ends - lengths
-        chosen = _chosen(data)
-        valid = np.ones(len(data), bool)
-        tails = np.minimum(lengths, DEPTH - 1)
-        valid[ranges(ends - tails, tails)] = False
-        windows = np.flatnonzero(valid[: len(chosen)])
-        chosen = chosen[windows]
-        new = np.flatnonzero(np.diff(chosen, prepend=np.uint32(0xFFFFFFFF)))
-        self.first = windows[new]
-        self.size = np.diff(np.append(new, len(windows)))
-        self.place = chosen[new].astype(np.int64)
+        self.starts, self.ends = ends - lengths, ends
+        # Windows that would reach into the next document don't exist.
+        last = ends - np.minimum(lengths, DEPTH - 1)
+        firsts, places, lasts, end = [], [], [], len(data) - DEPTH + 1
+        for start, chosen in _chosen(data):
+            stop = start + len(chosen)
+            here = slice(np.searchsorted(ends, start, side="right"), np.searchsorted(last, stop))
+            left, right = np.maximum(last[here], start) - start, np.minimum(ends[here], stop) - start
+            valid = np.ones(len(chosen), bool)
+            valid[ranges(left, right - left)] = False
+            new = np.empty(len(chosen), bool)
+            new[0] = not (places and valid[0] and lasts[-1] == start - 1 and places[-1][-1] == chosen[0])
+            new[1:] = (chosen[1:] != chosen[:-1]) | ~valid[:-1]
+            new &= valid
+            begin = np.flatnonzero(new)
+            if len(begin):
+                firsts.append(begin + start)
+                places.append(chosen[begin])
+            seen = np.flatnonzero(valid)
+            lasts.append(int(seen[-1]) + start if len(seen) else -1)
+        self.first = np.concatenate(firsts) if firsts else np.empty(0, np.int64)
+        self.place = np.concatenate(places) if places else np.empty(0, np.int64)
         self.doc = np.searchsorted(ends, self.first, side="right")
-        self.starts, self.ends = starts, ends
-        h = np.zeros(len(new), np.uint64)
+        # A run ends where the next one begins, or with its document's windows.
+        following = np.append(self.first[1:], end)[: len(self.first)]
+        self.size = np.minimum(following, last[self.doc]) - self.first
+        h = np.zeros(len(self.first), np.uint64)
         for k in range(GRAM):
             h = h * np.uint64(_A) + _BYTES[data[self.place + k]]
         self.hash = _mixed(_mixed(h))
@@ -401,7 +415,7 @@ def _cut(buckets: int, key: str, as_text: bool):
             change = np.zeros(len(units.data) + 1, np.int32)
             change[goes] += 1
             change[goes + DEPTH] -= 1
-            covered = np.cumsum(change[:-1]) > 0
+            covered = np.cumsum(change[:-1], dtype=np.int32) > 0
             ends = np.cumsum(units.lengths).tolist()
             for name, length, more, end in zip(row["keys"], row["lengths"], row["more"], ends, strict=True):
                 gone, body = covered[end - length : end], units.body[end - length : end]
