@@ -48,73 +48,108 @@ def inside_bounds(lon: Column, lat: Column, ring: Ring) -> Column:
     )
 
 
-# More edges than this make a generated method too long for the JVM to compile.
-UNROLLED_EDGES = 12
-# On average; keeps the constant table in proportion to the ring.
+# Edges compared in one generated method; more make it too long for the JVM to compile.
+UNROLLED_EDGES = 6
+# On average; keeps the constant table in proportion to the rings.
 MAX_BANDS_PER_EDGE = 8
+# Above every latitude: no point reaches it.
+_NO_EDGE = ((0.0, 1e9), (0.0, 1e9))
 
 
-def _crosses(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
+def crosses(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
     """The point is at the height of the upward edge, lower end included, and west of it."""
     return (lat >= y1) & (lat < y2) & ((lon - x1) * (y2 - y1) < (lat - y1) * (x2 - x1))
 
 
-def _touches(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
+def touches(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
     on_line = (lon - x1) * (y2 - y1) == (lat - y1) * (x2 - x1)
     # The edge runs upward, but may run west.
     in_width = ((lon >= x1) & (lon <= x2)) | ((lon >= x2) & (lon <= x1))
     return (lat >= y1) & (lat <= y2) & on_line & in_width
 
 
-def _edges_near(lat: Column, edges: list[Edge], south: float, north: float) -> Column:
-    """Edges that reach the latitude band of a point, from a constant table of bands.
+def _banded(edges: list[Edge], south: float, north: float) -> list[list[Edge]]:
+    """Edges by the latitude band they reach, in as few bands as leave few edges in each.
 
-    There are as many bands as edges, so a point meets a few edges only, however
-    many the ring has. Long edges cross many bands; where they would make the
-    table large, fewer bands serve them as well.
+    Long edges cross many bands; where they would make the table large out of
+    proportion, some bands keep more edges.
     """
-    count = len(edges)
-    while True:
-        height = (north - south) / count
-        bands = [[] for _ in range(count + 1)]
-        for (x1, y1), (x2, y2) in edges:
-            for band in range(int((y1 - south) / height), int((y2 - south) / height) + 1):
-                bands[band].append({"x1": x1, "y1": y1, "x2": x2, "y2": y2})
-        if count == 1 or sum(map(len, bands)) <= MAX_BANDS_PER_EDGE * len(edges):
+    found, count = [edges], 1
+    while max(map(len, found)) > UNROLLED_EDGES:
+        count *= 2
+        bands = [[] for _ in range(count)]
+        for edge in edges:
+            first, last = (_band(y, south, north, count) for _, y in edge)
+            for band in range(first, last + 1):
+                bands[band].append(edge)
+        if sum(map(len, bands)) > MAX_BANDS_PER_EDGE * len(edges):
             break
-        count //= 2
-    table = F.from_json(F.lit(json.dumps(bands)), f"array<{_EDGE_LIST}>")
-    # A point outside the box would have no band; it gets an empty list.
-    band = F.floor((lat - south) / height).try_cast("int")
-    return F.coalesce(F.get(table, band), F.array().cast(_EDGE_LIST))
+        found = bands
+    return found
+
+
+def _band(y: float, south: float, north: float, count: int) -> int:
+    return min(int((y - south) / ((north - south) / count)), count - 1)
+
+
+def _odd_and_on_edge(lon: Column, lat: Column, edges: list[Edge], south: float, north: float) -> tuple[Column, Column]:
+    """Whether the edges to the east are odd in number, and whether the point is on one.
+
+    A point meets the edges of its latitude band only, from a constant table: a few that are
+    compared in generated code, however many edges there are. Only if long edges crowd every
+    band a list of them is gone through.
+    """
+    bands = _banded(edges, south, north)
+    band = F.least(F.floor((lat - south) / ((north - south) / len(bands))), F.lit(len(bands) - 1))
+    band = band.try_cast("int") if len(bands) > 1 else F.lit(0)
+    slots = max(map(len, bands))
+    if slots > UNROLLED_EDGES:
+        lists = [[{"x1": x1, "y1": y1, "x2": x2, "y2": y2} for (x1, y1), (x2, y2) in some] for some in bands]
+        # A point outside the box may have no band; it gets an empty list.
+        near = F.get(F.from_json(F.lit(json.dumps(lists)), f"array<{_EDGE_LIST}>"), band)
+        near = F.coalesce(near, F.array().cast(_EDGE_LIST))
+        odd = F.aggregate(near, F.lit(False), lambda odd, e: odd != crosses(lon, lat, e.x1, e.y1, e.x2, e.y2))
+        return odd, F.exists(near, lambda e: touches(lon, lat, e.x1, e.y1, e.x2, e.y2))
+    filled = [[*some, *[_NO_EDGE] * (slots - len(some))] for some in bands]
+    numbers = [value for some in filled for start, end in some for value in (*start, *end)]
+    table = F.from_json(F.lit(json.dumps(numbers)), "array<double>")
+    near = [[F.get(table, band * (4 * slots) + (4 * slot + i)) for i in range(4)] for slot in range(slots)]
+    odd = reduce(ne, [crosses(lon, lat, *edge) for edge in near])
+    return odd, reduce(or_, [touches(lon, lat, *edge) for edge in near])
 
 
 def within(lon: Column, lat: Column, ring: Ring) -> Column:
     """Strictly inside the ring: a point on the boundary is not within.
 
-    Four comparisons for an axis-aligned rectangle. Any other ring counts, by
-    odd or even, the edges to the east of the point, and excludes points on an
-    edge. The bounding box comes first, so that a Parquet scan can skip by it.
+    Four comparisons for an axis-aligned rectangle, otherwise as :func:`within_rings`.
     """
-    ring = [tuple(vertex) for vertex in ring]
-    if len(ring) < 4 or ring[0] != ring[-1]:
-        raise ValueError("a ring needs at least three corners and must end where it starts")
-    west, south, east, north = bounds(ring)
-    if west == east or south == north:
-        raise ValueError("a ring must enclose an area")
+    return within_rings(lon, lat, [ring])
+
+
+def within_rings(lon: Column, lat: Column, rings: Sequence[Ring]) -> Column:
+    """Strictly inside an area of several rings: parts, and holes in them.
+
+    Counts, by odd or even, the edges of all rings to the east of the point, and excludes
+    points on an edge: a ring within another is a hole, one within a hole is a part again.
+    Where two rings have an area in common it counts as outside, and an edge that two
+    rings share as a boundary. The bounding box comes first, so that a Parquet scan can
+    skip by it.
+    """
+    rings = [[tuple(vertex) for vertex in ring] for ring in rings]
+    if not rings:
+        raise ValueError("an area needs a ring")
+    for ring in rings:
+        if len(ring) < 4 or ring[0] != ring[-1]:
+            raise ValueError("a ring needs at least three corners and must end where it starts")
+        west, south, east, north = bounds(ring)
+        if west == east or south == north:
+            raise ValueError("a ring must enclose an area")
+    west, south, east, north = bounds([vertex for ring in rings for vertex in ring])
     box = (lon > west) & (lon < east) & (lat > south) & (lat < north)
-    if is_rectangle(ring):
+    if len(rings) == 1 and is_rectangle(rings[0]):
         return box
-    edges = upward_edges(ring)
-    if len(edges) <= UNROLLED_EDGES:
-        odd = reduce(ne, [_crosses(lon, lat, *start, *end) for start, end in edges])
-        on_edge = reduce(or_, [_touches(lon, lat, *start, *end) for start, end in edges])
-    else:
-        near = _edges_near(lat, edges, south, north)
-        odd = F.aggregate(
-            near, F.lit(False), lambda odd, e: odd != _crosses(lon, lat, e.x1, e.y1, e.x2, e.y2)
-        )
-        on_edge = F.exists(near, lambda e: _touches(lon, lat, e.x1, e.y1, e.x2, e.y2))
+    edges = [edge for ring in rings for edge in upward_edges(ring)]
+    odd, on_edge = _odd_and_on_edge(lon, lat, edges, south, north)
     return box & odd & ~on_edge
 
 
@@ -162,5 +197,90 @@ def hex_cell(lon: Column, lat: Column, grid: HexGrid = CITY_GRID) -> Column:
     c = F.floor(u * -2.0)
     q = F.floor((a - c + 1) / 3)
     r = F.floor((b - a + 1) / 3)
+    return hex_id(q, r)
+
+
+def hex_id(q: Column, r: Column) -> Column:
+    """Id of the hexagon with these axial coordinates; NULL if they are too far out for one."""
     has_id = q.between(-_SHIFT, _SHIFT - 1) & r.between(-_SHIFT, _SHIFT - 1)
     return F.when(has_id, (q + _SHIFT) * F.lit(_STRIDE).cast("bigint") + (r + _SHIFT))
+
+
+# Cells of level 0 are hexagons. A cell of the next level is one of them with its six
+# neighbours, and so on; ids of higher levels have the level above their 42 bits.
+_LEVEL = 1 << 42
+MAX_LEVEL = 12
+
+
+def _axial(cell: Column) -> tuple[Column, Column]:
+    q = F.shiftright(cell, 21).bitwiseAND(F.lit(_STRIDE - 1).cast("bigint")) - F.lit(_SHIFT).cast("bigint")
+    return q, cell.bitwiseAND(F.lit(_STRIDE - 1).cast("bigint")) - F.lit(_SHIFT).cast("bigint")
+
+
+def cell_level(cell: Column) -> Column:
+    return F.shiftright(cell, 42).cast("int")
+
+
+def cell_parent(cell: Column) -> Column:
+    """The cell of the next level that this one belongs to: one of its seven.
+
+    The middle cells of the sevens form a lattice of the vectors (2, 1) and (-1, 3), and
+    every other cell is next to exactly one of them. So a parent's axial coordinates are
+    those of the nearest lattice point: ``floor((3 q + r + 3) / 7)`` and
+    ``floor((2 r - q + 3) / 7)``. Like every aperture of seven it turns by 19 degrees per level.
+    """
+    q, r = _parent_axial(*_axial(cell))
+    above = (q + _SHIFT) * F.lit(_STRIDE).cast("bigint") + r + _SHIFT
+    return above + (cell_level(cell) + 1) * F.lit(_LEVEL).cast("bigint")
+
+
+def _parent_axial(q: Column, r: Column) -> tuple[Column, Column]:
+    return F.floor((q * 3 + r + 3) / 7), F.floor((r * 2 - q + 3) / 7)
+
+
+def cell_ancestor(cell: Column, level: int) -> Column:
+    """The cell of a level that a hexagon, a cell of level 0, belongs to.
+
+    The steps are a fold, as nested expressions would double with every level.
+    """
+    if not 0 <= level <= MAX_LEVEL:
+        raise ValueError(f"levels go from 0 to {MAX_LEVEL}")
+    if level == 0:
+        return cell
+    q, r = _axial(cell)
+
+    def up(at: Column, _: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in zip("qr", _parent_axial(at["q"], at["r"]), strict=True)])
+
+    steps = F.sequence(F.lit(1), F.lit(level))
+    start = F.struct(q.alias("q"), r.alias("r"))
+    above = F.aggregate(steps, start, up, lambda at: (at["q"] + _SHIFT) * F.lit(_STRIDE).cast("bigint") + at["r"] + _SHIFT)
+    # NULL stays NULL: a sum with a missing coordinate is missing.
+    return above + F.lit(level * _LEVEL).cast("bigint")
+
+
+def cell_children(cell: Column) -> Column:
+    """The seven cells of the level below, the middle one first; an empty list at level 0."""
+    below = F.transform(F.array(*[F.struct(F.lit(q).alias("q"), F.lit(r).alias("r")) for q, r in _SEVEN]), _child_of(cell))
+    return F.when(cell_level(cell) > 0, below).otherwise(F.array().cast("array<bigint>"))
+
+
+_SEVEN = ((0, 0), (1, 0), (0, 1), (-1, 1), (-1, 0), (0, -1), (1, -1))
+
+
+def _child_of(cell: Column):
+    q, r = _axial(cell)
+    middle = (q * 2 - r + _SHIFT) * F.lit(_STRIDE).cast("bigint") + q + r * 3 + _SHIFT
+    start = middle + (cell_level(cell) - 1) * F.lit(_LEVEL).cast("bigint")
+    return lambda step: start + step["q"] * F.lit(_STRIDE).cast("bigint") + step["r"]
+
+
+def cell_centre(cell: Column, level: int, grid: HexGrid = CITY_GRID) -> tuple[Column, Column]:
+    """Longitude and latitude of the middle of a cell of the given level."""
+    a, b, c, d = 1, 0, 0, 1  # axial coordinates of level 0 by those of the level
+    for _ in range(level):
+        a, b, c, d = 2 * a + b, 3 * b - a, 2 * c + d, 3 * d - c
+    q, r = _axial(cell)
+    q, r = q * a + r * b, q * c + r * d
+    lon = (q + r / 2) * (_SQRT3 * grid.edge_m / grid.metres_per_lon) + grid.origin_lon
+    return lon, r * (1.5 * grid.edge_m / grid.metres_per_lat) + grid.origin_lat

@@ -6,10 +6,13 @@ costs no more than any other. Each can be taken from the records, or from the
 small table of :func:`grouped`, which one scan of the records makes for all.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incidentlens.functions.position import LIMBS, is_position, limbs, mean_degrees
+from incidentlens.functions.spatial import cell_ancestor
 
 PRECINCT_KEYS = ("ARREST_PRECINCT", "ARREST_BORO")
 MONTH_KEYS = ("ARREST_BORO", "ARREST_YEAR", "ARREST_MONTH", "LAW_CAT_CD")
@@ -19,12 +22,13 @@ _LAT, _LON = [[f"{name}_{limb}" for limb in LIMBS] for name in ("lat", "lon")]
 _SUMS = ("records", "located", *_LAT, *_LON)
 
 
-def _measures(records: DataFrame) -> DataFrame:
+def _measures(records: DataFrame, *more: str) -> DataFrame:
     """Give every record the additive measures that a row of :func:`grouped` has."""
     located = is_position(F.col("Latitude"), F.col("Longitude"))
     lat, lon = F.when(located, F.col("Latitude")), F.when(located, F.col("Longitude"))
     present = set(records.columns)
     return records.select(
+        *more,
         *[name for name in _ALL_KEYS if name in present],
         lat.alias("Latitude"),
         lon.alias("Longitude"),
@@ -35,12 +39,13 @@ def _measures(records: DataFrame) -> DataFrame:
     )
 
 
-def grouped(celled: DataFrame) -> DataFrame:
+def grouped(celled: DataFrame, *by: str) -> DataFrame:
     """Records with a cell, summed at the three levels that the summaries need.
 
     Grouping sets make it in one scan. Its size is the sum of the precincts,
     months and cells that occur, each with their categories, whereas grouping by
-    all keys at once would shuffle their product from every task.
+    all keys at once would shuffle their product from every task. With further
+    columns ``by``, such as the delivery, there are such groups for each of their values.
     """
     level = (
         F.when(F.grouping(CELL_KEY) == 0, "cell")
@@ -48,14 +53,19 @@ def grouped(celled: DataFrame) -> DataFrame:
         .otherwise("precinct")
     )
     return (
-        _measures(celled)
+        _measures(celled, *by)
         .groupingSets(
-            [[*PRECINCT_KEYS, "LAW_CAT_CD"], [*MONTH_KEYS], [CELL_KEY]], *_ALL_KEYS
+            [[*by, *PRECINCT_KEYS, "LAW_CAT_CD"], [*by, *MONTH_KEYS], [*by, CELL_KEY]], *by, *_ALL_KEYS
         )
         .agg(level.alias("level"), *[F.sum(name).alias(name) for name in _SUMS])
     )
 
 
+def merged(groups: DataFrame) -> DataFrame:
+    """Groups of several deliveries as those of all their records; sums are whole numbers."""
+    return groups.groupBy(*_ALL_KEYS, "level").agg(*[F.sum(name).alias(name) for name in _SUMS])
+
+
 def _at(level: str, groups: DataFrame) -> DataFrame:
     return groups.where(F.col("level") == level)
 
@@ -150,16 +160,37 @@ def hex_density(celled: DataFrame, exact: bool = True) -> DataFrame:
     return _cells(_measures(celled), exact)
 
 
+def levels_from(groups: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Records and their mean position by cell, for several levels of cells at once.
+
+    Takes the small table of groups: every hexagon's sums go to its ancestor of each level,
+    in one grouping. A level's records add up to those of all hexagons.
+    """
+    cells = _at("cell", groups).where(F.col(CELL_KEY).isNotNull())
+    ancestors = F.array(*[F.struct(F.lit(n).alias("cell_level"), cell_ancestor(F.col(CELL_KEY), n).alias("_cell")) for n in levels])
+    return (
+        cells.select(F.inline(ancestors), *_SUMS)
+        .groupBy("cell_level", F.col("_cell").alias(CELL_KEY))
+        .agg(F.sum("records").alias("arrest_count"), *_centroid("cell_lat", "cell_lon", exact=True))
+    )
+
+
+def hex_levels(celled: DataFrame, levels: Sequence[int] = (0, 1, 2, 3)) -> DataFrame:
+    """Cells of several levels with their records and mean position, from records with a cell."""
+    cells = _measures(celled).groupBy(CELL_KEY).agg(*[F.sum(name).alias(name) for name in _SUMS])
+    return levels_from(cells.withColumn("level", F.lit("cell")), levels)
+
+
 def totals_from(groups: DataFrame) -> DataFrame:
     """Records, precincts with data, and populated cells, as one row."""
     precinct = F.when(F.col("level") == "precinct", F.struct(*PRECINCT_KEYS))
-    cell = F.when(F.col("level") == "cell", F.col(CELL_KEY))
+    cell = (F.col("level") == "cell") & F.col(CELL_KEY).isNotNull()  # a group each
     return groups.agg(
         F.coalesce(F.sum(F.when(F.col("level") == "cell", F.col("records"))), F.lit(0)).alias(
             "records_in_region"
         ),
         F.count_distinct(precinct).alias("precincts_with_data"),
-        F.count_distinct(cell).alias("populated_cells"),
+        F.count_if(cell).alias("populated_cells"),
     )
 
 

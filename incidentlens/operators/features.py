@@ -47,8 +47,8 @@ def circle_layer(summary: DataFrame) -> DataFrame:
     """One circle per precinct: place, radius, colour, and the texts shown with it.
 
     The radius is relative to the largest total of all precincts, also of those
-    without a position. That one number is a scalar subquery, so ``summary``
-    should be a stored table: it is read twice.
+    without a position. That one number is a scalar subquery over the totals alone. A
+    ``summary`` that isn't stored is computed for it once more, from the columns it needs.
     """
     total = F.col("total_arrests")
     largest = summary.agg(F.max("total_arrests")).scalar()

@@ -23,3 +23,17 @@ def category_by_month(stored: DataFrame, precinct: int, category: str) -> DataFr
         .agg(F.count(F.lit(1)).alias("arrest_count"))
         .orderBy("ARREST_YEAR", "ARREST_MONTH")
     )
+
+
+def window_lookup(stored: DataFrame, dates: tuple[str, str], box: tuple[float, float, float, float]) -> DataFrame:
+    """Records between two dates, both included, in a box of west, south, east and north.
+
+    Row groups whose statistics lie outside are skipped: many of them where the records
+    are stored along a curve of these columns.
+    """
+    west, south, east, north = box
+    return stored.where(
+        F.col("ARREST_DATE").between(*[F.lit(day).cast("date") for day in dates])
+        & F.col("Longitude").between(west, east)
+        & F.col("Latitude").between(south, north)
+    )

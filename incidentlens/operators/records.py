@@ -1,5 +1,7 @@
 """Record-level steps: text to typed records, flags and filters. No shuffle."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from incidentlens.functions.conversion import (
     us_date,
     without_placeholder,
 )
-from incidentlens.functions.spatial import CITY_GRID, HexGrid, Ring, hex_cell, inside_bounds, within
+from incidentlens.functions.spatial import CITY_GRID, HexGrid, Ring, hex_cell, inside_bounds, within, within_rings
 from incidentlens.schema import (
     CORRUPT_COLUMN,
     CORRUPT_FLAG,
@@ -23,12 +25,13 @@ from incidentlens.schema import (
 )
 
 
-def typed(raw: DataFrame) -> DataFrame:
+def typed(raw: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Delivered text columns as dates, numbers and text, with month and year.
 
     Values that do not convert are NULL. The placeholder text becomes NULL in
     the person columns only; elsewhere it is a value like any other. A scan that
-    keeps the text of corrupt records gives a flag for them as the last column.
+    keeps the text of corrupt records gives a flag for them after the others, and
+    columns named in ``more`` come last, as they are.
     """
 
     def convert(name: str):
@@ -45,11 +48,12 @@ def typed(raw: DataFrame) -> DataFrame:
 
     kept = [CORRUPT_COLUMN] if CORRUPT_COLUMN in raw.columns else []
     flag = [F.col(CORRUPT_COLUMN).isNotNull().alias(CORRUPT_FLAG)] if kept else []
-    return raw.select(*map(convert, RAW_COLUMNS), *kept).select(
+    return raw.select(*map(convert, RAW_COLUMNS), *kept, *more).select(
         *RAW_COLUMNS,
         F.month("ARREST_DATE").alias("ARREST_MONTH"),
         F.year("ARREST_DATE").alias("ARREST_YEAR"),
         *flag,
+        *more,
     )
 
 
@@ -68,5 +72,10 @@ def in_region(records: DataFrame, ring: Ring = EXTENT_RING) -> DataFrame:
     return records.where(within(F.col("Longitude"), F.col("Latitude"), ring))
 
 
+def in_area(records: DataFrame, rings: Sequence[Ring]) -> DataFrame:
+    """Records strictly inside an area of several rings: parts, and holes in them."""
+    return records.where(within_rings(F.col("Longitude"), F.col("Latitude"), rings))
+
+
 def add_hex_cell(records: DataFrame, grid: HexGrid = CITY_GRID) -> DataFrame:
     return records.withColumn("hex_cell", hex_cell(F.col("Longitude"), F.col("Latitude"), grid))

@@ -1,11 +1,12 @@
-"""Incident records derived from the given order tables.
+"""Incident records and areas derived from the given tables.
 
 None of the given tables has coordinates, so one text record is derived from
-every order. The statement runs unchanged in Spark and in other SQL engines;
+every order, and one area from every supplier. The statements run unchanged in Spark and in other SQL engines;
 which value exercises which rule is listed in FIXTURES.md.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SOURCE_TABLES = ("orders", "customer", "nation")
 
@@ -40,6 +41,31 @@ FROM (SELECT o_orderkey AS k, o_orderdate AS d, o_orderstatus AS st, o_orderprio
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) t
 """
 
+AREA_TABLE = "supplier"
+# Twelve directions in thousandths, a step of 30 degrees each, for four rings: an outline,
+# a hole in it, a part to the east, and an island in the hole.
+RING_STEPS = [
+    (ring, place, dx, dy)
+    for ring in range(4)
+    for place, (dx, dy) in enumerate(
+        [
+            (1000, 0), (866, 500), (500, 866), (0, 1000), (-500, 866), (-866, 500),
+            (-1000, 0), (-866, -500), (-500, -866), (0, -1000), (500, -866), (866, -500),
+        ]
+    )
+]
+
+VERTICES_SQL = """
+SELECT concat('A', CAST(k AS STRING)) AS area, ring, place,
+  CAST((lon0 + CASE ring WHEN 2 THEN 3 * radius ELSE 0 END) * 100000 + dx * radius * share AS DOUBLE) / 1e11 AS lon,
+  CAST(lat0 * 100000 + dy * radius * share AS DOUBLE) / 1e11 AS lat
+FROM (SELECT *, -74250000 + k * 102947 % 550000 AS lon0, 40450000 + k * 104729 % 450000 AS lat0,
+    CASE WHEN k = 1 THEN 2000000 WHEN k % 10 = 0 THEN 150000 + k % 7 * 10000 ELSE 4000 + k * 31 % 40 * 1000 END AS radius,
+    CASE ring WHEN 0 THEN 60 + (k * place * 13 + place * 7) % 41 WHEN 1 THEN 30 WHEN 2 THEN 50 ELSE 10 END AS share
+  FROM (SELECT CAST(s_suppkey AS BIGINT) AS k, ring, place, CAST(dx AS BIGINT) AS dx, CAST(dy AS BIGINT) AS dy FROM {steps}) t) t
+WHERE ring = 0 OR (ring = 1 AND k % 3 = 0) OR (ring = 2 AND k % 5 = 0) OR (ring = 3 AND k % 15 = 0)
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,3 +80,30 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in SOURCE_TABLES:
         statement = statement.replace(f" {name} ", f" {{{name}}} ")
     return spark.sql(statement, **{name: table(spark, sf_dir, name) for name in SOURCE_TABLES})
+
+
+def area_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices of areas: stars of several sizes around the city, one of them over all of it."""
+    steps = ", ".join(f"struct({ring} AS ring, {place} AS place, {dx} AS dx, {dy} AS dy)" for ring, place, dx, dy in RING_STEPS)
+    exploded = f"{{supplier}} LATERAL VIEW inline(array({steps})) t AS ring, place, dx, dy"
+    return spark.sql(VERTICES_SQL.replace("{steps}", exploded), supplier=table(spark, sf_dir, AREA_TABLE))
+
+
+# Late records for some keys of two boroughs: moved, moved and then of another category, and
+# with a position that can't be right. The order is that of the deliveries.
+CORRECTIONS_SQL = [
+    "CAST(ARREST_KEY AS BIGINT) % 5 = 0",
+    "CAST(ARREST_KEY AS BIGINT) % 10 = 0",
+    "CAST(ARREST_KEY AS BIGINT) % 15 = 0",
+]
+
+
+def corrections(flagged: DataFrame) -> DataFrame:
+    """Flagged records that correct some of these, with the number of their delivery."""
+    some = flagged.where("coord_valid AND ARREST_BORO IN ('K', 'Q')")
+    first = some.where(CORRECTIONS_SQL[0]).selectExpr("*", "1 AS delivered").withColumns(
+        {"ARREST_PRECINCT": F.col("ARREST_PRECINCT") + 100, "ARREST_BORO": F.lit("Q")}
+    )
+    second = first.where(CORRECTIONS_SQL[1]).withColumns({"LAW_CAT_CD": F.lit("V"), "delivered": F.lit(2)})
+    third = first.where(CORRECTIONS_SQL[2]).withColumns({"coord_valid": F.lit(False), "delivered": F.lit(3)})
+    return first.unionByName(second).unionByName(third)

@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 
 from incidentlens.operators.aggregates import (
     borough_month,
+    cells_from,
     hex_density,
+    hex_levels,
     monthly_trend,
     precinct_summary,
+    precincts_from,
     run_summary,
     top_k,
+    trend_from,
 )
+from incidentlens.operators.areas import area_totals, cover, edges, hex_cover, located
 from incidentlens.operators.features import (
     borough_month_lines,
     circle_layer,
@@ -28,25 +33,47 @@ from incidentlens.operators.features import (
     label_layer,
     top_lines,
 )
-from incidentlens.operators.lookups import borough_scan, category_by_month, precinct_lookup
+from incidentlens.operators.lookups import (
+    borough_scan,
+    category_by_month,
+    precinct_lookup,
+    window_lookup,
+)
 from incidentlens.operators.quality import (
     quality_report,
     spatial_outliers,
     store_report,
 )
-from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
-from incidentlens.plans import job
-from incidentlens.plans.fixture import SOURCE_TABLES, raw_records
+from incidentlens.operators.records import (
+    add_hex_cell,
+    flag_coords,
+    in_area,
+    in_region,
+    keep_valid,
+    typed,
+)
+from incidentlens.plans import deliveries, job
+from incidentlens.plans import corrections as corrected
+from incidentlens.plans.fixture import (
+    AREA_TABLE,
+    SOURCE_TABLES,
+    area_vertices,
+    corrections,
+    raw_records,
+)
 from incidentlens.schema import TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
+from incidentlens.sources.curve import write_along_curve
 from incidentlens.sources.files import content_version
-from incidentlens.sources.scratch import is_complete, materialise, remove, scratch_path
+from incidentlens.sources.scratch import is_complete, remove, scratch_path
 from incidentlens.sources.store import (
     partition_list,
     read_flagged,
     read_partitioned,
     storage_report,
+    write_partitioned,
 )
+from incidentlens.streaming import pickup
 
 # Parameters of the example queries.
 CONCAVE_RING = (
@@ -60,7 +87,15 @@ LONG_RING = tuple(
     )
     for angle in (2 * math.pi * (step % 90) / 90 for step in range(91))
 )
+# Two parts, the first with a hole and an island in it.
+RINGS = (
+    CONCAVE_RING,
+    ((-74.15, 40.5), (-74.0, 40.52), (-74.05, 40.6), (-74.18, 40.58), (-74.15, 40.5)),
+    ((-74.12, 40.53), (-74.06, 40.54), (-74.1, 40.57), (-74.12, 40.53)),
+    ((-73.99, 40.8), (-73.9, 40.75), (-73.85, 40.86), (-73.93, 40.9), (-73.99, 40.8)),
+)
 PRECINCT, BOROUGH, CATEGORY = 8, "M", "F"
+WINDOW_DATES, WINDOW_BOX = ("1995-01-01", "1995-12-31"), (-74.1, 40.5, -73.8, 40.7)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,7 +112,8 @@ def _dataset(
     one that these have outdated is removed. ``last`` is the table in it that is
     written last.
     """
-    versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in SOURCE_TABLES]
+    tables = (*SOURCE_TABLES, AREA_TABLE)
+    versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in tables]
     key = (spark.sparkContext.applicationId, sf_dir, name)
     version, path = _written.get(key, (None, None))
     if version != versions or not is_complete(spark, f"{path}{last}"):
@@ -140,6 +176,77 @@ def celled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_hex_cell(region_records(spark, sf_dir))
 
 
+def area_edges_path(spark: SparkSession, sf_dir: str) -> str:
+    """The edges of the derived areas."""
+
+    def write(path: str) -> None:
+        edges(area_vertices(spark, sf_dir)).write.parquet(path)
+
+    return _dataset(spark, sf_dir, "area_edges", write)
+
+
+def area_cover_path(spark: SparkSession, sf_dir: str) -> str:
+    """The cells that the derived areas cover."""
+
+    def write(path: str) -> None:
+        cover(spark.read.parquet(area_edges_path(spark, sf_dir))).write.parquet(path)
+
+    return _dataset(spark, sf_dir, "area_cover", write)
+
+
+def area_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = stored_records(spark, sf_dir).select("ARREST_KEY", "LAW_CAT_CD", "Longitude", "Latitude")
+    return located(records, spark.read.parquet(area_cover_path(spark, sf_dir)))
+
+
+def merged_path(spark: SparkSession, sf_dir: str) -> str:
+    """The stored records after corrections have been merged into them, some twice."""
+
+    def write(path: str) -> None:
+        flagged = flagged_records(spark, sf_dir)
+        write_partitioned(keep_valid(flagged), path)
+        late = corrections(flagged)
+        corrected.merge(spark, path, late.where("delivered = 1"))
+        corrected.merge(spark, path, late)
+
+    return _dataset(spark, sf_dir, "merged", write)
+
+
+def deliveries_path(spark: SparkSession, sf_dir: str) -> str:
+    """Summaries of the stored records in four deliveries: added one by one, one of them
+    first in part and then replaced, and one more that is taken back."""
+
+    def write(path: str) -> None:
+        number = F.pmod(F.crc32(F.col("ARREST_KEY").cast("binary")), F.lit(4))
+        named = stored_records(spark, sf_dir).withColumn("delivery", F.concat(F.lit("d"), number))
+        deliveries.put(spark, path, named.where("delivery IN ('d0', 'd1')"))
+        deliveries.put(spark, path, named.where("delivery = 'd2' AND LAW_CAT_CD = 'F'"))
+        deliveries.put(spark, path, named.withColumn("delivery", F.lit("twice")))
+        deliveries.put(spark, path, named.where("delivery IN ('d2', 'd3')"))
+        deliveries.take_back(spark, path, "twice")
+
+    return _dataset(spark, sf_dir, "deliveries", write, last="/manifest/000000005")
+
+
+def _picked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of the delivered files, picked up in batches of two."""
+
+    def write(path: str) -> None:
+        pickup.run(spark, delivery_path(spark, sf_dir), path, files_per_batch=2)
+
+    path = _dataset(spark, sf_dir, "pickup", write, last=f"/{pickup.SUMMARIES}/manifest/000000001")
+    return deliveries.groups(spark, f"{path}/{pickup.SUMMARIES}")
+
+
+def _along_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored records along a curve."""
+
+    def write(path: str) -> None:
+        write_along_curve(stored_records(spark, sf_dir), path)
+
+    return read_partitioned(spark, _dataset(spark, sf_dir, "curve", write))
+
+
 def _precincts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return precinct_summary(region_records(spark, sf_dir))
 
@@ -221,6 +328,16 @@ def queries() -> dict[str, Query]:
         "spatial_filter": lambda s, d: _positions(region_records(s, d)),
         "polygon_filter": lambda s, d: _positions(in_region(stored_records(s, d), CONCAVE_RING)),
         "long_polygon_filter": lambda s, d: _positions(in_region(stored_records(s, d), LONG_RING)),
+        "rings_filter": lambda s, d: _positions(in_area(stored_records(s, d), RINGS)),
+        "area_join": lambda s, d: area_pairs(s, d).select("ARREST_KEY", "area"),
+        "area_totals": lambda s, d: area_totals(area_pairs(s, d)),
+        "area_cells": lambda s, d: hex_cover(s.read.parquet(area_edges_path(s, d))),
+        "hex_levels": lambda s, d: hex_levels(celled_records(s, d)),
+        "merged_records": lambda s, d: read_partitioned(s, merged_path(s, d)),
+        "deliveries_trend": lambda s, d: trend_from(deliveries.groups(s, deliveries_path(s, d))),
+        "deliveries_cells": lambda s, d: cells_from(deliveries.groups(s, deliveries_path(s, d))),
+        "pickup_precincts": lambda s, d: precincts_from(_picked_up(s, d)),
+        "window_lookup": lambda s, d: _short(window_lookup(_along_curve(s, d), WINDOW_DATES, WINDOW_BOX)),
         "hex_assign": lambda s, d: _positions(celled_records(s, d), "hex_cell"),
         "hex_density": lambda s, d: hex_density(celled_records(s, d)),
         "heat_points": lambda s, d: heat_points(hex_density(celled_records(s, d))),
@@ -229,7 +346,7 @@ def queries() -> dict[str, Query]:
         "top_precincts": lambda s, d: top_k(_precincts(s, d), TOP_PRECINCTS),
         "top10_lines": lambda s, d: top_lines(_precincts(s, d)),
         "run_summary": lambda s, d: run_summary(celled_records(s, d)),
-        "feature_circles": lambda s, d: circle_layer(materialise(_precincts(s, d))),
+        "feature_circles": lambda s, d: circle_layer(_precincts(s, d)),
         "feature_labels": lambda s, d: label_layer(_precincts(s, d)),
         "borough_month": lambda s, d: borough_month(_trend(s, d)),
         "borough_month_lines": lambda s, d: borough_month_lines(_trend(s, d)),

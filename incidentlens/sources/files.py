@@ -1,9 +1,15 @@
 """What the file system knows about datasets: the one place with JVM handles.
 
-Starts no job and opens no data file.
+Starts no job and opens no data file but to write a table.
 """
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace the dataset at ``path``; returns what is now there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def location(spark: SparkSession, path: str):
@@ -19,9 +25,11 @@ def content(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getLength(), summary.getFileCount()
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below ``path``."""
-    file_system, place = location(spark, path)
+def folders(spark: SparkSession, path: str, below: str = "") -> list[str]:
+    """Names of the folders directly below ``path``, or below a folder in it that may be missing."""
+    file_system, place = location(spark, f"{path}/{below}" if below else path)
+    if below and not file_system.exists(place):
+        return []
     return sorted(
         status.getPath().getName() for status in file_system.listStatus(place) if status.isDirectory()
     )
@@ -37,3 +45,8 @@ def content_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
         status = files.next()
         latest, size, count = max(latest, status.getModificationTime()), size + status.getLen(), count + 1
     return latest, size, count
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A value as partition directories spell it."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

@@ -4,8 +4,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from incidentlens.sources.files import location
-from incidentlens.sources.store import write_table
+from incidentlens.sources.files import location, write_table
 
 _PROCESS = uuid.uuid4().hex
 

@@ -4,37 +4,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentlens.schema import FLAGGED_SCHEMA, PARTITION_COLUMN, STORED_SCHEMA
-from incidentlens.sources.files import content, folders
+from incidentlens.sources.files import content, escaped, folders
+from incidentlens.sources.files import write_table as write_table
+from incidentlens.sources.spread import dealt
 
 _CLUSTER_COLUMNS = (PARTITION_COLUMN, "ARREST_PRECINCT")
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the dataset at ``path``; returns what is now there."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_flagged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLAGGED_SCHEMA).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    max_records_per_file: int = 0,
+    rows_per_task: int = 2_000_000,
+    only_touched: bool = False,
+) -> None:
     """Replace the dataset at ``path``, one directory per borough, Snappy Parquet.
 
     There are only a handful of boroughs, so a plain ``repartition`` by borough
     would leave all but a handful of tasks idle and give the largest borough to
-    one of them. Records are therefore spread by borough and precinct, with the
-    rebalance hint: adaptive execution splits what exceeds the advisory partition
-    size, also a single precinct, and puts small ones together. Each file then
-    holds few precincts, in order, and a precinct filter skips most files and
-    row groups of a borough by their statistics. The order costs nothing: Spark
-    sorts by the partition column anyway.
+    one of them. Records are therefore spread by borough and precinct. With adaptive
+    execution the rebalance hint does it: what exceeds the advisory partition size is
+    split, also a single precinct, and small ones are put together. Without it
+    :func:`dealt` does, by counts and ``rows_per_task``. Each file then holds few
+    precincts, in order, and a precinct filter skips most files and row groups of a
+    borough by their statistics. The order costs nothing: Spark sorts by the partition
+    column anyway.
+
+    ``only_touched`` leaves the directories of boroughs that ``df`` has no records of.
     """
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    spread = df.hint("rebalance", *_CLUSTER_COLUMNS) if adaptive else dealt(df, _CLUSTER_COLUMNS, rows_per_task)
     (
-        df.hint("rebalance", *_CLUSTER_COLUMNS)
-        .sortWithinPartitions(*_CLUSTER_COLUMNS)
+        spread.sortWithinPartitions(*_CLUSTER_COLUMNS)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(PARTITION_COLUMN)
@@ -72,20 +79,26 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
 
 def partition_list(spark: SparkSession, path: str) -> DataFrame:
     """The partition directories of a stored dataset, listed when called."""
-    return spark.createDataFrame([(name,) for name in _partitions(spark, path)], "partition string")
+    return spark.createDataFrame([(name,) for name in partition_names(spark, path)], "partition string")
 
 
-def _partitions(spark: SparkSession, path: str) -> list[str]:
+def partition_names(spark: SparkSession, path: str) -> list[str]:
+    """Values of the partition directories, as directories spell them."""
     start = f"{PARTITION_COLUMN}="
     return [name.removeprefix(start) for name in folders(spark, path) if name.startswith(start)]
 
 
+def partition_name(spark: SparkSession, value: str | None) -> str:
+    """The way directories spell a value; a missing one and an empty one are the same."""
+    return escaped(spark, value) if value else "__HIVE_DEFAULT_PARTITION__"
+
+
 def storage_report(spark: SparkSession, raw_path: str, stored_path: str) -> DataFrame:
     """Size of both datasets in MB, their ratio (0 without data) and the partitions.
 
     Sizes come from the file system when this is called; no task looks at files.
     """
     raw_mb, stored_mb = [content(spark, path)[0] / (1024 * 1024) for path in (raw_path, stored_path)]
-    row = (raw_mb, stored_mb, raw_mb / stored_mb if stored_mb else 0.0, _partitions(spark, stored_path))
+    row = (raw_mb, stored_mb, raw_mb / stored_mb if stored_mb else 0.0, partition_names(spark, stored_path))
     schema = "raw_mb double, stored_mb double, ratio double, partitions array<string>"
     return spark.createDataFrame([row], schema)

@@ -1,0 +1,131 @@
+"""How stored records are dealt to tasks and files."""
+
+from collections import Counter
+from pathlib import Path
+
+import pyarrow.parquet as pq
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from incidentlens.operators.lookups import window_lookup
+from incidentlens.plans import queries
+from incidentlens.plans.queries import WINDOW_BOX, WINDOW_DATES, stored_records
+from incidentlens.schema import STORED_SCHEMA
+from incidentlens.sources import spread
+from incidentlens.sources.curve import curve_position, cut_points, write_along_curve
+from incidentlens.sources.spread import dealt
+from incidentlens.sources.store import read_partitioned, write_partitioned
+
+
+@pytest.fixture()
+def not_adaptive(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows has one key, a sixth none, the rest many small ones."""
+    number = F.col("id")
+    key = F.when(number % 3 == 0, 7).when(number % 6 == 1, None).otherwise(100 + number % 997)
+    return spark.range(0, 60_000, 1, 8).select("id", F.lit("K").alias("a"), key.alias("b"))
+
+
+@pytest.mark.parametrize("listed", [5, 10_000])
+def test_no_task_has_twice_the_rows_it_should(skewed, not_adaptive, listed, monkeypatch):
+    monkeypatch.setattr(spread, "LISTED_KEYS", listed)
+    placed = dealt(skewed, ["a", "b"], 1500)
+    sizes = dict(rows(placed.groupBy(F.spark_partition_id()).count()))
+    assert sum(sizes.values()) == 60_000 and max(sizes.values()) < 3000
+    assert Counter(rows(placed)) == Counter(rows(skewed))
+    if listed == 10_000:
+        assert len(sizes) == 40
+        tasks = placed.select("b", F.spark_partition_id().alias("task")).distinct().groupBy("b").count()
+        assert tasks.where("b > 7 AND count > 2").isEmpty()
+
+
+def test_rows_dealt_of_an_empty_table(skewed):
+    assert dealt(skewed.limit(0), ["a", "b"], 10).isEmpty()
+
+
+def test_the_store_step_without_adaptive_execution(spark, sf_dir, tmp_path, not_adaptive):
+    path = str(tmp_path / "stored")
+    records = stored_records(spark, sf_dir)
+    write_partitioned(records, path, rows_per_task=1000)
+    back = read_partitioned(spark, path)
+    assert Counter(rows(back)) == Counter(rows(records))
+    sizes = [pq.ParquetFile(p).metadata.num_rows for p in Path(path).rglob("*.parquet")]
+    assert max(sizes) < 2000 and len(sizes) >= 13
+    # Files still have few precincts each, so that a filter skips most of them.
+    spans = back.groupBy(F.input_file_name()).agg(F.count_distinct("ARREST_PRECINCT").alias("n"))
+    assert spans.agg(F.avg("n")).first()[0] < 6
+
+
+def matching(path, box, dates):
+    """Row groups whose statistics don't rule out the window, and all of them."""
+    west, south, east, north = box
+    found = total = 0
+    for file in Path(path).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            ranges = {
+                name: (stats.min, stats.max)
+                for i, name in enumerate(names)
+                if (stats := meta.row_group(g).column(i).statistics) is not None and stats.has_min_max
+            }
+            total += 1
+            wanted = {"Longitude": (west, east), "Latitude": (south, north)}
+            hits = all(ranges[c][0] <= high and ranges[c][1] >= low for c, (low, high) in wanted.items())
+            low, high = ranges["ARREST_DATE"]
+            found += hits and str(low) <= dates[1] and str(high) >= dates[0]
+    return found, total
+
+
+def test_a_curve_lets_filters_on_any_column_skip_files(spark, sf_dir, tmp_path, not_adaptive):
+    records = stored_records(spark, sf_dir)
+    curve, sorted_path = str(tmp_path / "curve"), str(tmp_path / "sorted")
+    write_along_curve(records, curve, rows_per_file=200)
+    write_partitioned(records, sorted_path, rows_per_task=200)
+    assert Counter(rows(read_partitioned(spark, curve))) == Counter(rows(records))
+    sizes = [pq.ParquetFile(p).metadata.num_rows for p in Path(curve).rglob("*.parquet")]
+    assert max(sizes) < 1000
+    one_year, everywhere, always = WINDOW_DATES, (-75.0, 40.0, -73.0, 41.0), ("1900-01-01", "2100-01-01")
+    for box, dates, at_most in ((everywhere, one_year, 0.75), (WINDOW_BOX, always, 0.6), (WINDOW_BOX, one_year, 0.5)):
+        on_curve, by_precinct = matching(curve, box, dates), matching(sorted_path, box, dates)
+        shares = on_curve[0] / on_curve[1], by_precinct[0] / by_precinct[1]
+        assert shares[0] <= at_most and shares[0] < shares[1], (box, dates, on_curve, by_precinct)
+
+
+def test_window_filters_reach_the_scan(spark, sf_dir):
+    text = window_lookup(stored_records(spark, sf_dir), WINDOW_DATES, WINDOW_BOX)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in text and "Exchange" not in text and "Python" not in text
+
+
+def test_places_on_the_curve(spark):
+    df = spark.range(4096).select((F.col("id") % 64).alias("x"), F.floor(F.col("id") / 64).alias("y"))
+    cuts = cut_points(df, ["x", "y"])
+    placed = df.select("x", "y", curve_position(df, ["x", "y"], cuts).alias("at"))
+    assert placed.select("at").distinct().count() > 3000
+    # A sixteenth of the curve is a small square.
+    part = placed.groupBy(F.floor(F.col("at") / 256)).agg((F.max("x") - F.min("x")).alias("w"), (F.max("y") - F.min("y")).alias("h"))
+    assert part.agg(F.max("w"), F.max("h")).first() < (20, 20)
+    same = df.select(F.lit(3).alias("x"), F.lit(None).cast("double").alias("y"))
+    assert same.select(curve_position(same, ["x", "y"], cut_points(same, ["x", "y"]))).distinct().count() == 1
+
+
+def test_calling_feature_circles_starts_no_job(spark, sf_dir):
+    stored_records(spark, sf_dir)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("circles", "plan only")
+    try:
+        queries.queries()["feature_circles"](spark, sf_dir)
+        assert list(tracker.getJobIdsForGroup("circles")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_stored_schema_has_the_partition_last():
+    assert STORED_SCHEMA.names[-1] == "ARREST_BORO"

@@ -1,0 +1,81 @@
+"""Cells above hexagons: seven to one, level by level."""
+
+import pytest
+from helpers import rows, stored
+from pyspark.sql import functions as F
+
+from incidentlens.functions.spatial import (
+    CITY_GRID,
+    cell_ancestor,
+    cell_centre,
+    cell_children,
+    cell_level,
+    cell_parent,
+    hex_cell,
+    hex_id,
+)
+from incidentlens.operators.aggregates import grouped, hex_density, hex_levels, levels_from
+from incidentlens.operators.records import add_hex_cell
+from incidentlens.plans.queries import celled_records
+
+
+@pytest.fixture(scope="module")
+def cells(spark):
+    side = spark.range(-60, 61)
+    q, r = side.select(F.col("id").alias("q")), side.select(F.col("id").alias("r"))
+    return q.join(F.broadcast(r), F.lit(True)).select(hex_id(F.col("q"), F.col("r")).alias("cell")).persist()
+
+
+def test_every_cell_is_a_child_of_its_parent(cells):
+    for level in range(3):
+        here = cells.select(cell_ancestor(F.col("cell"), level).alias("cell")).distinct()
+        family = here.select("cell", cell_children(cell_parent(F.col("cell"))).alias("seven"))
+        assert family.where(~F.array_contains("seven", F.col("cell"))).isEmpty()
+        assert family.where((F.size(F.array_distinct("seven")) != 7) | (cell_level(F.col("cell")) != level)).isEmpty()
+
+
+def test_sevens_are_next_to_their_middle(cells):
+    """A hexagon's parent has its middle no further away than the next hexagon."""
+    lon, lat = cell_centre(F.col("cell"), 0)
+    up_lon, up_lat = cell_centre(cell_parent(F.col("cell")), 1)
+    metres = F.hypot((lon - up_lon) * CITY_GRID.metres_per_lon, (lat - up_lat) * CITY_GRID.metres_per_lat)
+    far = cells.agg(F.max(metres)).first()[0]
+    assert far == pytest.approx(3**0.5 * CITY_GRID.edge_m, rel=1e-9)
+
+
+def test_the_centre_of_a_cell_lies_in_it(cells):
+    for level in range(4):
+        here = cells.select(cell_ancestor(F.col("cell"), level).alias("cell")).distinct()
+        back = cell_ancestor(hex_cell(*cell_centre(F.col("cell"), level)), level)
+        assert here.where(~back.eqNullSafe(F.col("cell"))).isEmpty()
+
+
+def test_a_missing_cell_has_no_parent(spark):
+    df = spark.sql("SELECT CAST(NULL AS BIGINT) AS cell")
+    assert rows(df.select(cell_parent(F.col("cell")), cell_ancestor(F.col("cell"), 3))) == [(None, None)]
+    with pytest.raises(ValueError):
+        cell_ancestor(F.col("cell"), 13)
+
+
+def test_hexagons_have_no_children(cells):
+    assert cells.where(F.size(cell_children(F.col("cell"))) != 0).isEmpty()
+
+
+def test_levels_add_up(spark, sf_dir):
+    records = celled_records(spark, sf_dir)
+    levels = hex_levels(records, range(0, 13)).persist()
+    totals = rows(levels.groupBy("cell_level").agg(F.sum("arrest_count"), F.count("*")).orderBy("cell_level"))
+    assert [t[1] for t in totals] == [records.count()] * 13
+    counts = [t[2] for t in totals]
+    assert counts == sorted(counts, reverse=True) and counts[0] > 5 * counts[2] and counts[-1] <= 7
+    lowest = levels.where("cell_level = 0").drop("cell_level")
+    density = hex_density(records)
+    assert lowest.exceptAll(density).isEmpty() and density.exceptAll(lowest).isEmpty()
+    same = levels_from(grouped(records), range(0, 13))
+    assert same.exceptAll(levels).isEmpty() and levels.exceptAll(same).isEmpty()
+    levels.unpersist()
+
+
+def test_records_without_a_cell_count_nowhere(spark):
+    records = add_hex_cell(stored(spark, {}, {"Latitude": None}, {"Longitude": float("nan")}))
+    assert rows(hex_levels(records, [0, 2]).select("cell_level", "arrest_count").orderBy("cell_level")) == [(0, 1), (2, 1)]

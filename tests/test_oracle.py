@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry_module
 from incidentlens.plans import oracle, queries
 
-TABLES = ("orders", "customer", "nation")
+TABLES = ("orders", "customer", "nation", "supplier")
 SPARK_TYPES = {
     "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
     "date": "DATE", "boolean": "BOOLEAN",
