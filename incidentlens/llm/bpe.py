@@ -124,18 +124,25 @@ def _joined(path: str, key: str):
 
 
 def encode_decode(
-    docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", parts: int | None = None
+    docs: DataFrame,
+    vocabulary: str,
+    key: str = "doc_id",
+    text: str = "text",
+    parts: int | None = None,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """Per document its ids and the text they decode to, special tokens included.
 
     ``vocabulary`` is the path of a tokenizer without decoder that drops white
     space, on every executor. ``parts`` chunks of words are made per block; a task
     holds the distinct words of some of them, so it should grow with the input:
-    four for each shuffle partition by default.
+    four for each shuffle partition by default. Blocks of fewer ``block_bytes`` take less
+    memory, and more disk.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = parts or 4 * partitions
-    blocks = bucketed(word_blocks(docs, key, text, bytes.split, parts), "block", "bpe_blocks")
+    size = {"block_bytes": block_bytes} if block_bytes else {}
+    blocks = bucketed(word_blocks(docs, key, text, bytes.split, parts, **size), "block", "bpe_blocks")
     words = (
         blocks.select("block", F.explode("chunks").alias("c"))
         .select("block", "c.part", "c.terms", "c.numbers")
