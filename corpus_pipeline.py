@@ -55,7 +55,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.encode_decode(docs, vocabulary_path()), more=["ids"])
+    # The executors' heaps have grown in four stages before: half of the usual block.
+    return bpe.digests(bpe.encode_decode(docs, vocabulary_path(), block_bytes=8 << 20), more=["ids"])
 
 
 STAGES: list[tuple[str, Stage]] = [
