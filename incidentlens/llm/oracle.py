@@ -63,6 +63,27 @@ FROM sets s LEFT JOIN classes c ON s.found = c.found LEFT JOIN parts USING (clas
 
 
 
+SUFFIXES = """
+WITH docs AS (
+  SELECT row_number() OVER () AS i, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+chunks AS (SELECT i, doc_id, n, unnest(range(0, n - 49, 500)) AS c, h FROM docs),
+parts AS (SELECT i, doc_id, c, least(c + 500, n - 49) AS stop, substr(h, c * 2 + 1, 1098) AS part FROM chunks),
+places AS (SELECT i, doc_id, c, part, unnest(range(c, stop)) AS s FROM parts),
+windows AS (SELECT i, doc_id, s, substr(part, (s - c) * 2 + 1, 100) AS w FROM places),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT i, s FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+begun AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY i ORDER BY s) + 50 THEN 0 ELSE 1 END AS new FROM hits),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY i ORDER BY s) AS run FROM begun),
+runs AS (SELECT i, run, min(s) AS a, max(s) + 50 AS b FROM numbered GROUP BY i, run),
+gaps AS (SELECT *, lag(b, 1, 0) OVER (PARTITION BY i ORDER BY a) AS before FROM runs),
+cut AS (
+  SELECT i, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+         string_agg(substr(h, before * 2 + 1, (a - before) * 2), '' ORDER BY a) AS kept
+  FROM gaps JOIN docs USING (i) GROUP BY i)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, coalesce(last, 0) * 2 + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (i)"""
+
 #: Levels that the SQL of the Merkle manifest has for each tree: up to 16^4 leaves.
 _LEVELS = 4
 
@@ -133,6 +154,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": DECONTAMINATION,
         "op3_warc": WARC,
+        "op5_suffixes": SUFFIXES,
         "op6_minhash": MINHASH,
         "op12_merkle": MERKLE,
     }
