@@ -15,10 +15,15 @@ def main() -> None:
     parser.add_argument(
         "--any-header", action="store_true", help="go by column position, whatever the header says"
     )
+    parser.add_argument(
+        "--resume", action="store_true", help="leave out the steps that a failed run has finished"
+    )
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("incidentlens").getOrCreate()
-    for name, report in run(spark, args.csv, args.out, not args.any_header).items():
+    for name, report in run(
+        spark, args.csv, args.out, not args.any_header, resume=args.resume
+    ).items():
         print(name)
         report.show(truncate=False)
     top = spark.read.parquet(f"{args.out}/{AGGREGATED}/top10_precincts.parquet")

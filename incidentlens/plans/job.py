@@ -1,10 +1,13 @@
 """The batch job: delivered CSV files to stored records, summaries and map tables.
 
-Parquet datasets are the hand-over between the steps, so a failed run starts
-again at the step that failed. Every dataset is replaced as a whole: running a
-step twice gives the same result as running it once.
+Parquet datasets are the hand-over between the steps, so a failed run can start
+again at the step that failed: with ``resume`` the steps are skipped that a run over
+the same deliveries and parameters has finished. Every dataset is replaced as a whole:
+running a step twice gives the same result as running it once.
 """
 
+import hashlib
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,8 @@ from incidentlens.operators.quality import quality_report, store_report
 from incidentlens.operators.records import add_hex_cell, flag_coords, in_region, keep_valid, typed
 from incidentlens.schema import EXTENT_RING, INGESTED_SCHEMA, TOP_PRECINCTS
 from incidentlens.sources.csv import scan_csv
+from incidentlens.sources.files import content_version, exists, matching, touch
+from incidentlens.sources.scratch import remove
 from incidentlens.sources.store import (
     read_flagged,
     read_partitioned,
@@ -122,6 +127,14 @@ def expose(spark: SparkSession, aggregated_dir: str, out_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/borough_month_lines.parquet").orderBy("borough_name")
 
 
+def fingerprint(spark: SparkSession, csv_path: str | list[str], *parameters) -> str:
+    """What a run depends on: the files that are there now, and its parameters."""
+    paths = [csv_path] if isinstance(csv_path, str) else list(csv_path)
+    found = [place for path in paths for place in matching(spark, path)]
+    about = [(place, content_version(spark, place)) for place in found]
+    return hashlib.sha256(repr((about, parameters)).encode()).hexdigest()[:32]
+
+
 def run(
     spark: SparkSession,
     csv_path: str | list[str],
@@ -129,14 +142,30 @@ def run(
     check_header: bool = True,
     ring: Ring = EXTENT_RING,
     grid: HexGrid = CITY_GRID,
+    resume: bool = False,
 ) -> dict[str, DataFrame]:
-    """All four steps. The returned reports are small and computed when shown."""
+    """All four steps. The returned reports are small and computed when shown.
+
+    With ``resume`` steps that are done are left out, and so are their reports. A file in
+    ``_steps`` tells of each step that is done; a run that isn't resumed, or that has other
+    deliveries or parameters, forgets them first.
+    """
     raw, stored = f"{out_dir}/{RAW}", f"{out_dir}/{STORED}"
     aggregated = f"{out_dir}/{AGGREGATED}"
-    return {
-        "quality": ingest(spark, csv_path, raw, check_header, ring),
-        "store": store(spark, raw, stored),
-        "summary": process(spark, stored, aggregated, ring, grid),
-        "storage": storage_report(spark, raw, stored),
-        "borough months": expose(spark, aggregated, f"{out_dir}/{FEATURES}"),
+    this = f"{out_dir}/_steps/{fingerprint(spark, csv_path, check_header, ring, grid)}"
+    if not resume or not exists(spark, this):
+        remove(spark, f"{out_dir}/_steps")
+    steps: dict[str, Callable[[], DataFrame]] = {
+        "quality": lambda: ingest(spark, csv_path, raw, check_header, ring),
+        "store": lambda: store(spark, raw, stored),
+        "summary": lambda: process(spark, stored, aggregated, ring, grid),
+        "storage": lambda: storage_report(spark, raw, stored),
+        "borough months": lambda: expose(spark, aggregated, f"{out_dir}/{FEATURES}"),
     }
+    reports = {}
+    for name, step in steps.items():
+        marker = f"{this}/{name.replace(' ', '_')}"
+        if not exists(spark, marker):
+            reports[name] = step()
+            touch(spark, marker)
+    return reports

@@ -50,3 +50,26 @@ def content_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
 def escaped(spark: SparkSession, value: str) -> str:
     """A value as partition directories spell it."""
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern stands for, or a path itself."""
+    file_system, place = location(spark, pattern)
+    return sorted(status.getPath().toString() for status in file_system.globStatus(place) or [])
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path``."""
+    file_system, place = location(spark, path)
+    file_system.create(place, True).close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, place = location(spark, path)
+    return file_system.exists(place)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: that of the session's file system if it has none."""
+    file_system, place = location(spark, path)
+    return file_system.makeQualified(place).toString()

@@ -12,11 +12,15 @@ _PROCESS = uuid.uuid4().hex
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder the session names in ``spark.checkpoint.dir``.
 
-    Where the setting is missing the session's warehouse folder takes its place:
-    both are shared by driver and executors. What is left there is removed when
-    the session's JVM ends.
+    Where the setting is missing on a single machine, as in tests, the session's warehouse
+    folder takes its place; on a cluster that is an error, as the folder may not be shared.
+    What is left there is removed when the session's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     root = f"{base.rstrip('/')}/incidentlens/{spark.sparkContext.applicationId}-{_PROCESS}"
     file_system, place = location(spark, root)
     file_system.mkdirs(place)

@@ -39,10 +39,7 @@ def arriving(spark: SparkSession, folder: str, files_per_batch: int = 1000, chec
 
 def flagged(stream: DataFrame) -> DataFrame:
     """Typed and flagged records of a stream or a table, with their delivery."""
-    text = stream.withColumnRenamed(DELIVERY, "_delivery")
-    # The typed columns are computed from the text ones, in the same row.
-    kept = typed(text, more=["_delivery"])
-    return flag_coords(kept, EXTENT_RING).withColumnRenamed("_delivery", DELIVERY).select(*_DELIVERED.names)
+    return flag_coords(typed(stream, more=[DELIVERY]), EXTENT_RING).select(*_DELIVERED.names)
 
 
 def records(spark: SparkSession, out_dir: str) -> DataFrame:

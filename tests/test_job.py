@@ -13,6 +13,7 @@ from incidentlens.plans import job, queries
 from incidentlens.plans.queries import delivery_path, queries as all_queries
 from incidentlens.schema import RAW_COLUMNS
 from incidentlens.sources.csv import scan_csv
+from incidentlens.sources.scratch import scratch_path
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -157,3 +158,31 @@ def test_records_with_too_few_or_too_many_fields_are_counted(spark, tmp_path):
     counts = {r.measure: r.records for r in report.collect()}
     assert (counts["all records"], counts["corrupt records"]) == (5, 3)
     assert job.read_flagged(spark, f"file:{tmp_path}/raw").count() == 5
+
+
+def test_a_resumed_run_starts_at_the_step_that_failed(spark, sf_dir, tmp_path, monkeypatch):
+    out, delivery = str(tmp_path), delivery_path(spark, sf_dir)
+    with monkeypatch.context() as broken:
+        broken.setattr(job, "process", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run(spark, delivery, out)
+    stored_files = {p: p.stat().st_mtime_ns for p in (tmp_path / "processed").rglob("*.parquet")}
+    reports = job.run(spark, delivery, out, resume=True)
+    assert list(reports) == ["summary", "storage", "borough months"]
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "processed").rglob("*.parquet")} == stored_files
+    assert job.run(spark, delivery, out, resume=True) == {}
+    # Other parameters are another run, which does everything.
+    assert len(job.run(spark, delivery, out, ring=queries.CONCAVE_RING, resume=True)) == 5
+    assert len(job.run(spark, delivery, out)) == 5
+
+
+def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session, "name")
