@@ -7,10 +7,16 @@ counted over labelled pages, which are those that mark their main text themselve
 (``article``, ``main``, ``articleBody``).
 
 Menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
-element, role or class, are one tag each for the scan and give no text; scripts,
-styles and the like aren't tokens at all. Classes hide neither a page's root, its
-main element or an article of its own, nor a part around the marked main text; that
-is ``main`` and the like, or an article with as many words as are left without it.
+element, role or class, give no text and weigh nothing; scripts, styles and the like
+aren't tokens at all. A class hides by what it names in the end (``left-sidebar``, not
+``social-history``). Classes hide neither a page's root, its main element or an article
+of its own, nor a part around the marked main text; that is ``main`` and the like, or an
+article with as many words as are left without it; nor what has most of a page's words,
+unless these are comments.
+
+The region is completed: to the marked main text, if most of its words stand there, and
+else to the ends of the innermost element around it, the page's body excepted. So a
+short first or last line isn't lost to the tags before it.
 
 Defined results: a NULL or empty page, and one without words, has the empty text;
 of regions with one score the first is taken; every row gives one row; an empty
@@ -50,6 +56,12 @@ ASIDE_WORDS = frozenset(
 # Words of class and id after which an element names what it has, and that tell a state.
 MODIFIERS = frozenset("has no not with without hide hides show shows use uses enable disable".split())
 STATES = frozenset("enabled disabled fixed sticky open opened closed active inactive visible hidden shown on off".split())
+# Words at the end of a class or id that tell the place or shape, not what the element is.
+SHAPES = frozenset(
+    "area bar block body bottom box buttons col column container group holder inner item items left link links list outer "
+    "panel post posts primary right row secondary section slot space text title top wrap wrapper".split()
+)
+COMMENTS = frozenset("comment comments disqus respond replies".split())
 REOPENED = frozenset("nav header form fieldset".split())
 # Elements that end an open one at their start, and in what they don't.
 _BLOCKS = (
@@ -75,21 +87,29 @@ _PLAIN_REST = re.compile(r"[^>]*>?")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 
+#: Weight of a tag that labelled pages tell nothing of, as many observations as that is worth, and the least weight.
+TAG, PRIOR, LEAST = -1.0, 50, -4.0
 WORD, LINK_WORD, OTHER, SKIPPED = "word", "link word", "other tag", "skipped part"
 _KNOWN = INLINE | VOID | NESTED | frozenset("p h1 h2 h3 h4 h5 h6 li dd dt pre figcaption hr br address summary caption".split())
 
 
 def _own_words(value: str) -> set[str]:
-    """The words of a class or id that name the element itself, not what it has or its state."""
+    """The words of a class or id that name the element itself, one for each of its names.
+
+    That is the last word, but for words of shape, as long as no modifier or state is told.
+    """
     found = set()
     for name in value.split():
         words = re.split(r"[_-]+", name)
         if len(words) > 1 and words[-1] in STATES:
             continue
-        for word in words:
+        for at, word in enumerate(words):
             if word in MODIFIERS:
+                words = words[:at]
                 break
-            found.add(word)
+        while len(words) > 1 and (words[-1] in SHAPES or not words[-1] or words[-1].isdigit()):
+            words.pop()
+        found.update(words[-1:])
     return found
 
 
@@ -147,20 +167,39 @@ def _article_words(page: str) -> dict[int, int]:
     return found | {start: words - before for start, before in opened}
 
 
-def tokens(page: str, reopens: bool = True):
-    """(kind, text, starts a block, is inside the marked main text) of a page's tokens.
+def _most_words(page: str) -> frozenset[int]:
+    """Places of elements that a class would hide with more than half of a page's words."""
+    total, hidden = 0, {}
+    for kind, text, *_ in tokens(page, False, frozenset(), hidden):
+        total += len(text.split()) if kind in (WORD, LINK_WORD) else 0
+    total += sum(hidden.values())
+    return frozenset(place for place, words in hidden.items() if 2 * words > total)
+
+
+def tokens(
+    page: str,
+    reopens: bool = True,
+    shown: frozenset | None = None,
+    hidden: dict | None = None,
+    parents: dict | None = None,
+):
+    """(kind, text, starts a block, is inside the marked main text, element) of a page's tokens.
 
     ``kind`` is a tag's name, with a slash if it closes, or one of the names above;
     text tokens are runs of character data, with ``WORD`` or ``LINK_WORD``. Without
-    ``reopens`` no article is looked for in what a class hides.
+    ``reopens`` no article is looked for in what a class hides. Elements at the places
+    ``shown`` aren't hidden for their class; ``hidden`` gets the words of the others.
+    The element is the place of the innermost block around the token, the page's root and
+    body excepted; ``parents`` gets the one around each.
     """
-    stack: list[tuple[str, str | None, bool]] = []  # element, why its content is skipped, is it marked
+    # Element, why its content is skipped, is it marked, its place.
+    stack: list[tuple[str, str | None, bool, int | None]] = []
     skipped, marked, links = 0, 0, 0
-    sizes, visible = None, 0
+    sizes, visible, hider = None, 0, None
 
     def pop() -> None:
         nonlocal skipped, marked
-        _, why, is_marked = stack.pop()
+        _, why, is_marked, _ = stack.pop()
         skipped -= why is not None
         marked -= is_marked
 
@@ -170,15 +209,18 @@ def tokens(page: str, reopens: bool = True):
             return False
         if sizes is None:
             sizes = _article_words(page)
-            visible = sum(len(text.split()) for kind, text, *_ in tokens(page, False) if kind == WORD)
+            visible = sum(len(text.split()) for kind, text, *_ in tokens(page, False, shown) if kind == WORD)
         return sizes[place] >= max(1, visible)
 
     for place, name, is_end, value in _parts(page):
         if name is None:
             if not skipped:
-                yield (LINK_WORD if links else WORD), value, False, marked > 0
+                yield (LINK_WORD if links else WORD), value, False, marked > 0, stack[-1][3] if stack else None
+            elif hidden is not None and hider is not None:
+                hidden[hider] = hidden.get(hider, 0) + len(value.split())
             continue
         if is_end:
+            was_skipped = skipped > 0
             if name == "a":
                 links = 0
             if any(entry[0] == name for entry in stack):
@@ -187,8 +229,9 @@ def tokens(page: str, reopens: bool = True):
                     pop()
                     if top == name:
                         break
-            if not skipped:
-                yield "/" + name, "", name not in INLINE, marked > 0
+            # The end tag of a hidden part belongs to it.
+            if not skipped and not was_skipped:
+                yield "/" + name, "", name not in INLINE, marked > 0, stack[-1][3] if stack else None
             continue
         ended, within = _ENDS.get(name, ((), ()))
         for depth in range(len(stack) - 1, -1, -1) if ended else ():
@@ -205,6 +248,8 @@ def tokens(page: str, reopens: bool = True):
             why = "class"
             if name == "article" and (not any(e[0] == name for e in stack) or is_main_article(place)):
                 why = None
+        if why and shown and place in shown and not words & COMMENTS:
+            why = None
         if roles & ROLES:
             why = "class"
         if name in ("html", "body") or is_named:
@@ -213,14 +258,19 @@ def tokens(page: str, reopens: bool = True):
             why = name
         if is_main and not why and skipped:
             # An element around or left open before the main text doesn't hide it.
-            hidden = {entry[1] for entry in stack} - {None} - REOPENED
-            if not hidden or (hidden == {"class"} and (is_named or is_main_article(place))):
-                stack = [(element, None, is_marked) for element, _, is_marked in stack]
+            reasons = {entry[1] for entry in stack} - {None} - REOPENED
+            if not reasons or (reasons == {"class"} and (is_named or is_main_article(place))):
+                stack = [(element, None, is_marked, at) for element, _, is_marked, at in stack]
                 skipped = 0
         if name not in VOID and (why or name in NESTED):
             if why and not skipped:
-                yield SKIPPED, "", True, marked > 0
-            stack.append((name, why, is_main and not why and not skipped))
+                hider = place if why == "class" and not words & COMMENTS else None
+                yield SKIPPED, "", True, marked > 0, stack[-1][3] if stack else None
+            around = stack[-1][3] if stack else None
+            here = around if name in ("html", "body") else place
+            if parents is not None and here != around:
+                parents[here] = around
+            stack.append((name, why, is_main and not why and not skipped, here))
             skipped += why is not None
             marked += stack[-1][2]
             if why:
@@ -228,7 +278,7 @@ def tokens(page: str, reopens: bool = True):
         if name == "a" and not skipped:
             links = 1
         if not skipped:
-            yield name, "", name not in INLINE, marked > 0
+            yield name, "", name not in INLINE, marked > 0, stack[-1][3] if stack else None
 
 
 def _kind(kind: str) -> str:
@@ -240,9 +290,9 @@ def _inside_and_outside(batches):
     counts: dict[str, list[int]] = {}
     for (page,) in rows_of(batches):
         found = list(tokens(page or ""))
-        if not any(inside for *_, inside in found):
+        if not any(token[3] for token in found):
             continue
-        for kind, text, _, inside in found:
+        for kind, text, _, inside, _ in found:
             times = len(text.split()) if kind in (WORD, LINK_WORD) else 1
             counts.setdefault(_kind(kind), [0, 0])[not inside] += times
     if counts:
@@ -266,29 +316,100 @@ def learned(pages: DataFrame, content: str = "html") -> dict[str, float]:
     )  # a row for each known kind at most
     counts = {r["kind"]: (r["inside"], r["outside"]) for r in rows}
     inside, outside = (sum(c[k] for c in counts.values()) for k in (0, 1))
-    weights = {}
+    weights = {SKIPPED: 0.0}
     for kind, (i, o) in counts.items():
         ratio = math.log((i + 1) / (inside + 1)) - math.log((o + 1) / (outside + 1))
-        weights[kind] = max(0.2, min(ratio, 2.0)) if kind in (WORD, LINK_WORD) else min(-0.2, ratio)
+        # A few pages, or pages that are all alike, don't tell much about a rare tag.
+        ratio = TAG + (ratio - TAG) * (i + o) / (i + o + PRIOR) if kind not in (WORD, LINK_WORD) else ratio
+        if kind in (WORD, LINK_WORD):
+            weights[kind] = max(0.2, min(ratio, 2.0))
+        elif kind != SKIPPED:
+            weights[kind] = max(LEAST, min(-0.2, ratio))
     return weights
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
-    """The text of the region with the highest score."""
-    found = list(tokens(page))
+def _score(kind: str, text: str, weights: dict[str, float]) -> float:
+    if kind in (WORD, LINK_WORD):
+        return weights.get(kind, 1.0) * len(text.split())
+    return 0.0 if kind == SKIPPED else weights.get(_kind(kind), TAG)
+
+
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """Start and end of the contiguous part with the greatest sum above 0; the first of equal ones."""
     best = total = 0.0
     begin = first = last = 0
-    for place, (kind, text, _, _) in enumerate(found):
-        if kind in (WORD, LINK_WORD):
-            total += weights.get(kind, 1.0) * len(text.split())
-        else:
-            total += weights.get(_kind(kind), -1.0)
+    for place, score in enumerate(scores):
+        total += score
         if total <= 0:
             total, begin = 0.0, place + 1
         elif total > best:
             best, first, last = total, begin, place + 1
+    return first, last
+
+
+def _words(found, first: int, last: int, only_marked: bool = False) -> int:
+    return sum(
+        len(text.split())
+        for kind, text, _, inside, _ in found[first:last]
+        if kind in (WORD, LINK_WORD) and inside >= only_marked
+    )
+
+
+def _ancestry(element: int | None, parents: dict[int, int | None]) -> list[int]:
+    """An element and those around it, outermost first."""
+    chain = []
+    while element is not None:
+        chain.append(element)
+        element = parents[element]
+    return chain[::-1]
+
+
+def _completed(found: list[tuple], first: int, last: int, parents: dict[int, int | None]) -> tuple[int, int]:
+    """The region to the ends of the marked main text, or of the innermost element around it.
+
+    The element must not be the page's body, and not add more words than the region has, or
+    more in links than others.
+    """
+    words = _words(found, first, last)
+    if not words:
+        return first, last
+    if 2 * _words(found, first, last, True) >= words:
+        inside = [place for place in range(first, last) if found[place][3]]
+        first, last = inside[0], inside[-1] + 1
+        while first and found[first - 1][3]:
+            first -= 1
+        while last < len(found) and found[last][3]:
+            last += 1
+        return first, last
+    texts = [place for place in range(first, last) if found[place][0] in (WORD, LINK_WORD) and found[place][1].strip()]
+    common = _ancestry(found[texts[0]][4], parents)
+    for place in texts[1:]:
+        chain = _ancestry(found[place][4], parents)
+        common = [a for a, b in zip(common, chain) if a == b]
+    if not common:
+        return first, last
+    start, end, element = first, last, common[-1]
+    while start and element in _ancestry(found[start - 1][4], parents):
+        start -= 1
+    while end < len(found) and element in _ancestry(found[end][4], parents):
+        end += 1
+    added = [found[place] for place in (*range(start, first), *range(last, end))]
+    plain = sum(len(text.split()) for kind, text, *_ in added if kind == WORD)
+    linked = sum(len(text.split()) for kind, text, *_ in added if kind == LINK_WORD)
+    return (start, end) if linked <= plain <= words - linked else (first, last)
+
+
+def main_text(page: str, weights: dict[str, float]) -> str:
+    """The text of the region with the highest score, completed."""
+    parents: dict[int, int | None] = {}
+    found = list(tokens(page, parents=parents))
+    if any(kind == SKIPPED for kind, *_ in found) and not any(token[3] for token in found):
+        shown = _most_words(page)
+        found = list(tokens(page, True, shown, parents=parents)) if shown else found
+    region = best_region([_score(kind, text, weights) for kind, text, *_ in found])
+    first, last = _completed(found, *region, parents)
     blocks, parts = [], []
-    for kind, text, is_block, _ in found[first:last]:
+    for kind, text, is_block, *_ in found[first:last]:
         if kind in (WORD, LINK_WORD):
             parts.append(text)
         elif is_block:
