@@ -1,7 +1,9 @@
 """A deterministic sharded WARC writer, and a reader (operator 3).
 
-Records are dealt to shards by ranges of the key whose sizes are known from a
-first pass, sorted, and written one compressed member per record; a file is closed
+Records are sorted by key, digest of the payload and URL over the whole table, and cut
+into shards where their bytes, added up in that order, reach the next multiple of a
+shard's size; so shards are even whatever the keys are, also if a third of the records
+has one key or none. Each is written one compressed member per record; a file is closed
 when its compressed size reaches the limit. Headers and digests are made anew from
 the payload. Tasks write under temporary names and return manifest rows; only what
 the committed manifest lists gets its final name, so a lost or repeated attempt
@@ -19,23 +21,24 @@ other columns are not looked at.
 import gzip
 import hashlib
 import zlib
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from incidentlens.llm.blocks import rows_of
+from incidentlens.sources.files import exists, qualified
 from incidentlens.sources.scratch import materialise, remove
 
-CELLS = 4_096  # of the key's range, for shards of even size
 BROADCAST_REPEATS = 200_000
 DATE = "2000-01-01T00:00:00Z"  # of every record: archives don't depend on when they are made
 MANIFEST = "shard int, sequence int, file string, temporary string, records long, bytes long, sha1 string"
 
 
 def _open(uri: str):
-    """The Arrow file system of a path, and the path in it."""
+    """The Arrow file system of a path with a scheme, and the path in it."""
     from pyarrow import fs
 
     if "://" in uri and not uri.startswith("file:"):
@@ -183,60 +186,80 @@ def _namer(folder: str):
         for batch in batches:
             for file, temporary in zip(*(c.to_pylist() for c in batch.select(["file", "temporary"]).columns), strict=True):
                 if system.get_file_info(f"{place}/{temporary}").is_file:  # else an earlier attempt did it
+                    if system.get_file_info(f"{place}/{file}").is_file:  # left by a run that was lost
+                        system.delete_file(f"{place}/{file}")
                     system.move(f"{place}/{temporary}", f"{place}/{file}")
             yield batch
 
     return rename
 
 
-def _shard_of(key: Column, low: int, high: int, sizes: dict[int, int], shard_bytes: int) -> Column:
-    """Shards in order of the key, of about even bytes.
+_ORDER = ["key", "digest", "link"]
 
-    The range has ``CELLS`` cells; small neighbours share a shard, a large one is
-    cut into even parts of its own range.
+
+def _cuts(slim: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The first record of each shard but the first one: (key, digest, link), rising.
+
+    Bytes are added up within the partitions of a range sort, and after those of the
+    partitions before. The list is as long as there are shards.
     """
-    width = (high - low) // CELLS + 1
-    first, parts, shard, filled = [], [], 0, 0
-    for cell in range((high - low) // width + 1):
-        size = sizes.get(cell, 0)
-        if filled and filled + size > shard_bytes:
-            shard, filled = shard + 1, 0
-        first.append(shard)
-        parts.append(max(1, min(width, -(-size // shard_bytes))))
-        filled += size
-        if parts[-1] > 1:
-            shard, filled = shard + parts[-1], 0
-    offset = F.coalesce(key, F.lit(low)) - F.lit(low)
-    cell = F.floor(offset / F.lit(width)).cast("int")
-    inside = offset - cell.cast("long") * F.lit(width)
-    table = lambda values: F.split(F.lit(" ".join(map(str, values))), " ").cast("array<int>")
-    start, count = F.get(table(first), cell), F.get(table(parts), cell)
-    return (start + F.floor(inside * count / F.lit(width))).cast("int")
+    by = [F.col("key").asc_nulls_first(), "digest", "link"]
+    ranged = slim.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id())
+    ranged = materialise(ranged, "ranged").withColumn("task", F.shiftright("at", 33))
+    sums = ranged.groupBy("task").agg(F.sum("bytes").alias("sum"))  # a row per partition
+    before = F.sum("sum").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sums.select("task", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.sum("bytes").over(Window.partitionBy("task").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.join(F.broadcast(offsets), "task").withColumn("start", F.coalesce(within, F.lit(0)) + F.col("before"))
+    shard = F.expr(f"start div {shard_bytes}")
+    firsts = placed.groupBy(shard.alias("shard")).agg(F.min(F.struct(F.col("key").isNotNull(), *_ORDER)).alias("first"))
+    found = sorted((r["shard"], r["first"][1:]) for r in firsts.select("shard", "first").collect())
+    return [first for _, first in found][1:]
+
+
+def _place(key: int | None, digest: str, link: int) -> tuple:
+    return key is not None, key or 0, digest, link
+
+
+def _sharded(cuts: list[tuple]):
+    """Adds the shard: the number of cuts at or before a record."""
+    places = [_place(*cut) for cut in cuts]
+
+    def add(batches):
+        for batch in batches:
+            columns = [batch.column(name).to_pylist() for name in _ORDER]
+            shards = [bisect_right(places, _place(*row)) for row in zip(*columns, strict=True)]
+            yield batch.append_column("shard", pa.array(shards, pa.int32()))
+
+    return add
 
 
 def write(
     pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html",
-    min_repeat: int = 1000, shard_bytes: int = 128 << 20, file_bytes: int = 1 << 30, level: int = 6,
+    min_repeat: int = 1000, shard_bytes: int = 1 << 30, file_bytes: int | None = None, level: int = 6,
 ) -> DataFrame:
     """Writes the archives below ``folder``; returns the manifest, which is there too.
 
-    ``shard_bytes`` of payload are a task's work; ``file_bytes`` of compressed data
-    close a file.
+    ``shard_bytes`` of payload at most are a task's work; ``file_bytes`` of compressed data
+    close a file: a sixteenth of a shard's payload by default, 1 MiB at least, so that a
+    shard makes some files. A folder that already has a complete manifest is an error; what
+    a run that was lost has left without one is written over.
     """
     spark: SparkSession = pages.sparkSession
+    folder = qualified(spark, folder)
     content = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), content.alias("payload"))
-    slim = materialise(
-        rows.select("key", F.octet_length("payload").alias("size"), F.sha1("payload").alias("digest")), "payloads"
-    )
-    bounds = slim.agg(F.min("key"), F.max("key"), F.count(F.lit(1)), F.sum("size")).first()
-    low, high = bounds[0] or 0, bounds[1] or 0
+    if exists(spark, f"{folder}/_manifest/_SUCCESS"):
+        raise FileExistsError(f"{folder} has archives already")
+    for left in ("_written", "_manifest", "_temporary"):
+        remove(spark, f"{folder}/{left}")
+    rows = rows.withColumns({"digest": F.sha1("payload"), "link": F.xxhash64("url")})
+    size = F.octet_length("payload").cast("long")
+    slim = materialise(rows.select(*_ORDER, size.alias("size"), (size + 400).alias("bytes")), "payloads")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = bounds[3] or 0
+    total = slim.agg(F.sum("bytes")).first()[0] or 0
     target = max(1, min(shard_bytes, -(-total // partitions)))
-    cell = F.floor((F.coalesce("key", F.lit(low)) - low) / F.lit((high - low) // CELLS + 1))
-    sizes = slim.groupBy(cell.alias("cell")).agg(F.sum(F.col("size") + 400).alias("bytes"))
-    shard = _shard_of(F.col("key"), low, high, {r["cell"]: r["bytes"] for r in sizes.collect()}, target)
+    cuts = _cuts(slim, target)
     repeats = (
         slim.where(F.col("size") >= min_repeat)
         .groupBy("digest")
@@ -249,17 +272,14 @@ def write(
         repeats = F.broadcast(repeats)
     is_revisit = (F.octet_length("payload") >= min_repeat) & ~F.col("key").eqNullSafe(F.col("response"))
     dealt = (
-        rows.withColumn("digest", F.sha1("payload"))
-        .join(repeats, "digest", "left")
-        .select(
-            shard.alias("shard"), "key", "url", "payload",
-            F.when(is_revisit, F.col("response")).alias("refers_to"), "digest",
-        )
-        .repartition(max(partitions, -(-total // target)), "shard")
-        .sortWithinPartitions("shard", "key", "digest", "url")
-        .drop("digest")
-    )
-    written = dealt.mapInArrow(_writer(folder, file_bytes, level), MANIFEST)
+        rows.join(repeats, "digest", "left")
+        .select("key", "digest", "link", "url", "payload", F.when(is_revisit, F.col("response")).alias("refers_to"))
+        .mapInArrow(_sharded(cuts), "key long, digest string, link long, url string, payload binary, refers_to long, shard int")
+        .repartitionById(len(cuts) + 1, "shard")
+        .sortWithinPartitions("shard", "key", "digest", "link", "url")
+        .select("shard", "key", "url", "payload", "refers_to")
+    )
+    written = dealt.mapInArrow(_writer(folder, file_bytes or max(1 << 20, target // 16), level), MANIFEST)
     written.write.parquet(f"{folder}/_written")
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/_written")
     manifest.repartition(partitions, "file").mapInArrow(_namer(folder), MANIFEST).drop(
@@ -275,6 +295,7 @@ READ = "{key} long, payload_bytes long, payload_digest string, record_type strin
 
 def read(manifest: DataFrame, folder: str, key: str = "page_id") -> DataFrame:
     """The records of the archives a manifest lists; a file is read as a stream."""
+    folder = qualified(manifest.sparkSession, folder)
     schema = pa.schema(
         [
             (key, pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
