@@ -2,9 +2,13 @@
 
 Labelled URLs become baskets of tokens (scheme, host labels, path segments, query
 and fragment words; numbers count as ``#``) and FP-growth finds token combinations
-that go with unwanted pages. Rules of enough support and confidence, without those
-that a shorter rule covers, are kept under their rarest token, so that a URL is
-compared only with rules whose rarest token it has.
+that go with unwanted pages. Rules of enough support and confidence that can't well be
+chance, without those that a shorter rule covers, are kept under their rarest token, so
+that a URL is compared only with rules whose rarest token it has.
+
+Chance is ruled out by a likelihood ratio test of a rule's confidence against the share
+of unwanted URLs, at a level divided by the number of combinations that were looked at:
+among thousands of combinations some go with a few unwanted URLs by accident.
 
 Only DataFrame operations are used; the mining is Spark's own.
 
@@ -43,9 +47,9 @@ def tokens_of(url: Column) -> Column:
     """The distinct tokens of a URL, marked by where they stand."""
     url = F.coalesce(url, F.lit(""))
     rest = F.regexp_extract(_after_scheme(url), r"^[^/?#]*(?s:(.*))$", 1)
-    words = F.split(F.lower(rest), r"[^\p{L}\p{N}_.-]+")
+    words = F.split(F.lower(rest), r"[^\p{L}\p{N}.]+")
     words = F.transform(words, lambda w: F.regexp_replace(w, r"^\d+", "#"))
-    host = F.transform(F.split(host_of(url), r"\."), lambda w: F.concat(F.lit("host:"), w))
+    host = F.transform(F.split(host_of(url), r"[.-]+"), lambda w: F.concat(F.lit("host:"), w))
     scheme = F.array(F.concat(F.lit("scheme:"), F.lower(F.substring_index(url, "://", 1))))
     found = F.array_distinct(F.concat(scheme, host, F.array_remove(words, "")))
     return F.when(F.instr(url, "://") > 0, found).otherwise(F.array().cast("array<string>"))
@@ -61,11 +65,24 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
-def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8) -> DataFrame:
+def significance(matched: Column, unwanted: Column, share: Column) -> Column:
+    """Twice the log-likelihood ratio of ``unwanted`` among ``matched`` against their share of all.
+
+    Its chance to exceed x by accident is about exp(-x / 2).
+    """
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    return 2 * (part(unwanted, matched * share) + part(matched - unwanted, matched * (1 - share)))
+
+
+def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8, level: float = 0.05) -> DataFrame:
     """Rules (id, tokens, key token, confidence, support) for unwanted URLs.
 
     ``labelled`` has ``url`` and boolean ``unwanted``. The number of rules depends
-    on the support and the length of URLs, not on the number of rows.
+    on the support and the length of URLs, not on the number of rows. ``level`` is the
+    chance that any rule is kept though none of the tokens tells anything.
     """
     spark = labelled.sparkSession
     schema = "rule_id long, tokens array<string>, confidence double, support double, key string"
@@ -80,7 +97,17 @@ def mine(labelled: DataFrame, support: float = 0.005, confidence: float = 0.8) -
     rules = model.associationRules.where(F.col("consequent")[0] == _CLASS + BLOCK).select(
         F.array_sort("antecedent").alias("tokens"), "confidence", "support"
     )
-    rules = materialise(rules, "rules")
+    # Rules are few, and the counts are one row each.
+    is_unwanted = F.array_contains("items", _CLASS + BLOCK)
+    share = baskets.agg(F.avg(is_unwanted.cast("double")).alias("share"), F.count("*").alias("rows"))
+    looked_at = model.freqItemsets.where(~F.exists("items", lambda i: i.startswith(_CLASS))).agg(F.count("*").alias("tests"))
+    unwanted = F.round(F.col("support") * F.col("rows"))
+    least = 2 * F.log(F.col("tests") / level)
+    chosen = rules.join(F.broadcast(share), F.lit(True)).join(F.broadcast(looked_at), F.lit(True)).where(
+        (F.col("confidence") > F.col("share"))
+        & (significance(F.round(unwanted / F.col("confidence")), unwanted, F.col("share")) >= least)
+    )
+    rules = materialise(chosen.select("tokens", "confidence", "support"), "rules")
     parts = F.transform("tokens", lambda t: F.filter("tokens", lambda o: o != t))
     covered = rules.select("tokens", F.col("confidence").alias("own"), F.explode(parts).alias("shorter")).join(
         rules.select(F.col("tokens").alias("shorter"), "confidence"), "shorter"
