@@ -8,6 +8,7 @@ and joined back to the blocks by number, so that no row per word is shuffled.
 
 import uuid
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +129,8 @@ def word_blocks(
 def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
     """``df`` written in buckets by a column, so that joins by it don't shuffle it again.
 
-    The name of the table is needed for writing only; the files are scratch data.
+    The name of the table is needed for writing only; the files are scratch data. A driver
+    that is lost in between leaves the name in the catalog.
     """
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
@@ -144,6 +146,35 @@ def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
     return written
 
 
+class _Growing:
+    """A table in buckets that rows are added to; see :func:`growing`."""
+
+    def __init__(self, spark, column: str, name: str):
+        self.spark, self.column, self.table = spark, column, f"{name}_{uuid.uuid4().hex}"
+        self.path = scratch_path(spark, name)
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Add rows, dealt by the column; returns all rows so far, which joins by it don't shuffle."""
+        writer = df.repartition(self.buckets, self.column).write.format("parquet").option("path", self.path)
+        writer.bucketBy(self.buckets, self.column).mode("append").saveAsTable(self.table)
+        return self.spark.table(self.table)
+
+
+@contextmanager
+def growing(spark, column: str, name: str):
+    """Rows that are gathered step by step, in buckets by a column; only the files outlast this.
+
+    Like in :func:`bucketed`, the table's name is needed for writing; a driver that is lost
+    leaves it in the catalog, without its files once the scratch folder is removed.
+    """
+    table = _Growing(spark, column, name)
+    try:
+        yield table
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table.table}")
+
+
 def numbers_of(chunk: bytes) -> np.ndarray:
     """The word numbers of a chunk, in the order of its terms."""
     return np.cumsum(unpack(chunk, np.uint32), dtype=np.uint32)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import bucketed, numbers_of, pack, unpack, unsqueeze, word_blocks
+from incidentlens.llm.blocks import bucketed, growing, numbers_of, pack, unpack, unsqueeze, word_blocks
 from incidentlens.sources.scratch import materialise
 
 DEPTH = 2
@@ -306,12 +306,14 @@ def scored(
     sums = answers.where(F.col("kind") == _SUMMARY).agg(F.sum("distinct"), F.sum("total")).first()
     distinct, total = (sums[0] or 0) + (n_ends > 0), (sums[1] or 0) + n_ends
     known = (buckets, n_ends, total, distinct)
-    answers = answers.where(F.col("kind") == _TERMS)
     by_block = blocks.groupBy("block")
-    for d in range(depth + 1):
-        sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(_stage(d, depth, *known), SENT)
-        reduced = sent.groupBy("kind", "bucket").applyInArrow(_reduced, ANSWERS)
-        answers = answers.unionByName(materialise(reduced, "answers"))
+    # Answers are dealt to their blocks once, and not again by every later stage.
+    with growing(spark, "block", "lm_answers") as told:
+        answers = told.add(answers.where(F.col("kind") == _TERMS))
+        for d in range(depth + 1):
+            sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(_stage(d, depth, *known), SENT)
+            reduced = sent.groupBy("kind", "bucket").applyInArrow(_reduced, ANSWERS)
+            answers = told.add(materialise(reduced, "answers"))
     result = f"{key} long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return (
         by_block.cogroup(answers.groupBy("block"))
