@@ -1,5 +1,7 @@
 """Operators over pages: archives, URLs and main texts."""
 
+import random
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +55,61 @@ def test_archives_with_repeated_and_keyless_rows(spark, pages, tmp_path):
     assert found.where("page_id IS NULL AND record_type = 'response'").count() == 2
 
 
+@pytest.mark.parametrize("keys", ["outlier", "single", "missing", "third"])
+def test_shards_are_even_under_any_keys(spark, tmp_path, keys):
+    number = F.col("id")
+    key = {
+        "outlier": F.when(number == 0, F.lit(10**15)).otherwise(number),
+        "single": F.lit(7).cast("long"),
+        "missing": F.lit(None).cast("long"),
+        "third": F.when(number % 3 == 0, F.lit(7).cast("long")).otherwise(number),
+    }[keys]
+    pages = spark.range(3000).select(key.alias("page_id"), F.lit("u").alias("url"), F.repeat(F.sha1(number.cast("string")), 30).alias("html"))
+    folder = f"file:{tmp_path}/{keys}"
+    manifest = warc.write(pages, folder, shard_bytes=100_000, file_bytes=10_000)
+    shards = [r[0] for r in manifest.groupBy("shard").agg(F.sum("records")).select("sum(records)").collect()]
+    assert sum(shards) == 3000 and len(shards) > 30 and max(shards) < 2 * 3000 / len(shards)
+    assert manifest.count() > 2 * len(shards)
+    assert warc.read(manifest, folder).count() == 3000
+
+
+def test_files_do_not_depend_on_the_partitions_of_the_input(spark, tmp_path):
+    pages = spark.range(500).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.sha1(F.col("id").cast("string")), 50).alias("html"))
+    found = []
+    for name, df in (("a", pages.coalesce(1)), ("b", pages.repartition(9, "html"))):
+        manifest = warc.write(df, f"file:{tmp_path}/{name}", shard_bytes=50_000, file_bytes=10_000)
+        found.append(sorted(pairs(manifest, "file", "records", "bytes", "sha1")))
+    assert found[0] == found[1] and len(found[0]) > 20
+
+
+def test_writing_again(spark, pages, tmp_path, monkeypatch):
+    """Complete archives are kept; what a run that was lost has left is written over."""
+    contents, folder = pairs(pages, "page_id", "html"), f"file:{tmp_path}/again"
+    with monkeypatch.context() as lost:
+        lost.setattr(warc, "_namer", lambda folder: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warc.write(pages, folder)
+    manifest = warc.write(pages, folder)
+    assert set(pairs(warc.read(manifest, folder), "*")) == brute.archived(contents)
+    with pytest.raises(FileExistsError):
+        warc.write(pages, folder)
+    # A path without a scheme is one of the session's file system.
+    plain = warc.write(pages, f"{tmp_path}/plain")
+    assert set(pairs(warc.read(plain, f"{tmp_path}/plain"), "*")) == brute.archived(contents)
+
+
+def test_rules_that_may_be_chance_are_not_kept(spark):
+    """Labels that have nothing to do with the URLs make no rule; a word that goes with them does, whatever is around."""
+    chance = random.Random(9)
+    words = [prose(600 + i, 1) for i in range(40)]
+    rows = [(f"https://{chance.choice(words)}-{chance.choice(words)}.example/{'/'.join(chance.sample(words, 4))}", chance.random() < 0.25) for _ in range(900)]
+    noise = spark.createDataFrame(rows, "url string, unwanted boolean")
+    assert urls.mine(noise).isEmpty()
+    told = [(url.replace(".example", "-casino.example") if bad and i % 3 else url, bad) for i, (url, bad) in enumerate(rows)]
+    mined = urls.mine(spark.createDataFrame(told, "url string, unwanted boolean"))
+    assert [r["tokens"] for r in mined.select("tokens").collect()] == [["host:casino"]]
+
+
 def test_parts_and_rules_of_urls(spark, small, pages):
     for df in (pages, spark.read.parquet(f"{small}/pages.parquet")):
         mined = urls.mine(queries.labelled_urls(spark, small))
@@ -153,3 +210,71 @@ def test_best_region_is_the_maximum(spark):
     page = "a b <p>c d e f g</p> h <p>i</p><p></p><p>j k l m n o p q r s</p> t"
     texts = html.main_text(page, weights).split()
     assert texts == "j k l m n o p q r s".split()
+
+
+def test_best_region_against_all_regions():
+    chance = random.Random(6)
+    for _ in range(400):
+        scores = [chance.choice([-2.5, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0]) for _ in range(chance.randint(0, 14))]
+        regions = [(a, b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        best = max([0.0, *(sum(scores[a:b]) for a, b in regions)])
+        first, last = html.best_region(scores)
+        assert sum(scores[first:last]) == best and (best or first == last == 0)
+
+
+LAST = prose(44, 4)
+# As learned from the given pages.
+GIVEN_WEIGHTS = {
+    html.WORD: 2.0, html.OTHER: -4.0, "html": -4.0, "body": -4.0, "article": -0.2, "/article": -4.0, "/body": -4.0, "/html": -4.0,
+    "h1": -0.2, "/h1": -0.2, "p": -0.2, "/p": -0.2, "b": -0.2, "br": -0.2,
+}
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<article><div><h1>My Title here</h1></div><div><p>{ARTICLE[0]}</p></div><div><p>{LAST}</p></div></article>", f"My Title here {ARTICLE[0]} {LAST}"),
+        (f"<article><p>{ARTICLE[0]}</p><div class='ad'>Buy</div><p>{LAST}</p></article>", f"{ARTICLE[0]} {LAST}"),
+        (f"<article><h1>Title</h1><div class='ad'>Buy</div><p>{ARTICLE[0]}</p></article>", f"Title {ARTICLE[0]}"),
+        (f"<article><h1>Title</h1><picture><source><img></picture><p>{ARTICLE[0]}</p></article>", f"Title {ARTICLE[0]}"),
+        (f"<body><div class='social-history'><p>{ARTICLE[0]}</p><p>{LAST}</p></div></body>", f"{ARTICLE[0]} {LAST}"),
+        (f"<body><div id='login-guide'><p>{ARTICLE[0]}</p><p>{LAST}</p></div></body>", f"{ARTICLE[0]} {LAST}"),
+        (f"<body><div id='widget'><p>{ARTICLE[0]}</p></div><p class='sidebar-text'>here</p></body>", ARTICLE[0]),
+        (
+            f"<body><nav><ul><li><a>home</a></ul></nav><div class='content'><h1>My Title</h1><p>{ARTICLE[0]}</p><p>{LAST}</p></div>"
+            "<footer>Imprint</footer></body>",
+            f"My Title {ARTICLE[0]} {LAST}",
+        ),
+        (
+            f"<body><div id='wrap'><ul><li><a href=x>one</a><li><a href=y>two</a></ul><div class='text'><h2>T</h2><p>{ARTICLE[0]}</p>"
+            f"<p>{LAST}</p></div><ol class='comment-list'><li>nice</ol></div></body>",
+            f"T {ARTICLE[0]} {LAST}",
+        ),
+        (f"<body><div class='page'><p>{ARTICLE[0]}</p></div><div class='comments'><p>{ARTICLE[1]} {ARTICLE[2]}</p></div></body>", ARTICLE[0]),
+        (f"<body><main><h1>A</h1><section><p>{ARTICLE[0]}</p></section><section><h2>B</h2><p>c</p></section></main></body>", f"A {ARTICLE[0]} B c"),
+    ],
+)
+def test_the_whole_main_text_is_kept(page, expected):
+    for weights in ({}, GIVEN_WEIGHTS):
+        assert html.main_text(page, weights) == expected
+
+
+def test_main_texts_of_awkward_rows(spark):
+    """A very long page, repeated rows, and columns that the operator uses itself."""
+    long = "<article>" + f"<p>{ARTICLE[0]}</p><div class='ad'>Buy</div>" * 3000 + "</article>"
+    rows = [(1, "u", long, "t", 5), (2, "u", PAGE, "t", 5), (2, "u", PAGE, "t", 5), (None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    found = html.extracted(pages, html.learned(pages)).collect()
+    assert len(found) == 4 and found[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
+    assert [r["n_chars"] for r in found if r["page_id"] == 1] == [3000 * (len(ARTICLE[0]) + 1) - 1]
+    assert len({r["text"] for r in found if r["page_id"] == 2}) == 1
+
+
+def test_urls_of_awkward_rows(spark):
+    """A very long URL, repeated rows, and columns that the operator uses itself."""
+    labelled = spark.createDataFrame([(f"https://h{i}.example/{'bad' if i % 2 else 'fine'}/{i}", i % 2 == 1) for i in range(200)], "url string, unwanted boolean")
+    long = "https://h.example/" + "/".join(f"part{i}" for i in range(20_000)) + "/bad"
+    rows = [(1, long, "t", "h", 0), (2, "https://x.example/bad", "t", "h", 0), (2, "https://x.example/bad", "t", "h", 0), (None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, token string, host string, verdict int")
+    found = urls.judged(pages, urls.mine(labelled), []).select("page_id", "verdict").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(1, "block"), (2, "block"), (2, "block"), (None, "allow")], key=repr)
