@@ -92,6 +92,20 @@ def _band(y: float, south: float, north: float, count: int) -> int:
     return min(int((y - south) / ((north - south) / count)), count - 1)
 
 
+def _band_of(lat: Column, south: float, north: float, count: int) -> Column:
+    """The band of a latitude; NULL if it has none."""
+    return F.least(F.floor((lat - south) / ((north - south) / count)), F.lit(count - 1)).try_cast("int")
+
+
+def _edges_near(lat: Column, edges: list[Edge], south: float, north: float) -> Column:
+    """Edges that reach the latitude band of a point, as a list from a constant table."""
+    bands = _banded(edges, south, north)
+    lists = [[{"x1": x1, "y1": y1, "x2": x2, "y2": y2} for (x1, y1), (x2, y2) in some] for some in bands]
+    table = F.from_json(F.lit(json.dumps(lists)), f"array<{_EDGE_LIST}>")
+    # A point outside the box may have no band; it gets an empty list.
+    return F.coalesce(F.get(table, _band_of(lat, south, north, len(bands))), F.array().cast(_EDGE_LIST))
+
+
 def _odd_and_on_edge(lon: Column, lat: Column, edges: list[Edge], south: float, north: float) -> tuple[Column, Column]:
     """Whether the edges to the east are odd in number, and whether the point is on one.
 
@@ -100,16 +114,12 @@ def _odd_and_on_edge(lon: Column, lat: Column, edges: list[Edge], south: float,
     band a list of them is gone through.
     """
     bands = _banded(edges, south, north)
-    band = F.least(F.floor((lat - south) / ((north - south) / len(bands))), F.lit(len(bands) - 1))
-    band = band.try_cast("int") if len(bands) > 1 else F.lit(0)
     slots = max(map(len, bands))
     if slots > UNROLLED_EDGES:
-        lists = [[{"x1": x1, "y1": y1, "x2": x2, "y2": y2} for (x1, y1), (x2, y2) in some] for some in bands]
-        # A point outside the box may have no band; it gets an empty list.
-        near = F.get(F.from_json(F.lit(json.dumps(lists)), f"array<{_EDGE_LIST}>"), band)
-        near = F.coalesce(near, F.array().cast(_EDGE_LIST))
+        near = _edges_near(lat, edges, south, north)
         odd = F.aggregate(near, F.lit(False), lambda odd, e: odd != crosses(lon, lat, e.x1, e.y1, e.x2, e.y2))
         return odd, F.exists(near, lambda e: touches(lon, lat, e.x1, e.y1, e.x2, e.y2))
+    band = _band_of(lat, south, north, len(bands)) if len(bands) > 1 else F.lit(0)
     filled = [[*some, *[_NO_EDGE] * (slots - len(some))] for some in bands]
     numbers = [value for some in filled for start, end in some for value in (*start, *end)]
     table = F.from_json(F.lit(json.dumps(numbers)), "array<double>")

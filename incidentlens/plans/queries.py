@@ -8,7 +8,7 @@ derives the records does not run again for every query.
 """
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,7 +104,12 @@ _written: dict[tuple, tuple[list, str]] = {}
 
 
 def _dataset(
-    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object], last: str = ""
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    write: Callable[[str], object],
+    last: str = "",
+    tables: Sequence[str] = SOURCE_TABLES,
 ) -> str:
     """Path of a derived dataset, written on first use.
 
@@ -112,7 +117,6 @@ def _dataset(
     one that these have outdated is removed. ``last`` is the table in it that is
     written last.
     """
-    tables = (*SOURCE_TABLES, AREA_TABLE)
     versions = [content_version(spark, f"{sf_dir}/{table}.parquet") for table in tables]
     key = (spark.sparkContext.applicationId, sf_dir, name)
     version, path = _written.get(key, (None, None))
@@ -182,7 +186,7 @@ def area_edges_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         edges(area_vertices(spark, sf_dir)).write.parquet(path)
 
-    return _dataset(spark, sf_dir, "area_edges", write)
+    return _dataset(spark, sf_dir, "area_edges", write, tables=[AREA_TABLE])
 
 
 def area_cover_path(spark: SparkSession, sf_dir: str) -> str:
@@ -191,7 +195,7 @@ def area_cover_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         cover(spark.read.parquet(area_edges_path(spark, sf_dir))).write.parquet(path)
 
-    return _dataset(spark, sf_dir, "area_cover", write)
+    return _dataset(spark, sf_dir, "area_cover", write, tables=[AREA_TABLE])
 
 
 def area_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
