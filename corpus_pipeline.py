@@ -24,8 +24,19 @@ from incidentlens.sources.scratch import remove, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows that go to a Python worker at once: texts are long, and stages follow each other on executors
+#: whose heaps have grown.
+ROWS_AT_ONCE = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Smaller batches for this session, from now on: stages are run after they return."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ROWS_AT_ONCE:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = numbered(docs, "doc_id", "text")
     labelled = rows.select(ROW, "doc_id").join(labels, "doc_id").select(ROW, "quality", "toxic")
@@ -34,12 +45,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     rows = numbered(docs, "doc_id", "text", collapsed=True)
     copies = minhash.kept_first(minhash.groups(rows, ROW), ROW).where("NOT kept")
     return without_keys(rows, copies, ROW).drop(ROW)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
     cut = suffixes.without_repeats(numbered(docs, "doc_id", "text"), ROW, carried=others, as_text=True)
     return cut.select(
@@ -48,6 +61,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = numbered(docs, "doc_id", "text")
     hits, _ = decontamination.occurrences(rows, items, ROW)
@@ -55,8 +69,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # The executors' heaps have grown in four stages before: half of the usual block.
-    return bpe.digests(bpe.encode_decode(docs, vocabulary_path(), block_bytes=8 << 20), more=["ids"])
+    _small_batches(spark)
+    # A quarter of the usual block, for the same reason.
+    return bpe.digests(bpe.encode_decode(docs, vocabulary_path(), block_bytes=4 << 20), more=["ids"])
 
 
 STAGES: list[tuple[str, Stage]] = [
