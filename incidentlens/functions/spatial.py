@@ -48,12 +48,10 @@ def inside_bounds(lon: Column, lat: Column, ring: Ring) -> Column:
     )
 
 
-# Edges compared in one generated method; more make it too long for the JVM to compile.
-UNROLLED_EDGES = 6
-# On average; keeps the constant table in proportion to the rings.
-MAX_BANDS_PER_EDGE = 8
-# Above every latitude: no point reaches it.
-_NO_EDGE = ((0.0, 1e9), (0.0, 1e9))
+# More edges than this make a generated method too long for the JVM to compile.
+UNROLLED_EDGES = 12
+# Edges that a band should have at most, and bands for each edge; these keep the table in proportion.
+EDGES_PER_BAND, MAX_BANDS_PER_EDGE = 4, 8
 
 
 def crosses(lon: Column, lat: Column, x1, y1, x2, y2) -> Column:
@@ -75,7 +73,7 @@ def _banded(edges: list[Edge], south: float, north: float) -> list[list[Edge]]:
     proportion, some bands keep more edges.
     """
     found, count = [edges], 1
-    while max(map(len, found)) > UNROLLED_EDGES:
+    while max(map(len, found)) > EDGES_PER_BAND:
         count *= 2
         bands = [[] for _ in range(count)]
         for edge in edges:
@@ -109,23 +107,15 @@ def _edges_near(lat: Column, edges: list[Edge], south: float, north: float) -> C
 def _odd_and_on_edge(lon: Column, lat: Column, edges: list[Edge], south: float, north: float) -> tuple[Column, Column]:
     """Whether the edges to the east are odd in number, and whether the point is on one.
 
-    A point meets the edges of its latitude band only, from a constant table: a few that are
-    compared in generated code, however many edges there are. Only if long edges crowd every
-    band a list of them is gone through.
+    A few edges are compared one by one in generated code. Of more, a point meets those of
+    its latitude band only, however many there are.
     """
-    bands = _banded(edges, south, north)
-    slots = max(map(len, bands))
-    if slots > UNROLLED_EDGES:
-        near = _edges_near(lat, edges, south, north)
-        odd = F.aggregate(near, F.lit(False), lambda odd, e: odd != crosses(lon, lat, e.x1, e.y1, e.x2, e.y2))
-        return odd, F.exists(near, lambda e: touches(lon, lat, e.x1, e.y1, e.x2, e.y2))
-    band = _band_of(lat, south, north, len(bands)) if len(bands) > 1 else F.lit(0)
-    filled = [[*some, *[_NO_EDGE] * (slots - len(some))] for some in bands]
-    numbers = [value for some in filled for start, end in some for value in (*start, *end)]
-    table = F.from_json(F.lit(json.dumps(numbers)), "array<double>")
-    near = [[F.get(table, band * (4 * slots) + (4 * slot + i)) for i in range(4)] for slot in range(slots)]
-    odd = reduce(ne, [crosses(lon, lat, *edge) for edge in near])
-    return odd, reduce(or_, [touches(lon, lat, *edge) for edge in near])
+    if len(edges) <= UNROLLED_EDGES:
+        odd = reduce(ne, [crosses(lon, lat, *start, *end) for start, end in edges])
+        return odd, reduce(or_, [touches(lon, lat, *start, *end) for start, end in edges])
+    near = _edges_near(lat, edges, south, north)
+    odd = F.aggregate(near, F.lit(False), lambda odd, e: odd != crosses(lon, lat, e.x1, e.y1, e.x2, e.y2))
+    return odd, F.exists(near, lambda e: touches(lon, lat, e.x1, e.y1, e.x2, e.y2))
 
 
 def within(lon: Column, lat: Column, ring: Ring) -> Column:
