@@ -63,6 +63,18 @@ def test_the_store_step_without_adaptive_execution(spark, sf_dir, tmp_path, not_
     assert spans.agg(F.avg("n")).first()[0] < 6
 
 
+def test_a_task_of_the_store_step_sorts_few_records(spark, tmp_path, not_adaptive):
+    """Without a number given, so that a task's records fit its memory and aren't spilled."""
+    number = F.col("id")
+    values = {"ARREST_BORO": F.lit("K"), "ARREST_PRECINCT": number % 50}
+    many = spark.range(0, 700_000, 1, 8).select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STORED_SCHEMA]
+    )
+    write_partitioned(many, str(tmp_path / "stored"))
+    sizes = [pq.ParquetFile(p).metadata.num_rows for p in tmp_path.rglob("*.parquet")]
+    assert sum(sizes) == 700_000 and max(sizes) < 350_000
+
+
 def matching(path, box, dates):
     """Row groups whose statistics don't rule out the window, and all of them."""
     west, south, east, north = box
