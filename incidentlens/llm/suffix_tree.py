@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentlens.llm.blocks import bucketed, growing, numbers_of, pack, unpack, unsqueeze, word_blocks
-from incidentlens.sources.scratch import materialise
+from incidentlens.sources.files import write_table
+from incidentlens.sources.scratch import remove, scratch_path
 
 DEPTH = 2
 LEAST_COUNT = 8  # occurrences of a context that is tested
 LEAST_GAIN = 3.0  # nats over all its occurrences for a context to be kept
 STRENGTH = 4.0  # of the suffix's distribution in a state's, in occurrences
+GAIN_UNIT = 2.0**-20  # nats; each block's part of a gain is rounded to whole units, so that sums are exact
 FOLDS, HELD_OUT = 7, 2
 
 _REST = 44  # bits of a hash that are compared within a bucket
@@ -60,6 +62,15 @@ def is_held_out(key: int | None) -> bool:
     return zlib.crc32(str("" if key is None else key).encode()) % FOLDS == HELD_OUT
 
 
+def _folded(whole: np.ndarray) -> np.ndarray:
+    """Signed whole numbers as unsigned ones, small if they are near zero."""
+    return ((whole << 1) ^ (whole >> 63)).view(np.uint64)
+
+
+def _unfolded(folded: np.ndarray) -> np.ndarray:
+    return (folded >> np.uint64(1)).view(np.int64) ^ -(folded & np.uint64(1)).view(np.int64)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _MIX
     x = (x ^ (x >> np.uint64(29))) * _MIX
@@ -130,7 +141,7 @@ def _reduced(table: pa.Table) -> pa.Table:
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     kind, is_totals = rows[0]["kind"], rows[0]["kind"] < _KEPT
     lists = [np.cumsum(unpack(r["items"], np.uint64), dtype=np.uint64) for r in rows]
-    amounts = np.concatenate([unpack(r["amounts"], np.uint64 if is_totals else np.float64) for r in rows])
+    amounts = np.concatenate([unpack(r["amounts"], np.uint64) for r in rows])
     _, first, place = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
     if is_totals:
         order = np.argsort(place, kind="stable")
@@ -140,7 +151,8 @@ def _reduced(table: pa.Table) -> pa.Table:
         owns[first] = 1
         answers = totals[place] * np.uint64(2) + owns
     else:
-        answers = (np.bincount(place, amounts) >= LEAST_GAIN).astype(np.uint8)[place]
+        # Whole numbers: a float holds their sums, up to 2^33 nats, without rounding.
+        answers = (np.bincount(place, _unfolded(amounts)) * GAIN_UNIT >= LEAST_GAIN).astype(np.uint8)[place]
     ends = np.cumsum([len(x) for x in lists])
     out = [
         (r["block"], kind, r["bucket"], pack(answers[end - len(x) : end]), None, None, None)
@@ -228,7 +240,7 @@ class _Tokens:
         count, given, old = self.counts[depth][here].astype(float), self.counts[depth - 1][here - 1], chance[here]
         new = (np.maximum(count - 1, 0) + STRENGTH * old) / (given - 1.0 + STRENGTH)
         gain = np.bincount(place[example], count * np.log(new / old), minlength=len(listed))
-        return _send(_KEPT + depth, self.block, listed, gain)
+        return _send(_KEPT + depth, self.block, listed, _folded(np.rint(gain / GAIN_UNIT).astype(np.int64)))
 
 
 def _stage(depth: int, last: int, *known):
@@ -302,7 +314,8 @@ def scored(
     remainder = F.crc32(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")) % FOLDS
     n_ends = train.where(remainder != HELD_OUT).count()
     terms = blocks.mapInArrow(_terms, SENT).groupBy("bucket").applyInArrow(_counted_terms, ANSWERS)
-    answers = materialise(terms, "terms")
+    path = scratch_path(spark, "terms")
+    answers = write_table(terms, path)
     sums = answers.where(F.col("kind") == _SUMMARY).agg(F.sum("distinct"), F.sum("total")).first()
     distinct, total = (sums[0] or 0) + (n_ends > 0), (sums[1] or 0) + n_ends
     known = (buckets, n_ends, total, distinct)
@@ -310,10 +323,11 @@ def scored(
     # Answers are dealt to their blocks once, and not again by every later stage.
     with growing(spark, "block", "lm_answers") as told:
         answers = told.add(answers.where(F.col("kind") == _TERMS))
+        remove(spark, path)
         for d in range(depth + 1):
             sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(_stage(d, depth, *known), SENT)
             reduced = sent.groupBy("kind", "bucket").applyInArrow(_reduced, ANSWERS)
-            answers = told.add(materialise(reduced, "answers"))
+            answers = told.add(reduced)
     result = f"{key} long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return (
         by_block.cogroup(answers.groupBy("block"))

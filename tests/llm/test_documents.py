@@ -1,7 +1,9 @@
 """Operators over documents against brute force: the given tables and awkward rows."""
 
 import zlib
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +202,20 @@ def test_suffix_tree(spark, small, given, awkward, awkward_docs, no_docs):
     assert suffix_tree.scored(no_docs).isEmpty()
 
 
+def test_suffix_tree_keeps_no_copies_of_answers(spark, small):
+    """What is left on disk are the blocks and one table of answers."""
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p for p in scratch.rglob("*") if p.is_dir()}
+    suffix_tree.scored(spark.read.parquet(f"{small}/documents.parquet"))
+    new = {p.name for p in scratch.rglob("*") if p.is_dir() and p not in before}
+    assert {"lm_blocks", "lm_answers"} <= new and not {"terms", "answers"} & new
+
+
+def test_gains_travel_as_whole_numbers():
+    whole = np.array([0, -1, 1, 5, -(2**40), 2**40])
+    assert (suffix_tree._unfolded(suffix_tree._folded(whole)) == whole).all()
+
+
 def test_contexts_predict_unseen_documents(spark):
     """On held-out documents the tree is better than frequencies of single words."""
     found = suffix_tree.scored(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
