@@ -54,7 +54,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = suffixes.without_repeats(numbered(docs, "doc_id", "text"), ROW, carried=others, as_text=True)
+    # Half the usual blocks and buckets: their Python workers are the largest of all stages.
+    cut = suffixes.without_repeats(
+        numbered(docs, "doc_id", "text"), ROW, carried=others, as_text=True, block_bytes=4 << 20, bucket_bytes=8 << 20
+    )
     return cut.select(
         F.col("kept").alias("text"), "more.*", F.length("kept").cast("long").alias("n_chars")
     ).select(*docs.columns)

@@ -42,6 +42,7 @@ SPAN = DEPTH - GRAM + 1  # digits a window chooses from
 HOT = 20_000  # windows' runs with one digit, beyond which they are units of their own
 LAST = np.iinfo(np.int64).max  # stands for a missing key
 _PIECE, _PLACE = 1 << 17, np.uint64((1 << 18) - 1)
+_RUNS_AT_ONCE = 1 << 13  # whose windows are spelled out; a run has SPAN windows at most
 _REST = 40  # bits of a digit's hash that are compared within a bucket: a filter only
 
 _RANDOM = np.random.default_rng(50)
@@ -391,6 +392,16 @@ def _whole_characters(body: bytes, gone: np.ndarray) -> str:
     return "".join(body[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
+def _covered(starts: np.ndarray) -> np.ndarray:
+    """The bytes of all windows, from marks at their starts."""
+    covered, width = starts.copy(), 1
+    while width < DEPTH:
+        step = min(width, DEPTH - width)
+        covered[step:] |= covered[:-step]
+        width += step
+    return covered
+
+
 def _cut(buckets: int, key: str, as_text: bool):
     """Third pass: the bytes that stay of each document."""
     schema = pa.schema(
@@ -409,13 +420,14 @@ def _cut(buckets: int, key: str, as_text: bool):
             parts = [np.cumsum(unpack(found[b], np.int64)) for b in sorted(found)]
             least = np.concatenate(parts) if parts else np.empty(0, np.int64)
             bounds = np.concatenate([[0], np.cumsum(units.unit_size)])
-            smallest = least[ranges(bounds[units.unit], units.size)]
-            windows = ranges(units.first, units.size)
-            goes = windows[smallest < np.repeat(units.keys[units.doc], units.size)]
-            change = np.zeros(len(units.data) + 1, np.int32)
-            change[goes] += 1
-            change[goes + DEPTH] -= 1
-            covered = np.cumsum(change[:-1], dtype=np.int32) > 0
+            goes = np.zeros(len(units.data), bool)
+            for a in range(0, len(units.first), _RUNS_AT_ONCE):
+                runs = slice(a, a + _RUNS_AT_ONCE)
+                size = units.size[runs]
+                smallest = least[ranges(bounds[units.unit[runs]], size)]
+                windows = ranges(units.first[runs], size)
+                goes[windows[smallest < np.repeat(units.keys[units.doc[runs]], size)]] = True
+            covered = _covered(goes)
             ends = np.cumsum(units.lengths).tolist()
             for name, length, more, end in zip(row["keys"], row["lengths"], row["more"], ends, strict=True):
                 gone, body = covered[end - length : end], units.body[end - length : end]
