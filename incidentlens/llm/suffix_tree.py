@@ -9,10 +9,13 @@ its suffix, down to the root's add-one frequencies; a token is scored by the lon
 kept suffix of what precedes it in its text.
 
 Documents are blocks of word numbers (see ``blocks``). Words, n-grams and contexts
-get their totals in buckets by hash, from sorted lists that each block sends, and
-the answers come back in the order of the list: no row per token is shuffled, and a
-frequent context is spread over the buckets of its n-grams. Every training document
-is counted; what is gathered grows with the corpus.
+get their totals in buckets, from sorted lists that each block sends, and the answers
+come back in the order of the list: no row per token is shuffled, and a frequent
+context is spread over the buckets of its n-grams. Lists hold no hashes but numbers:
+a bucket numbers its words, frequent ones first, and those n-grams that are contexts
+of the next depth. A next word goes to the bucket that its number and its context's
+add up to, so that of both only what the bucket doesn't tell is sent. Every training
+document is counted; what is gathered grows with the corpus.
 
 Defined results: a NULL or empty text is one end token; a row without key has the
 empty name, and so is trained on; repeated rows count each; without training
@@ -38,22 +41,20 @@ STRENGTH = 4.0  # of the suffix's distribution in a state's, in occurrences
 GAIN_UNIT = 2.0**-20  # nats; each block's part of a gain is rounded to whole units, so that sums are exact
 FOLDS, HELD_OUT = 7, 2
 
-_REST = 44  # bits of a hash that are compared within a bucket
-_MIX = np.uint64(0x9E3779B97F4A7C15)  # 2 ** 64 over the golden ratio
 _TERMS, _TOTALS, _KEPT, _SUMMARY = 0, 10, 20, 30  # kinds of answers; totals and contexts plus their depth
 
-ANSWERS = "block long, kind int, bucket long, answer binary, more binary, distinct long, total long"
+ANSWERS = "block long, kind int, bucket long, answer binary, more binary, distinct long, total long, words long"
 _ANSWERS = pa.schema(
     [
         ("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()), ("answer", pa.binary()),
-        ("more", pa.binary()), ("distinct", pa.int64()), ("total", pa.int64()),
+        ("more", pa.binary()), ("distinct", pa.int64()), ("total", pa.int64()), ("words", pa.int64()),
     ]
 )
-SENT = "kind int, bucket long, block long, items binary, amounts binary"
+SENT = "kind int, bucket long, block long, items binary, nexts binary, amounts binary"
 _SENT = pa.schema(
     [
         ("kind", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("items", pa.binary()),
-        ("amounts", pa.binary()),
+        ("nexts", pa.binary()), ("amounts", pa.binary()),
     ]
 )
 
@@ -71,12 +72,6 @@ def _unfolded(folded: np.ndarray) -> np.ndarray:
     return (folded >> np.uint64(1)).view(np.int64) ^ -(folded & np.uint64(1)).view(np.int64)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MIX
-    x = (x ^ (x >> np.uint64(29))) * _MIX
-    return x ^ (x >> np.uint64(32))
-
-
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -94,14 +89,17 @@ def _terms(batches):
             trained = np.repeat(_trained(row["keys"]), counts)
             uses = np.bincount(words[trained], minlength=int(words.max()) + 1 if len(words) else 0)
             rows = [
-                (_TERMS, c["part"], row["block"], c["terms"], pack(uses[numbers_of(c["numbers"])].astype(np.uint64)))
+                (_TERMS, c["part"], row["block"], c["terms"], None, pack(uses[numbers_of(c["numbers"])].astype(np.uint64)))
                 for c in row["chunks"]
             ]
             yield from _table(rows, _SENT).to_batches()
 
 
 def _counted_terms(table: pa.Table) -> pa.Table:
-    """Numbers and totals of a bucket's words, for each block that has them; and a summary."""
+    """Numbers and totals of a bucket's words, for each block that has them; and a summary.
+
+    Frequent words have small numbers, which take less room in lists.
+    """
     rows, number = table.to_pylist(), {}
     places = []
     for row in rows:
@@ -110,62 +108,98 @@ def _counted_terms(table: pa.Table) -> pa.Table:
     totals = np.zeros(len(number), np.uint64)
     for row, place in zip(rows, places, strict=True):
         totals[place] += unpack(row["amounts"], np.uint64)  # a block has a word once
+    rank = np.empty(len(totals), np.uint32)
+    rank[np.argsort(-totals.astype(np.int64), kind="stable")] = np.arange(len(totals), dtype=np.uint32)
     out = [
-        (r["block"], _TERMS, r["bucket"], pack(totals[p]), pack(p.astype(np.uint32)), None, None)
+        (r["block"], _TERMS, r["bucket"], pack(totals[p]), pack(rank[p]), None, None, None)
         for r, p in zip(rows, places, strict=True)
     ]
-    summary = (None, _SUMMARY, rows[0]["bucket"], None, None, int(np.count_nonzero(totals)), int(totals.sum()))
+    known = int(np.count_nonzero(totals)), int(totals.sum()), len(totals)
+    summary = (None, _SUMMARY, rows[0]["bucket"], None, None, *known)
     return _table([*out, summary], _ANSWERS)
 
 
-def _listed(keys: np.ndarray, buckets: int):
-    """Distinct keys by bucket, in order, an example of each, and each key's place."""
-    dealt = ((keys % np.uint64(buckets)) << np.uint64(_REST)) | (
-        (keys // np.uint64(buckets)) & np.uint64((1 << _REST) - 1)
-    )
-    return np.unique(dealt, return_index=True, return_inverse=True)
+def _shift(buckets: int) -> np.uint64:
+    """Bits below the bucket's in the keys that lists are ordered by."""
+    return np.uint64(64 - int(buckets).bit_length())
 
 
-def _send(kind: int, block: int, listed: np.ndarray, amounts: np.ndarray) -> list[tuple]:
-    bucket = (listed >> np.uint64(_REST)).astype(np.int64)
-    rest = listed & np.uint64((1 << _REST) - 1)
+def _listed(bucket: np.ndarray, rest: np.ndarray, buckets: int):
+    """Distinct items by bucket, in order, an example of each, and each item's place."""
+    shift = _shift(buckets)
+    if len(rest) and int(rest.max()) >> int(shift):
+        raise OverflowError("more contexts than 64 bits tell apart; it takes more shuffle partitions")
+    return np.unique((bucket << shift) | rest, return_index=True, return_inverse=True)
+
+
+def _send(kind: int, block: int, listed: np.ndarray, amounts: np.ndarray, buckets: int, width: int | None) -> list[tuple]:
+    """A list for each bucket. With a width, items are pairs: what is left of them is the next word's part."""
+    shift = _shift(buckets)
+    bucket = (listed >> shift).astype(np.int64)
+    items, nexts = listed & ((np.uint64(1) << shift) - np.uint64(1)), None
+    if width is not None:
+        items, nexts = np.divmod(items, np.uint64(width))
+        nexts = nexts.astype(np.uint32)
     edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     return [
-        (kind, int(bucket[a]), block, pack(np.diff(rest[a:b], prepend=np.uint64(0))), pack(amounts[a:b]))
+        (
+            kind, int(bucket[a]), block, pack(np.diff(items[a:b], prepend=np.uint64(0))),
+            None if nexts is None else pack(nexts[a:b]), pack(amounts[a:b]),
+        )
         for a, b in zip(edges[:-1], edges[1:], strict=True)
-    ]
-
+    ]
+
+
+def _items(row: dict, width: int) -> np.ndarray:
+    items = np.cumsum(unpack(row["items"], np.uint64), dtype=np.uint64)
+    return items if row["nexts"] is None else items * np.uint64(width) + unpack(row["nexts"], np.uint32)
+
+
+def _reduced(last: int, width: int):
+    """Of a bucket's lists: totals and their owners for n-grams, the verdict for contexts.
+
+    N-grams that are contexts of the next depth, if there is one, are numbered.
+    """
+
+    def reduce(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["block"])
+        kind, is_totals = rows[0]["kind"], rows[0]["kind"] < _KEPT
+        lists = [_items(r, width) for r in rows]
+        amounts = np.concatenate([unpack(r["amounts"], np.uint64) for r in rows])
+        _, first, place = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
+        ends, numbers = np.cumsum([len(x) for x in lists]), None
+        if is_totals:
+            order = np.argsort(place, kind="stable")
+            begin = np.flatnonzero(np.diff(place[order], prepend=-1))
+            totals = np.add.reduceat(amounts[order], begin)
+            owns = np.zeros(len(place), np.uint64)
+            owns[first] = 1
+            answers = totals[place] * np.uint64(2) + owns
+            if kind - _TOTALS < last:
+                often = totals >= LEAST_COUNT
+                number = np.cumsum(often, dtype=np.uint64)
+                numbers = [
+                    pack(np.diff(number[p][often[p]], prepend=np.uint64(0))) for p in np.split(place, ends[:-1])
+                ]
+        else:
+            # Whole numbers: a float holds their sums, up to 2^33 nats, without rounding.
+            answers = (np.bincount(place, _unfolded(amounts)) * GAIN_UNIT >= LEAST_GAIN).astype(np.uint8)[place]
+        out = [
+            (r["block"], kind, r["bucket"], pack(answers[end - len(x) : end]), more, None, None, None)
+            for r, x, end, more in zip(rows, lists, ends, numbers or [None] * len(rows), strict=True)
+        ]
+        return _table(out, _ANSWERS)
 
-def _reduced(table: pa.Table) -> pa.Table:
-    """Of a bucket's lists: totals and their owners for n-grams, the verdict for contexts."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-    kind, is_totals = rows[0]["kind"], rows[0]["kind"] < _KEPT
-    lists = [np.cumsum(unpack(r["items"], np.uint64), dtype=np.uint64) for r in rows]
-    amounts = np.concatenate([unpack(r["amounts"], np.uint64) for r in rows])
-    _, first, place = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
-    if is_totals:
-        order = np.argsort(place, kind="stable")
-        begin = np.flatnonzero(np.diff(place[order], prepend=-1))
-        totals = np.add.reduceat(amounts[order], begin)
-        owns = np.zeros(len(place), np.uint64)
-        owns[first] = 1
-        answers = totals[place] * np.uint64(2) + owns
-    else:
-        # Whole numbers: a float holds their sums, up to 2^33 nats, without rounding.
-        answers = (np.bincount(place, _unfolded(amounts)) * GAIN_UNIT >= LEAST_GAIN).astype(np.uint8)[place]
-    ends = np.cumsum([len(x) for x in lists])
-    out = [
-        (r["block"], kind, r["bucket"], pack(answers[end - len(x) : end]), None, None, None)
-        for r, x, end in zip(rows, lists, ends, strict=True)
-    ]
-    return _table(out, _ANSWERS)
+    return reduce
 
 
 class _Tokens:
     """A block's tokens with what is known of them so far."""
 
-    def __init__(self, row: dict, answers: list[dict], buckets: int, n_ends: int, total: int, distinct: int):
-        self.block, self.buckets = row["block"], buckets
+    def __init__(
+        self, row: dict, answers: list[dict], buckets: int, n_ends: int, total: int, distinct: int, width: int
+    ):
+        self.block, self.buckets, self.width = row["block"], buckets, width
         self.answers = {(a["kind"], a["bucket"]): a for a in answers}
         counts = np.array(row["counts"], np.int64)
         words = unpack(row["words"], np.uint32)
@@ -174,7 +208,7 @@ class _Tokens:
         for chunk in row["chunks"]:
             answer, numbers = self.answers[_TERMS, chunk["part"]], numbers_of(chunk["numbers"])
             uses[numbers] = unpack(answer["answer"], np.uint64)
-            ids[numbers] = (np.uint64(chunk["part"]) << np.uint64(32)) + unpack(answer["more"], np.uint32) + np.uint64(1)
+            ids[numbers] = unpack(answer["more"], np.uint32) * np.uint64(buckets) + np.uint64(chunk["part"] + 1)
         self.ends = np.cumsum(counts + 1)
         size = int(self.ends[-1]) if len(self.ends) else 0
         is_end = np.zeros(size, bool)
@@ -186,46 +220,66 @@ class _Tokens:
         self.trained = np.repeat(_trained(row["keys"]), counts + 1)
         self.root = (self.uses + 1.0) / (total + distinct + 1.0)
         self.counts = {0: self.uses}  # of the n-gram of d + 1 tokens that ends here, by d
+        self.numbers = {0: self.ids}  # likewise, of those that are contexts
         self.eligible: dict[int, np.ndarray] = {}
         self.listing: dict[int, tuple] = {}
 
     def _answer(self, kind: int, listed: np.ndarray, dtype) -> np.ndarray:
-        buckets = np.unique(listed >> np.uint64(_REST)).tolist()
+        buckets = np.unique(listed >> _shift(self.buckets)).tolist()
         parts = [unpack(self.answers[kind, b]["answer"], dtype) for b in buckets]
         return np.concatenate(parts) if parts else np.empty(0, dtype)
 
+    def _numbers(self, kind: int, listed: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """The numbers that buckets gave to the n-grams that occur often enough."""
+        bucket, out = listed >> _shift(self.buckets), np.zeros(len(listed), np.uint64)
+        parts = [
+            np.cumsum(unpack(self.answers[kind, b]["more"], np.uint64), dtype=np.uint64)
+            for b in np.unique(bucket).tolist()
+        ]
+        if parts:
+            out[often] = np.concatenate(parts) * np.uint64(self.buckets) + bucket[often]
+        return out
+
     def context(self, depth: int) -> np.ndarray:
-        """A hash of the ``depth`` tokens before each eligible position."""
-        at, h = self.eligible[depth], np.full(len(self.eligible[depth]), depth, np.uint64)
-        for back in range(depth, 0, -1):
-            h = _mixed(h * _MIX + self.ids[at - back])
-        return h
+        """The number of the ``depth`` tokens before each eligible position."""
+        return self.numbers[depth - 1][self.eligible[depth] - 1]
+
+    def contexts(self, depth: int):
+        """The contexts of this depth, as a list."""
+        bucket, rest = (context := self.context(depth)) % np.uint64(self.buckets), context // np.uint64(self.buckets)
+        return _listed(bucket, rest, self.buckets)
 
     def grams(self, depth: int) -> None:
         """Lists the n-grams after contexts of this depth that occur often enough."""
-        before = np.zeros(len(self.ids), np.uint64)
+        before, buckets = np.zeros(len(self.ids), np.uint64), np.uint64(self.buckets)
         before[1:] = self.counts[depth - 1][:-1]
         self.eligible[depth] = at = np.flatnonzero((self.place >= depth) & (before >= LEAST_COUNT))
-        self.listing[depth] = _listed(_mixed(self.context(depth) * _MIX + self.ids[at] + np.uint64(1)), self.buckets)
+        context, word = self.context(depth), self.ids[at]
+        rest = context * np.uint64(self.width) + word // buckets
+        self.listing[depth] = _listed((context + word) % buckets, rest, self.buckets)
 
     def grams_to_send(self, depth: int) -> list[tuple]:
         listed, _, place = self.listing[depth]
         uses = np.bincount(place[self.trained[self.eligible[depth]]], minlength=len(listed))
-        return _send(_TOTALS + depth, self.block, listed, uses.astype(np.uint64))
+        return _send(_TOTALS + depth, self.block, listed, uses.astype(np.uint64), self.buckets, self.width)
 
-    def count(self, depth: int) -> np.ndarray:
+    def count(self, depth: int, last: int) -> np.ndarray:
         """Takes the totals of n-grams; returns which of the listed ones this block accounts for."""
         listed, _, place = self.listing[depth]
         told = self._answer(_TOTALS + depth, listed, np.uint64)
-        counts = np.zeros(len(self.ids), np.uint64)
-        counts[self.eligible[depth]] = (told >> np.uint64(1))[place]
+        totals, counts = told >> np.uint64(1), np.zeros(len(self.ids), np.uint64)
+        counts[self.eligible[depth]] = totals[place]
         self.counts[depth] = counts
+        if depth < last:
+            self.numbers[depth] = np.zeros(len(self.ids), np.uint64)
+            numbers = self._numbers(_TOTALS + depth, listed, totals >= LEAST_COUNT)
+            self.numbers[depth][self.eligible[depth]] = numbers[place]
         return (told & np.uint64(1)).astype(bool)
 
     def refined(self, chance: np.ndarray, depth: int) -> np.ndarray:
         """The chances of tokens, given those one level higher, where contexts are kept."""
         at, out = self.eligible[depth], chance.copy()
-        listed, _, place = _listed(self.context(depth), self.buckets)
+        listed, _, place = self.contexts(depth)
         at = at[self._answer(_KEPT + depth, listed, np.uint8).astype(bool)[place]]
         given = self.counts[depth - 1][at - 1]
         out[at] = (self.counts[depth][at] + STRENGTH * chance[at]) / (given + STRENGTH)
@@ -234,13 +288,14 @@ class _Tokens:
     def gains_to_send(self, chance: np.ndarray, depth: int, owned: np.ndarray) -> list[tuple]:
         """What each context would gain over its suffix, from the n-grams accounted for here."""
         at = self.eligible[depth]
-        listed, _, place = _listed(self.context(depth), self.buckets)
+        listed, _, place = self.contexts(depth)
         example = self.listing[depth][1][owned]
         here = at[example]
         count, given, old = self.counts[depth][here].astype(float), self.counts[depth - 1][here - 1], chance[here]
         new = (np.maximum(count - 1, 0) + STRENGTH * old) / (given - 1.0 + STRENGTH)
         gain = np.bincount(place[example], count * np.log(new / old), minlength=len(listed))
-        return _send(_KEPT + depth, self.block, listed, _folded(np.rint(gain / GAIN_UNIT).astype(np.int64)))
+        units = _folded(np.rint(gain / GAIN_UNIT).astype(np.int64))
+        return _send(_KEPT + depth, self.block, listed, units, self.buckets, None)
 
 
 def _stage(depth: int, last: int, *known):
@@ -253,7 +308,7 @@ def _stage(depth: int, last: int, *known):
             chance = tokens.root
             for d in range(1, depth + 1):
                 tokens.grams(d)
-                owned = tokens.count(d)
+                owned = tokens.count(d, last)
                 if d < depth:
                     chance = tokens.refined(chance, d)
                 else:
@@ -281,7 +336,7 @@ def _scored(depth: int, key: str, *known):
             chance = tokens.root
             for d in range(1, depth + 1):
                 tokens.grams(d)
-                tokens.count(d)
+                tokens.count(d, depth)
                 chance = tokens.refined(chance, d)
             sums = [
                 np.add.reduceat(x, tokens.starts)
@@ -316,9 +371,10 @@ def scored(
     terms = blocks.mapInArrow(_terms, SENT).groupBy("bucket").applyInArrow(_counted_terms, ANSWERS)
     path = scratch_path(spark, "terms")
     answers = write_table(terms, path)
-    sums = answers.where(F.col("kind") == _SUMMARY).agg(F.sum("distinct"), F.sum("total")).first()
+    sums = answers.where(F.col("kind") == _SUMMARY).agg(F.sum("distinct"), F.sum("total"), F.max("words")).first()
     distinct, total = (sums[0] or 0) + (n_ends > 0), (sums[1] or 0) + n_ends
-    known = (buckets, n_ends, total, distinct)
+    width = (sums[2] or 0) + 1  # of a word's number over the number of buckets
+    known = (buckets, n_ends, total, distinct, width)
     by_block = blocks.groupBy("block")
     # Answers are dealt to their blocks once, and not again by every later stage.
     with growing(spark, "block", "lm_answers") as told:
@@ -326,7 +382,7 @@ def scored(
         remove(spark, path)
         for d in range(depth + 1):
             sent = by_block.cogroup(answers.groupBy("block")).applyInArrow(_stage(d, depth, *known), SENT)
-            reduced = sent.groupBy("kind", "bucket").applyInArrow(_reduced, ANSWERS)
+            reduced = sent.groupBy("kind", "bucket").applyInArrow(_reduced(depth, width), ANSWERS)
             answers = told.add(reduced)
     result = f"{key} long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     return (
