@@ -6,6 +6,7 @@ chunks by the hash of the word. What is known of a word is found once per chunk
 and joined back to the blocks by number, so that no row per word is shuffled.
 """
 
+import ctypes
 import uuid
 import zlib
 from contextlib import contextmanager
@@ -24,6 +25,54 @@ BLOCK_SCHEMA = (
 )
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed.
+
+    A Python worker goes from task to task, and its allocators keep for the next one what the
+    last has freed: without this a worker of several stages holds the largest of all tasks.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library's
+    if trim:
+        trim(0)
+
+
+def tidy(function):
+    """``function`` of a task's batches; what it has freed is returned at the task's end."""
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def tidy_group(function):
+    """``function`` of a group; what it has freed is returned after each. For large groups."""
+
+    def run(group):
+        try:
+            return function(group)
+        finally:
+            give_back()
+
+    return run
+
+
+def tidy_cogroup(function):
+    """The same for a function of two tables."""
+
+    def run(left, right):
+        try:
+            return function(left, right)
+        finally:
+            give_back()
+
+    return run
+
+
 def squeeze(raw: bytes) -> bytes:
     """Bytes compressed, with their size before them."""
     return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
@@ -123,7 +172,7 @@ def word_blocks(
             yield _arrow([block.row(first + made, parts)], _BLOCK)
 
     rows = docs.select(F.col(key).cast("long"), F.col(text).cast("string").cast("binary"))
-    return rows.mapInArrow(blocks, BLOCK_SCHEMA)
+    return rows.mapInArrow(tidy(blocks), BLOCK_SCHEMA)
 
 
 def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:

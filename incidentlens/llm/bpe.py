@@ -17,7 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import bucketed, numbers_of, pack, ranges, rows_of, unpack, unsqueeze, word_blocks
+from incidentlens.llm.blocks import (
+    bucketed, numbers_of, pack, ranges, rows_of, tidy, tidy_cogroup, unpack, unsqueeze, word_blocks,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 SCHEMA = "{key} long, n_tokens long, ids array<int>, decoded string"
@@ -148,13 +150,13 @@ def encode_decode(
         .select("block", "c.part", "c.terms", "c.numbers")
         .repartition(partitions, "part")
         .select("block", "terms", "numbers")
-        .mapInArrow(_encoded_words(vocabulary), "block long, numbers binary, lengths binary, ids binary")
+        .mapInArrow(tidy(_encoded_words(vocabulary)), "block long, numbers binary, lengths binary, ids binary")
     )
     documents = blocks.select("block", "keys", "counts", "words")
     return (
         documents.groupBy("block")
         .cogroup(words.groupBy("block"))
-        .applyInArrow(_joined(vocabulary, key), SCHEMA.format(key=key))
+        .applyInArrow(tidy_cogroup(_joined(vocabulary, key)), SCHEMA.format(key=key))
     )
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import pack, ranges, rows_of, unpack
+from incidentlens.llm.blocks import give_back, pack, ranges, rows_of, tidy, unpack
 from incidentlens.llm.components import components
 from incidentlens.sources.scratch import materialise, remove
 
@@ -43,6 +43,7 @@ HASHES = BANDS * ROWS
 LEAST_EQUAL = PERCENT / 100 - 5.5 * (PERCENT / 100 * (1 - PERCENT / 100) / HASHES) ** 0.5
 BLOCK, BLOCK_SHINGLES = 2_048, 1_000_000  # classes of a bucket, and shingles, that are compared at once
 BROADCAST_KEYS = 1_000_000
+WORDS_KEPT = 100_000  # whose hashes a task keeps; some 13 MB
 
 _RANDOM = np.random.default_rng(20240229)
 _MULTIPLIERS = _RANDOM.integers(0, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,7 +62,7 @@ class _WordHashes(dict):
     """64-bit hashes of words; forgets them all when there are many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= WORDS_KEPT:
             self.clear()
         found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return found
@@ -236,6 +237,14 @@ def _links_in_block(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({name: pd.Series(c, dtype="int64") for name, c in zip("ab", columns, strict=True)})
 
 
+def _links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """:func:`_links_in_block`; most blocks are small, only large ones leave much behind."""
+    found = _links_in_block(pdf)
+    if pdf["n_shingles"].sum() >= BLOCK_SHINGLES // 10:
+        give_back()
+    return found
+
+
 def _blocks(members: DataFrame, classes: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of buckets with several parts and their sets, in pairs of chunks.
 
@@ -266,7 +275,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """Key, size of the set and component (its smallest key) of every document."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").cast("binary").alias("text"))
-    signed = materialise(rows.mapInArrow(_signed, SIGNED), "signed")
+    signed = materialise(rows.mapInArrow(tidy(_signed), SIGNED), "signed")
     full = signed.where("digest IS NOT NULL AND doc IS NOT NULL")
     least = F.min(F.struct("doc", "n_shingles", "bands", "signature")).alias("least")
     classes = materialise(full.groupBy("digest").agg(least).select("digest", "least.*"), "classes")
@@ -284,7 +293,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     wanted = members.select("doc").distinct()
     texts = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_KEYS else wanted, "doc", "left_semi")
-    sets = materialise(texts.mapInArrow(_packed_sets, "doc long, digest binary, members binary"), "sets")
+    sets = materialise(texts.mapInArrow(tidy(_packed_sets), "doc long, digest binary, members binary"), "sets")
 
     meets = members.groupBy("doc").agg(F.sum((F.col("size") - 1) * F.col("times")).alias("meets"))
     rank = F.struct("meets", (-F.col("doc")).alias("least"))
@@ -302,7 +311,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     links = (
         _blocks(members, classes, sets, parts)
         .groupBy("bucket", "low", "high")
-        .applyInPandas(_links_in_block, "a long, b long")
+        .applyInPandas(_links, "a long, b long")
         .unionByName(parts.select(F.col("root").alias("a"), F.col("node").alias("b")))
     )
     parts, _ = components(links)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import rows_of
+from incidentlens.llm.blocks import rows_of, tidy
 from incidentlens.sources.scratch import materialise
 
 CELLS = 1 << 16
@@ -81,7 +81,7 @@ def cell_counts(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text:
     rows = (
         _marked(docs, trusted, key, text)
         .select("text", "is_trusted")
-        .mapInArrow(_counted, "cell int, trusted long, raw long")
+        .mapInArrow(tidy(_counted), "cell int, trusted long, raw long")
         .groupBy("cell")
         .agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw"))
         .collect()
@@ -173,7 +173,7 @@ def measures(
         if rows:
             yield batch()
 
-    return _marked(docs, trusted, key, text).mapInArrow(measure, MEASURES.format(key=key))
+    return _marked(docs, trusted, key, text).mapInArrow(tidy(measure), MEASURES.format(key=key))
 
 
 def base_failed():

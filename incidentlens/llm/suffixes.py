@@ -34,7 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import bucketed, pack, ranges, rows_of, squeeze, unpack, unsqueeze
+from incidentlens.llm.blocks import (
+    bucketed, pack, ranges, rows_of, squeeze, tidy, tidy_cogroup, tidy_group, unpack, unsqueeze,
+)
 from incidentlens.sources.scratch import materialise
 
 DEPTH, GRAM = 50, 20
@@ -462,17 +464,18 @@ def without_repeats(
     spark = docs.sparkSession
     more = F.to_json(F.struct(*carried)) if carried else F.lit(None).cast("string")
     rows = docs.select(F.col(key).cast("long"), F.col(text).cast("string").cast("binary"), more)
-    blocks = bucketed(rows.mapInArrow(_blocked(block_bytes), BLOCKS), "block", "blocks")
+    blocks = bucketed(rows.mapInArrow(tidy(_blocked(block_bytes)), BLOCKS), "block", "blocks")
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // bucket_bytes)
-    digits = blocks.drop("more").mapInArrow(_digits(buckets), DIGITS)
-    flags = materialise(digits.groupBy("bucket").applyInArrow(_surviving, ANSWERS), "flags")
+    digits = blocks.drop("more").mapInArrow(tidy(_digits(buckets)), DIGITS)
+    flags = materialise(digits.groupBy("bucket").applyInArrow(tidy_group(_surviving), ANSWERS), "flags")
     to_units = blocks.drop("more").groupBy("block").cogroup(flags.groupBy("block"))
-    least = to_units.applyInArrow(_units(buckets), UNITS).groupBy("bucket").applyInArrow(_refined, ANSWERS)
+    units = to_units.applyInArrow(tidy_cogroup(_units(buckets)), UNITS)
+    least = units.groupBy("bucket").applyInArrow(tidy_group(_refined), ANSWERS)
     kind = "string" if as_text else "binary"
     result = f"{key} long, n_bytes long, n_removed long, n_spans long, kept {kind}, more string"
     answers = flags.unionByName(least).groupBy("block")
-    cut = blocks.groupBy("block").cogroup(answers).applyInArrow(_cut(buckets, key, as_text), result)
+    cut = blocks.groupBy("block").cogroup(answers).applyInArrow(tidy_cogroup(_cut(buckets, key, as_text)), result)
     if not carried:
         return cut.drop("more")
     return cut.withColumn("more", F.from_json("more", docs.select(*carried).schema))
