@@ -13,6 +13,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,41 +134,76 @@ class _Block:
         self.counts.append(len(words))
         self.size += size
 
-    def row(self, block: int, parts: int) -> tuple:
+    def chunks(self, parts: int):
+        """Each part's words, joined by line feeds, and their numbers."""
         chunks: dict[int, tuple[list, list]] = {}
         for word, number in self.number.items():
             terms, numbers = chunks.setdefault(zlib.crc32(word) % parts, ([], []))
             terms.append(word)
             numbers.append(number)
+        for part, (terms, numbers) in sorted(chunks.items()):
+            yield part, b"\n".join(terms), np.array(numbers, np.uint32)
+
+    def row(self, block: int, parts: int) -> tuple:
         packed = [
-            {
-                "part": part,
-                "terms": squeeze(b"\n".join(terms)),
-                "numbers": pack(np.diff(np.array(numbers, np.uint32), prepend=np.uint32(0))),
-            }
-            for part, (terms, numbers) in sorted(chunks.items())
+            {"part": part, "terms": squeeze(terms), "numbers": pack(np.diff(numbers, prepend=np.uint32(0)))}
+            for part, terms, numbers in self.chunks(parts)
         ]
         words = np.concatenate(self.words) if self.words else np.empty(0, np.uint32)
         return block, self.keys, self.counts, pack(words), packed
 
 
+class _LateBlock(_Block):
+    """A block whose texts are split and numbered all at once."""
+
+    def __init__(self, split):
+        super().__init__()
+        self.split, self.texts, self.terms = split, [], None
+
+    def add(self, key, text: bytes, size: int) -> None:
+        self.texts.append(text)
+        self.keys.append(key)
+        self.size += size
+
+    def chunks(self, parts: int):
+        words = self.terms.to_pylist()
+        part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(parts)
+        order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")  # of short numbers: by digits
+        lines = pc.binary_join_element_wise(self.terms.take(pa.array(order)), b"", b"\n")
+        starts, lines = np.frombuffer(lines.buffers()[1], np.int32), memoryview(lines.buffers()[2])
+        edges = np.flatnonzero(np.diff(part[order].astype(np.int64), prepend=-1, append=-1))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield int(part[order[a]]), bytes(lines[starts[a] : starts[b] - 1]), order[a:b].astype(np.uint32)
+
+    def row(self, block: int, parts: int) -> tuple:
+        words, counts = self.split(self.texts)
+        numbered, self.texts = words.dictionary_encode(), []
+        self.terms = numbered.dictionary
+        self.words, self.counts = [numbered.indices.to_numpy().view(np.uint32)], counts.tolist()
+        return super().row(block, parts)
+
+
 def word_blocks(
-    docs: DataFrame, key: str, text: str, split, parts: int, block_bytes: int = 16 << 20
+    docs: DataFrame, key: str, text: str, split, parts: int, block_bytes: int = 16 << 20, at_once: bool = False
 ) -> DataFrame:
     """One row per block. ``split`` makes a list of words without line feeds from bytes.
 
-    A NULL text has no bytes. Numbers of blocks are unique within the result, which
-    has to be written before it is read twice.
+    With ``at_once`` it is given a list of texts, and makes an Arrow array of all their words
+    and an array of how many each text has. A NULL text has no bytes. Numbers of blocks are
+    unique within the result, which has to be written before it is read twice.
     """
 
+    def new_block():
+        return _LateBlock(split) if at_once else _Block()
+
     def blocks(batches):
-        first, block, made = TaskContext.get().partitionId() << 32, _Block(), 0
+        first, block, made = TaskContext.get().partitionId() << 32, new_block(), 0
         for name, content in rows_of(batches):
             content = content or b""
             if block.size and block.size + len(content) > block_bytes:
                 yield _arrow([block.row(first + made, parts)], _BLOCK)
-                block, made = _Block(), made + 1
-            block.add(name, split(content), len(content) + 64)
+                block, made = new_block(), made + 1
+            block.add(name, content if at_once else split(content), len(content) + 64)
         if block.keys:
             yield _arrow([block.row(first + made, parts)], _BLOCK)
 
