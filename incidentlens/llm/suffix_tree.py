@@ -42,6 +42,7 @@ LEAST_GAIN = 3.0  # nats over all its occurrences for a context to be kept
 STRENGTH = 4.0  # of the suffix's distribution in a state's, in occurrences
 GAIN_UNIT = 2.0**-20  # nats; each block's part of a gain is rounded to whole units, so that sums are exact
 FOLDS, HELD_OUT = 7, 2
+BUCKET_BYTES = 16 << 20  # of text for each bucket, which is held by one task
 
 _TERMS, _TOTALS, _KEPT, _SUMMARY = 0, 10, 20, 30  # kinds of answers; totals and contexts plus their depth
 
@@ -412,12 +413,18 @@ def _scored(depth: int, key: str, *known):
     return score
 
 
+def _buckets(docs: DataFrame, text: str) -> int:
+    """Buckets for all words and n-grams. As each block sends a list to each, they are no more than it takes."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def scored(
     docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, block_bytes: int = 8 << 20
 ) -> DataFrame:
     """Key, fold, counts of tokens, base score and model score of every document."""
     spark = docs.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets(docs, text)
     parts = word_blocks(docs, key, text, _words, buckets, block_bytes, at_once=True)
     blocks = bucketed(parts, "block", "lm_blocks")
     train = blocks.select(F.explode("keys").alias("key"))

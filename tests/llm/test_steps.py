@@ -95,3 +95,16 @@ def test_orders_are_not_looked_for_by_token(monkeypatch):
         monkeypatch.setattr(np, name, counted(getattr(np, name)))
     suffix_tree._stage(0, 1, *known)(table, answers)
     assert looked < tokens / 4
+
+
+def test_buckets_are_as_many_as_the_text_takes(spark, awkward, awkward_docs, no_docs, monkeypatch):
+    """One for each partition, or for each 16 MiB; blocks send a list to each."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made, whole = [], suffix_tree.word_blocks
+    monkeypatch.setattr(suffix_tree, "word_blocks", lambda *a, **k: made.append(a[4]) or whole(*a, **k))
+    scores = sorted(suffix_tree.scored(awkward_docs).collect())
+    assert suffix_tree.scored(no_docs).isEmpty()
+    size = sum(len((text or "").encode()) for _, text in awkward)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", size // (3 * partitions))
+    assert sorted(suffix_tree.scored(awkward_docs).collect()) == scores
+    assert made[:2] == [partitions] * 2 and 3 * partitions <= made[2] <= 3 * partitions + 1
