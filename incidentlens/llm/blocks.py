@@ -260,6 +260,21 @@ def growing(spark, column: str, name: str):
         spark.sql(f"DROP TABLE IF EXISTS {table.table}")
 
 
+@contextmanager
+def freed_shuffles(spark):
+    """Meanwhile the files of a shuffle go as soon as the write or count that made them is done.
+
+    Else they stay until the driver happens to collect garbage. For steps that run each DataFrame once.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def numbers_of(chunk: bytes) -> np.ndarray:
     """The word numbers of a chunk, in the order of its terms."""
     return np.cumsum(unpack(chunk, np.uint32), dtype=np.uint32)

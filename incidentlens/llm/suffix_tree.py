@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlens.llm.blocks import bucketed, growing, numbers_of, pack, unpack, unsqueeze, word_blocks
+from incidentlens.llm.blocks import bucketed, freed_shuffles, growing, numbers_of, pack, unpack, unsqueeze, word_blocks
 from incidentlens.sources.files import write_table
 from incidentlens.sources.scratch import remove, scratch_path
 
@@ -152,16 +152,23 @@ def _distinct(keys: np.ndarray):
     bits = len(keys).bit_length()
     if not len(keys) or int(keys.max()).bit_length() + bits <= 64:
         # Numbers with their places are sorted in a fraction of the time that it takes to find an order.
-        both = np.sort((keys << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64))
-        order, ordered = (both & np.uint64((1 << bits) - 1)).view(np.int64), both >> np.uint64(bits)
+        ordered = keys << np.uint64(bits)
+        ordered |= np.arange(len(keys), dtype=np.uint64)
+        ordered.sort()
+        order = (ordered & np.uint64((1 << bits) - 1)).view(np.int64)
+        ordered >>= np.uint64(bits)
     else:
         order = np.argsort(keys, kind="stable")
         ordered = keys[order]
-    is_new = np.ones(len(keys), bool)
+    is_new = np.ones(len(order), bool)
     np.not_equal(ordered[1:], ordered[:-1], out=is_new[1:])
-    begin, place = np.flatnonzero(is_new), np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(is_new) - 1
-    return ordered[begin], order, begin, place
+    begin = np.flatnonzero(is_new)
+    distinct = ordered[begin]
+    del keys, ordered
+    place, numbers = np.empty(len(order), np.int64), np.cumsum(is_new)
+    numbers -= 1
+    place[order] = numbers
+    return distinct, order, begin, place
 
 
 def _places(order: np.ndarray) -> np.ndarray:
@@ -204,26 +211,29 @@ def _reduced(last: int, width: int):
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
         kind, is_totals = rows[0]["kind"], rows[0]["kind"] < _KEPT
         lists = [_items(r, width) for r in rows]
+        ends, numbers = np.cumsum([0] + [len(x) for x in lists]), None
+        items = np.concatenate(lists)
+        del lists
+        _, order, begin, place = _distinct(items)
+        del items
         amounts = np.concatenate([unpack(r["amounts"], np.uint64) for r in rows])
-        _, order, begin, place = _distinct(np.concatenate(lists))
-        ends, numbers = np.cumsum([len(x) for x in lists]), None
         if is_totals:
             totals = np.add.reduceat(amounts[order], begin)
-            owns = np.zeros(len(place), np.uint64)
-            owns[order[begin]] = 1
-            answers = totals[place] * np.uint64(2) + owns
+            answers = totals[place]
+            answers *= np.uint64(2)
+            answers[order[begin]] += np.uint64(1)
             if kind - _TOTALS < last:
                 often = totals >= LEAST_COUNT
                 number = np.cumsum(often, dtype=np.uint64)
                 numbers = [
-                    pack(np.diff(number[p][often[p]], prepend=np.uint64(0))) for p in np.split(place, ends[:-1])
+                    pack(np.diff(number[p][often[p]], prepend=np.uint64(0))) for p in np.split(place, ends[1:-1])
                 ]
         else:
             # Whole numbers: a float holds their sums, up to 2^33 nats, without rounding.
             answers = (np.bincount(place, _unfolded(amounts)) * GAIN_UNIT >= LEAST_GAIN).astype(np.uint8)[place]
         out = [
-            (r["block"], kind, r["bucket"], pack(answers[end - len(x) : end]), more, None, None, None)
-            for r, x, end, more in zip(rows, lists, ends, numbers or [None] * len(rows), strict=True)
+            (r["block"], kind, r["bucket"], pack(answers[start:end]), more, None, None, None)
+            for r, start, end, more in zip(rows, ends[:-1], ends[1:], numbers or [None] * len(rows), strict=True)
         ]
         return _table(out, _ANSWERS)
 
@@ -423,6 +433,11 @@ def scored(
     docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, block_bytes: int = 8 << 20
 ) -> DataFrame:
     """Key, fold, counts of tokens, base score and model score of every document."""
+    with freed_shuffles(docs.sparkSession):
+        return _scores(docs, key, text, depth, block_bytes)
+
+
+def _scores(docs: DataFrame, key: str, text: str, depth: int, block_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     buckets = _buckets(docs, text)
     parts = word_blocks(docs, key, text, _words, buckets, block_bytes, at_once=True)

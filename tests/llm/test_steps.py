@@ -1,7 +1,11 @@
 """How many steps the suffix tree takes a word, and that the faster ones give the same."""
 
+import os
 import sys
+import tempfile
+import time
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -108,3 +112,23 @@ def test_buckets_are_as_many_as_the_text_takes(spark, awkward, awkward_docs, no_
     monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", size // (3 * partitions))
     assert sorted(suffix_tree.scored(awkward_docs).collect()) == scores
     assert made[:2] == [partitions] * 2 and 3 * partitions <= made[2] <= 3 * partitions + 1
+
+
+def test_no_shuffle_outlasts_its_step(spark, awkward_docs):
+    """Files of shuffles don't wait for the driver to collect garbage, and the session is as before."""
+    given = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", tempfile.gettempdir())
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def files():
+        managers = [m for d in given.split(",") for m in Path(d).glob("**/blockmgr-*")]
+        return {f for m in managers for f in m.rglob("shuffle_*.data")}
+
+    before, setting = files(), spark.conf.get(name)
+    awkward_docs.repartition(3, "doc_id").write.format("noop").mode("overwrite").save()
+    assert files() - before  # this is where they are
+    before = files()
+    suffix_tree.scored(awkward_docs)
+    waited = time.time() + 20
+    while files() - before and time.time() < waited:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(name) == setting
